@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
+import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import BinaryType, IntegerType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,12 +44,15 @@ def sort_bounds(df: DataFrame, key: str, parts: int, per_part: int = 40) -> list
     return sorted(set(cuts))
 
 
-def bucket_of(key: Column, bounds: list) -> Column:
-    """How many bounds are at or below key (null: 0), by binary search."""
-    from bisect import bisect_right
+@F.pandas_udf(BinaryType())
+def packed(texts: pd.Series) -> pd.Series:
+    """Texts compressed without loss; null as the empty text."""
+    pack = zstandard.ZstdCompressor(level=3)
+    return texts.map(lambda t: pack.compress((t or "").encode("utf-8", "surrogatepass")))
 
-    import pandas as pd
 
+def bucket_of(key: Column, bounds: list) -> Column:
+    """How many bounds are at or below key (null: 0), by binary search."""
     @F.pandas_udf(IntegerType())
     def find(keys: pd.Series) -> pd.Series:
         return pd.Series([0 if k is None or k != k else bisect_right(bounds, k) for k in keys], dtype="int32")

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .fingerprints import op6_fingerprints
+from .packing import op5_packing
 from .sharding import op10_sharding
 from .url_filters import OP2_SQL, op2_url_filters
 
@@ -13,6 +15,8 @@ from .url_filters import OP2_SQL, op2_url_filters
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_url_filters": op2_url_filters,
+        "op5_packing": op5_packing,
+        "op6_fingerprints": op6_fingerprints,
         "op10_sharding": op10_sharding,
     }
 
