@@ -16,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import checkpointed
 
@@ -139,13 +140,13 @@ def pack(pieces: DataFrame, most: int = 2048, block: int = 20_000, seed: int = 5
     blocks = max(1, -(-count // block))
     dealt = pieces.withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "row", "piece"), F.lit(blocks)))
 
-    def packed(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def packed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", "row", "piece"], ascending=[False, True, True], kind="stable")
         number, place = sum_of_squares(rows["length"].to_numpy(), most)
         rows = rows.assign(sequence_id=number * blocks + key[0], offset=place)
         return rows.drop(columns=["block"])
 
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
+    schema = StructType([*pieces.schema.fields]).add("sequence_id", "long").add("offset", "long")
     return dealt.groupBy("block").applyInPandas(packed, schema)
 
 
