@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .fingerprints import op6_fingerprints
+from .jaccard import op3_ngram_jaccard
 from .language import op9_language_id
 from .packing import op5_packing
 from .sharding import op10_sharding
@@ -16,6 +17,7 @@ from .url_filters import OP2_SQL, op2_url_filters
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_url_filters": op2_url_filters,
+        "op3_ngram_jaccard": op3_ngram_jaccard,
         "op5_packing": op5_packing,
         "op6_fingerprints": op6_fingerprints,
         "op9_language_id": op9_language_id,
