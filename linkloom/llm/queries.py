@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .fingerprints import op6_fingerprints
 from .jaccard import op3_ngram_jaccard
 from .language import op9_language_id
+from .line_dedup import op1_line_dedup
 from .packing import op5_packing
 from .sharding import op10_sharding
 from .url_filters import OP2_SQL, op2_url_filters
@@ -16,6 +17,7 @@ from .url_filters import OP2_SQL, op2_url_filters
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op2_url_filters": op2_url_filters,
         "op3_ngram_jaccard": op3_ngram_jaccard,
         "op5_packing": op5_packing,
@@ -27,5 +29,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op2_url_filters": OP2_SQL,
     }
