@@ -10,6 +10,7 @@ from .fingerprints import op6_fingerprints
 from .jaccard import op3_ngram_jaccard
 from .language import op9_language_id
 from .line_dedup import op1_line_dedup
+from .mixing import op7_source_mixing
 from .packing import op5_packing
 from .sharding import op10_sharding
 from .url_filters import OP2_SQL, op2_url_filters
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_ngram_jaccard": op3_ngram_jaccard,
         "op5_packing": op5_packing,
         "op6_fingerprints": op6_fingerprints,
+        "op7_source_mixing": op7_source_mixing,
         "op9_language_id": op9_language_id,
         "op10_sharding": op10_sharding,
     }
