@@ -14,10 +14,10 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_of, packed, shuffle_partitions, sort_bounds
+from .common import packed, with_next
 
 
 def canonical(text: str) -> bytes:
@@ -76,36 +76,6 @@ def fingerprint_documents(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("fingerprint", of(F.col(text)))
 
 
-def with_next(df: DataFrame, key: str, payload: Column, wrap: bool) -> DataFrame:
-    """Rows (part, key, payload, own), to be read sorted within each partition by part and key:
-    in a part, each own row comes after the row with the next smaller key.
-
-    The parts are ranges of keys of about equal size. The greatest row of a part is also
-    given, as not own, to the next part that has rows; with wrap the greatest row of all
-    goes to the first part. Null keys come first."""
-    spark = df.sparkSession
-    bounds = sort_bounds(df, key, 4 * shuffle_partitions(spark))
-    # Rows of one key are told apart by a hash, so that their order is fixed.
-    keyed = df.withColumn("part", bucket_of(F.col(key), bounds))
-    rank = F.struct(F.col(key), F.xxhash64(*df.columns))
-    tops = keyed.groupBy("part").agg(F.max(rank).alias("top")).orderBy("part").collect()  # one row for each part
-    following = {a["part"]: b["part"] for a, b in zip(tops, tops[1:], strict=False)}
-    if wrap and tops:
-        following[tops[-1]["part"]] = tops[0]["part"]
-    rows = [(r["part"], r["top"][0], r["top"][1], following.get(r["part"])) for r in tops]
-    kind = df.schema[key].dataType.simpleString()
-    last = spark.createDataFrame(rows, f"part int, k {kind}, h bigint, to int")
-    last = last.where("to is not null")
-    tagged = keyed.withColumn("rank", rank)
-    tagged = tagged.join(F.broadcast(last), "part", "left")  # as many rows as parts
-    extra = F.when(F.col("rank").eqNullSafe(F.struct(F.col("k"), F.col("h"))), F.col("to"))
-    places = F.filter(F.array(F.struct(F.col("part").alias("part"), F.lit(True).alias("own")), F.struct(extra.alias("part"), F.lit(False).alias("own"))), lambda x: x["part"].isNotNull())
-    out = tagged.select(F.explode(places).alias("place"), F.col("rank").alias("rank"), payload.alias("payload"))
-    out = out.select("place.part", "place.own", "rank", "payload")
-    # A row that its own part follows stands before that part's rows.
-    return out.repartition(shuffle_partitions(spark), "part").sortWithinPartitions("part", "own", "rank")
-
-
 def op6_fingerprints(spark, sf_dir: str) -> DataFrame:
     """Every document's n_chars, edited_sha256, fingerprints and likenesses."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")

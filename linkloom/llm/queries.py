@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .fingerprints import op6_fingerprints
+from .html_text import op4_html_extraction
 from .jaccard import op3_ngram_jaccard
 from .language import op9_language_id
 from .line_dedup import op1_line_dedup
@@ -21,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_line_dedup": op1_line_dedup,
         "op2_url_filters": op2_url_filters,
         "op3_ngram_jaccard": op3_ngram_jaccard,
+        "op4_html_extraction": op4_html_extraction,
         "op5_packing": op5_packing,
         "op6_fingerprints": op6_fingerprints,
         "op7_source_mixing": op7_source_mixing,
