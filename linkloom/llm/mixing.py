@@ -57,6 +57,8 @@ def source_weights(totals: DataFrame, max_repetition: float | None = 4.0, target
     out = out.withColumn("weight", F.when(F.col("tokens") > 0, F.expr("pow(tokens / sum, power) / norm")).otherwise(0.0))
     size = F.lit(float(budget)) if budget is not None else F.expr("sum * top / (pow(top, power) / norm)")
     out = out.withColumn("budget", F.round(F.col("weight") * size).cast("long"))
+    if budget is None:  # rounding must not cost the largest source a document
+        out = out.withColumn("budget", F.greatest("budget", "tokens"))
     out = out.withColumn("rounds", F.when(F.col("tokens") > 0, F.col("budget") / F.col("tokens")).otherwise(1.0))
     return out.select("source", "tokens", "documents", "power", "weight", "budget", "rounds")
 

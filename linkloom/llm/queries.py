@@ -12,6 +12,7 @@ from .jaccard import op3_ngram_jaccard
 from .language import op9_language_id
 from .line_dedup import op1_line_dedup
 from .mixing import op7_source_mixing
+from .neighbours import op8_nearest_neighbours
 from .packing import op5_packing
 from .sharding import op10_sharding
 from .url_filters import OP2_SQL, op2_url_filters
@@ -26,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_packing": op5_packing,
         "op6_fingerprints": op6_fingerprints,
         "op7_source_mixing": op7_source_mixing,
+        "op8_nearest_neighbours": op8_nearest_neighbours,
         "op9_language_id": op9_language_id,
         "op10_sharding": op10_sharding,
     }
