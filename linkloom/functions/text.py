@@ -22,7 +22,7 @@ def _numeric_references(text: Column) -> Column:
         code = F.when(ten != "", ten.cast("int")).when(hexa != "", F.conv(hexa, 16, 10).cast("int"))
         rest = F.regexp_replace(x, r"^&#[xX]?[0-9a-fA-F]+;", "")
         wide = F.lpad(F.hex(code), 8, "0")
-        char = F.decode(F.unhex(wide), "UTF-32BE")
+        char = F.decode(F.unhex(wide), "UTF-32")
         return F.when(code.isNotNull() & (code < 0x110000), F.concat(char, rest)).otherwise(x)
 
     cut = F.split(F.regexp_replace(text, r"(&#[xX]?[0-9a-fA-F]+;)", "\u0001$1"), "\u0001")
