@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -50,19 +51,27 @@ def set_id(own: np.ndarray) -> bytes:
 
 
 @lru_cache(None)
-def band(i: int, num: int, den: int) -> tuple[int, int, int, int, int]:
-    """(low, high, reach, differ, parts) of band i: its sizes, the largest size that can link
-    to one of them, the most elements by which two such sets differ, and the parts."""
+def band(i: int, num: int, den: int) -> tuple[int, int, int, int, int, int, int]:
+    """(low, high, reach, groups, needed, parts, within) of band i.
+
+    low to high are its sizes and reach the largest size that can link to one of them. Two such
+    sets differ in `differ` elements at most. The domain falls into groups of parts; in at least
+    `needed` groups the sets differ in `within` elements at most, so in parts - within parts of
+    each of those they agree."""
     low = 1 if i == 0 else band(i - 1, num, den)[1] + 1
     high = low * den // num
     reach = high * den // num
-    sums = range(max(2, high + reach - 8), high + reach + 1)
-    differ = max(s - 2 * -(-num * s // (num + den)) for s in sums)
-    parts = differ + 1
-    for _ in range(3):
-        empty = parts * math.exp(-low / parts)
-        parts = differ + 1 + min(differ and math.ceil(empty + 4 * math.sqrt(empty) + 2), differ + 1)
-    return low, high, reach, differ, parts
+    differ = max(s - 2 * -(-num * s // (num + den)) for s in range(max(2, high + reach - 8), high + reach + 1))
+    # Small sets have few signatures, so theirs can span more of the set.
+    if differ <= 3:
+        within, parts, needed = differ, 2 * differ + 1, 1
+    elif low < 150:
+        within, parts, needed = 2, 5, 2
+    else:
+        # One part a group; more groups than differences, by the empty ones to be expected.
+        empty = (differ + 8) * math.exp(-low / (differ + 8))
+        within, parts, needed = 0, 1, math.ceil(empty + 4 * math.sqrt(empty) + 2)
+    return low, high, reach, differ // (within + 1) + needed, needed, parts, within
 
 
 @lru_cache(None)
@@ -73,13 +82,20 @@ def band_of(n: int, num: int, den: int) -> int:
     return i
 
 
+@lru_cache(None)
+def _subsets(parts: int, within: int) -> np.ndarray:
+    """The subsets of parts - within parts, a row of 0 and 1 for each."""
+    rows = [[int(p in c) for p in range(parts)] for c in combinations(range(parts), parts - within)]
+    return np.array(rows, np.uint64)
+
+
 def signatures(own: np.ndarray, num: int, den: int) -> np.ndarray:
     """The signatures of a set, as 64-bit integers.
 
     A set takes part in its own band, and in the one below where it can link to a set of
-    that. Two linked sets differ in at most `differ` elements, so at least parts - differ
-    parts agree. A part that a set has nothing of is left out, unless so many are empty
-    that all agreeing parts could be: then the empty parts have signatures too."""
+    that. For each group, each subset of as many parts as have to agree is a signature. One
+    of parts that the set has nothing of is left out, unless the groups with such a subset
+    are so many that all agreeing ones could be: then these have signatures too."""
     n = len(own)
     if not n:
         return own
@@ -88,16 +104,23 @@ def signatures(own: np.ndarray, num: int, den: int) -> np.ndarray:
     for b in (i, i - 1):
         if b < 0 or n > band(b, num, den)[2]:
             continue
-        _, _, _, differ, parts = band(b, num, den)
-        part = ((own >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)  # own is sorted, so part is
-        at = np.flatnonzero(np.diff(part, prepend=part[0] + np.uint64(1)))
-        held = part[at]
-        value = np.add.reduceat(own * _MUL[1], at)
+        _, _, _, groups, needed, parts, within = band(b, num, den)
+        cells = groups * parts
+        at = (((own >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)).astype(np.int64)  # own is sorted, so at is
+        first = np.flatnonzero(np.diff(at, prepend=at[0] + 1))
+        held = np.zeros(cells, np.uint64)
+        held[at[first]] = _mixed(np.add.reduceat(own * _MUL[1], first)) | np.uint64(1)
+        held = held.reshape(groups, parts)
+        choices = _subsets(parts, within)
+        # What stands in a subset's parts, each part by a factor of its own.
+        factor = _mixed(np.arange(1, parts + 1, dtype=np.uint64)) | np.uint64(1)
+        value = (held * factor) @ choices.T
+        full = ((held != 0).astype(np.uint64) @ choices.T) > 0
+        if (~full).any(1).sum() >= needed:
+            full[:] = True
         tag = np.uint64((b * 0x1F123BB5 + 1) * int(_MUL[2]) % (1 << 64))
-        out.append(_mixed(_mixed(value) + held * _MUL[3] + tag))
-        if parts - len(held) >= parts - differ:
-            empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), held)
-            out.append(_mixed(empty * _MUL[3] + tag + np.uint64(77)))
+        place = np.arange(value.size, dtype=np.uint64).reshape(value.shape)
+        out.append(_mixed(_mixed(value) + place * _MUL[3] + tag)[full])
     return np.concatenate(out)
 
 
