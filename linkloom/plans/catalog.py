@@ -5,11 +5,398 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import ats, html, postings, predicates, text, urls
+from ..functions.rules import RuleSet
+from ..operators import clustering, lifecycle, links, records
+from ..streaming import jobs as streaming
+from .oracle import ORACLE
+from .synth import synthetic
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+
+#: Literal times of the lifecycle queries.
+NOW = "TIMESTAMP_NTZ '1997-01-01 00:00:00'"
+#: Phrases that the documents of the driver's tables hold; not expiry phrases, but searched alike.
+FREQUENT = RuleSet(expiry=("and the", "Released under", "All rights reserved", "of the ing", "que de", "und der", "erent", "der die"))
+
+
+def query(f: Query) -> Query:
+    _QUERIES[f.__name__] = f
+    return f
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@query
+def page_url_parts(spark, d):
+    p = table(spark, d, "pages").select("page_id", "url", urls.parse_url(F.col("url")).alias("p"))
+    return p.select("page_id", "p.scheme", "p.host", "p.port", "p.path", "p.query", "p.hash", urls.comparable_host(F.col("url")).alias("comparable_host"), urls.file_extension(F.col("url")).alias("extension"))
+
+
+@query
+def page_url_normalized(spark, d):
+    return table(spark, d, "pages").select("page_id", urls.normalize_url(F.col("url")).alias("normal"), urls.url_key(F.col("url")).alias("key"), urls.url_score(F.col("url")).cast("bigint").alias("score"))
+
+
+@query
+def spelling_normalized(spark, d):
+    return synthetic(spark, d, "spellings").select("k", urls.normalize_url(F.col("url")).alias("normal"), urls.url_key(F.col("url")).alias("key"))
+
+
+@query
+def page_title_sample(spark, d):
+    p = table(spark, d, "pages").select("page_id", html.page_title(F.col("html")).alias("title"), html.text_sample(F.col("html")).alias("sample"))
+    return p.select("page_id", "title", F.length("sample").cast("bigint").alias("sample_chars"), F.md5("sample").alias("sample_md5"))
+
+
+@query
+def page_link_entries(spark, d):
+    return links.link_entries(table(spark, d, "pages")).select("page_id", "url", "text")
+
+
+@query
+def page_link_rollup(spark, d):
+    entries = links.dedupe_entries(links.link_entries(table(spark, d, "pages")), ["page_id"])
+    return entries.groupBy("page_id").agg(F.count_distinct("url").alias("link_count"), F.count_if(F.col("text") != "").alias("text_count"), F.min("url").alias("first_url"))
+
+
+@query
+def section_links(spark, d):
+    return table(spark, d, "pages").select("page_id", F.explode(html.sections(F.col("html"), ("nav",))).alias("s")).select("page_id", F.explode(html.anchors(F.col("s"))).alias("a")).select(
+        "page_id", html.attribute(F.col("a.attributes"), "href").alias("href"), html.plain_text(F.col("a.body")).alias("label")
+    ).distinct()
+
+
+@query
+def section_stripped_links(spark, d):
+    pages = synthetic(spark, d, "built_pages")
+    return links.link_entries(pages, same_domain_only=True, stripped=True).select("page_id", "branch", "url", "text")
+
+
+@query
+def all_branch_links(spark, d):
+    return links.link_entries(synthetic(spark, d, "built_pages")).groupBy("page_id", "branch").agg(F.count(F.lit(1)).alias("links"), F.min("url").alias("first_url"))
+
+
+@query
+def handler_links(spark, d):
+    rows = table(spark, d, "orders").select("o_orderkey", F.expr("concat('open(''/a/', o_custkey, ''');x(\"https://h.example.com/', o_orderkey, '\")')").alias("js"))
+    return rows.select("o_orderkey", F.posexplode(html.handler_links(F.col("js"))).alias("pos", "link")).select("o_orderkey", F.col("pos").cast("bigint").alias("pos"), "link")
+
+
+@query
+def dedupe_prefer_https(spark, d):
+    rows = synthetic(spark, d, "spellings").withColumn("g", F.lit(0)).withColumnRenamed("k", "pos")
+    return links.dedupe_links(rows, ["g"]).select("key", "url", "pos")
+
+
+@query
+def likely_job_links(spark, d):
+    return synthetic(spark, d, "job_urls").select("k", predicates.is_likely_job_link(F.col("url")).alias("likely"), predicates.is_job_detail(F.col("url")).alias("detail"))
+
+
+@query
+def job_detail_counts(spark, d):
+    rows = synthetic(spark, d, "job_urls").select(urls.comparable_host(F.col("url")).alias("host"), predicates.is_job_detail(F.col("url")).alias("detail"))
+    return rows.groupBy("host").agg(F.count(F.lit(1)).alias("links"), F.count_if("detail").alias("details"))
+
+
+@query
+def board_landing_links(spark, d):
+    rows = synthetic(spark, d, "job_urls").unionByName(synthetic(spark, d, "board_urls").select((F.col("k") + 1_000_000).alias("k"), "url"))
+    own = F.lit("https://www.h1.example.com/")
+    return rows.select("k", predicates.is_job_board_landing(F.col("url")).alias("landing"), predicates.is_external(F.col("url"), own).alias("external"))
+
+
+@query
+def ats_links(spark, d):
+    b = synthetic(spark, d, "board_urls")
+    return b.select("k", "url", predicates.is_ats_link(F.col("url")).alias("ats"), ats.ats_canonical(F.col("url")).alias("canonical"), ats.ats_template(F.col("url")).alias("template"))
+
+
+@query
+def non_career_reasons(spark, d):
+    return synthetic(spark, d, "job_urls").select("k", links.career_reason(F.col("url"), F.lit(False)).alias("reason"))
+
+
+@query
+def anchor_text_filter(spark, d):
+    return synthetic(spark, d, "anchor_texts").select("k", predicates.is_non_job_text(F.col("text")).alias("non_job"))
+
+
+@query
+def anchor_filtered_links(spark, d):
+    entries = synthetic(spark, d, "job_urls").join(synthetic(spark, d, "anchor_texts"), "k").select((F.col("k") % 20).alias("g"), "url", "text")
+    own = entries.select("g", "url").distinct()
+    return links.flag_anchor_text(own, entries, ["g"]).select("g", "url", "texts", "dropped")
+
+
+@query
+def same_domain_filter(spark, d):
+    rows = synthetic(spark, d, "job_urls").withColumn("page_url", F.lit("https://h1.example.com/"))
+    return links.same_domain(rows).select("k", "url")
+
+
+@query
+def social_filter(spark, d):
+    hosts = F.expr("CASE WHEN k % 4 = 0 THEN 'https://www.facebook.com/x' WHEN k % 4 = 1 THEN 'https://youtube.com/y' ELSE url END")
+    rows = synthetic(spark, d, "job_urls").withColumn("url", hosts).withColumn("page_url", F.expr("CASE WHEN k % 3 = 0 THEN 'https://facebook.com/own' ELSE 'https://a.example.com' END"))
+    return links.drop_social(rows).select("k", "url")
+
+
+@query
+def self_link_filter(spark, d):
+    rows = synthetic(spark, d, "spellings").withColumn("g", F.col("k") % 7)
+    own = rows.where("k <= 50").select("g", "url")
+    return links.drop_self(rows, own, ["g"]).groupBy("g").agg(F.count(F.lit(1)).alias("links"))
+
+
+@query
+def excluded_domains(spark, d):
+    rows = table(spark, d, "customer").select("c_custkey", F.expr("concat('https://www.', CASE WHEN c_custkey % 5 = 0 THEN 'sites.google' WHEN c_custkey % 5 = 1 THEN 'mountainfountain' WHEN c_custkey % 5 = 2 THEN 'indeed.vitas' ELSE 'acme' END, '.com/google')").alias("url"))
+    return rows.select("c_custkey", predicates.excluded_host_pattern(F.col("url")).alias("pattern"))
+
+
+@query
+def expired_pages(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", F.lit("").alias("title"), "text")
+    found = records.expiry_matches(docs, "doc_id", FREQUENT, most=20)
+    return found.select("doc_id", F.explode("matches").alias("phrase"))
+
+
+@query
+def bot_challenge_pages(spark, d):
+    rows = synthetic(spark, d, "job_urls").withColumn("g", F.expr("k % 60")).withColumn("url", F.expr("CASE WHEN k % 60 < 20 THEN concat(url, '/captcha') ELSE url END"))
+    url = F.col("url")
+    n = rows.groupBy("g").agg(F.count(F.lit(1)).alias("links"), F.count_if(predicates.is_bot_challenge(url)).alias("challenges"), F.count_if(predicates.is_likely_job_link(url)).alias("jobs"))
+    return n.select("g", "links", "challenges", predicates.is_challenge_page(F.col("links"), F.col("challenges"), F.col("jobs")).alias("challenge"))
+
+
+@query
+def best_attempt(spark, d):
+    rows = table(spark, d, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("attempt"), (F.col("l_partkey") % 3).alias("likely"), (F.col("l_suppkey") % 4).alias("links"))
+    return records.best_attempt(rows, "l_orderkey")
+
+
+@query
+def final_career_url(spark, d):
+    base = synthetic(spark, d, "job_urls")
+    pages = base.where("k % 10 = 0").select(F.col("k").alias("page_id"), F.col("url"), F.col("url").alias("final_url"))
+    own = base.select((F.floor(F.col("k") / 10) * 10).alias("page_id"), "url")
+    boards = synthetic(spark, d, "board_urls").where("k % 3 = 0").select((F.col("k") * 10).alias("page_id"), "url").where(predicates.is_ats_link(F.col("url")))
+    return records.final_career_url(pages, own, boards)
+
+
+@query
+def career_status(spark, d):
+    flag = lambda n: F.expr(f"floor(p_partkey / {n}) % 2 = 1")
+    return table(spark, d, "part").select("p_partkey", records.career_status(flag(8), flag(4), flag(2), flag(1)).alias("status"))
+
+
+@query
+def career_links_table(spark, d):
+    return records.career_links(synthetic(spark, d, "built_pages").unionByName(table(spark, d, "pages").select((F.col("page_id") + 1_000_000).alias("page_id"), "url", "html")))
+
+
+@query
+def board_expansion(spark, d):
+    pages = synthetic(spark, d, "built_pages").select("page_id", "url")
+    boards = pages.select((F.col("page_id") % 10 + 1000).alias("page_id"), F.expr("concat('https://q', page_id % 10, '.example.net/jobs')").alias("url")).distinct()
+    out = pages.where("page_id % 3 <> 0").select("page_id", F.lit(0).alias("pos"), F.expr("concat('https://q', page_id % 10, '.example.net/jobs')").alias("url"))
+    more = boards.select("page_id", F.lit(0).alias("pos"), F.concat("url", F.lit("/job/1")).alias("url"))
+    return links.expand_boards(pages.unionByName(boards), out.unionByName(more))
+
+
+@query
+def merge_runs(spark, d):
+    rows = synthetic(spark, d, "spellings").withColumn("g", F.col("k") % 3)
+    old, new = rows.where("k % 2 = 0").withColumn("pos", F.col("k")), rows.where("k % 2 = 1").withColumn("pos", F.col("k") + 1_000_000_000)
+    return links.dedupe_links(old.unionByName(new), ["g"]).select("g", "key", "url", "pos")
+
+
+@query
+def ldjson_blocks(spark, d):
+    p = synthetic(spark, d, "posting_pages")
+    return p.select("k", F.posexplode(html.json_ld_blocks(F.col("page"))).alias("pos", "block")).select("k", F.col("pos").cast("bigint").alias("pos"), "block")
+
+
+@query
+def posting_fields(spark, d):
+    p = synthetic(spark, d, "posting_pages").select("k", postings.posting_columns(postings.job_posting(F.col("page"))).alias("f"))
+    return p.where("f.company is not null").select("k", "f.job_title", "f.company", "f.job_id", "f.job_type", "f.location")
+
+
+@query
+def queue_items(spark, d):
+    return synthetic(spark, d, "messages").select("id", lifecycle.queue_item(F.col("value")).alias("q")).select("id", "q.url", "q.career_url")
+
+
+@query
+def retry_envelopes(spark, d):
+    return synthetic(spark, d, "messages").select("id", lifecycle.decode_envelope(F.col("value")).alias("e")).select("id", "e.value", F.col("e.retries").cast("bigint").alias("retries"), "e.first_seen")
+
+
+@query
+def retry_outcomes(spark, d):
+    return lifecycle.retry_outcomes(synthetic(spark, d, "failures")).select("id", "reason", "outcome")
+
+
+@query
+def retry_counters(spark, d):
+    return lifecycle.retry_counters(lifecycle.retry_outcomes(synthetic(spark, d, "failures")))
+
+
+@query
+def claimable_jobs(spark, d):
+    got = lifecycle.claim(synthetic(spark, d, "jobs"), F.expr(NOW), "w1", 50, retry_errors=True)
+    return got.select("id", "status", F.col("attempts").cast("bigint").alias("attempts"), "lock_by", "lock_until")
+
+
+@query
+def reseed_queue(spark, d):
+    return lifecycle.reseed(synthetic(spark, d, "jobs"), F.expr(NOW))
+
+
+@query
+def discovery_upsert(spark, d):
+    found = table(spark, d, "lineitem").select(F.col("l_partkey").alias("url"), F.col("l_suppkey").alias("career_url"), F.col("l_shipdate").alias("at"))
+    old, new = (lifecycle.discoveries(found.where(t)) for t in ("at < TIMESTAMP_NTZ '1996-01-01'", "at >= TIMESTAMP_NTZ '1996-01-01'"))
+    out = lifecycle.upsert(old, new, "url", {"first_discovered_at": "min", "last_discovered_at": "max", "career_url": "overwrite", "career_urls": "union", "discovery_count": "add"})
+    return out.select("url", "first_discovered_at", "last_discovered_at", "career_url", F.concat_ws(",", F.transform("career_urls", lambda x: x.cast("string"))).alias("career_urls"), F.col("discovery_count").cast("bigint").alias("discovery_count"))
+
+
+@query
+def resume_seeds(spark, d):
+    seeds = synthetic(spark, d, "spellings").select("k", "url", (F.col("k") % 5 == 0).alias("seeded"))
+    return lifecycle.open_seeds(seeds, synthetic(spark, d, "spellings").where("k % 11 = 0")).select("k", "key")
+
+
+@query
+def queue_dedupe_append(spark, d):
+    m = table(spark, d, "events").select(F.col("event_id").alias("pos"), F.col("user_id").alias("key"))
+    return lifecycle.unseen(m, m.where("key % 9 = 0")).select("pos", "key")
+
+
+@query
+def failed_replay(spark, d):
+    moved, left = lifecycle.move(table(spark, d, "events").select(F.col("event_id").alias("id"), "event_type"), 100)
+    return moved.withColumn("to", F.lit("moved")).unionByName(left.withColumn("to", F.lit("left"))).groupBy("to", "event_type").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"))
+
+
+@query
+def stale_deliveries(spark, d):
+    rows = table(spark, d, "events").select(F.col("event_id").alias("id"), F.col("ts").alias("delivered_at"))
+    return lifecycle.stale_pending(rows, F.expr("TIMESTAMP_NTZ '2024-01-15 00:00:00'")).select("id")
+
+
+@query
+def health_snapshot(spark, d):
+    return lifecycle.health(synthetic(spark, d, "jobs"))
+
+
+@query
+def stream_health(spark, d):
+    return table(spark, d, "events").groupBy(F.col("event_type").alias("group")).agg(F.count(F.lit(1)).alias("pending"), F.count_distinct("user_id").alias("consumers"))
+
+
+@query
+def lifecycle_violations(spark, d):
+    rows = table(spark, d, "events").select(F.col("user_id").alias("url"), F.struct("ts", "event_id").alias("at"), F.expr("CASE event_id % 5 WHEN 0 THEN 'pending' WHEN 1 THEN 'processing' WHEN 2 THEN 'done' WHEN 3 THEN 'error' ELSE 'skipped' END").alias("status"))
+    return lifecycle.bad_transitions(rows).groupBy("before", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def redirect_summary(spark, d):
+    step = F.struct(F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("p"), F.concat(F.lit("https://h.example.com/"), F.col("l_partkey").cast("string")).alias("url"), F.expr("CAST(CASE l_partkey % 3 WHEN 0 THEN 301 WHEN 1 THEN 200 ELSE 0 END AS INT)").alias("status_code"))
+    chains = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(step)).alias("steps"))
+    s = records.redirect_summary(F.col("steps"), F.lit(200), F.get(F.col("steps"), F.lit(0))["url"], F.element_at("steps", -1)["url"])
+    return chains.select("l_orderkey", s.alias("s")).select("l_orderkey", F.concat_ws(",", F.transform("s.codes", lambda x: x.cast("string"))).alias("codes"), F.col("s.redirects").cast("bigint").alias("redirects"), "s.redirected", F.col("s.initial_status").cast("bigint").alias("initial_status"))
+
+
+@query
+def page_counts(spark, d):
+    return synthetic(spark, d, "pagers").select("k", text.page_count(F.col("text")).cast("bigint").alias("pages"), F.size(text.page_numbers(text.page_count(F.col("text")))).cast("bigint").alias("numbers"))
+
+
+@query
+def link_buckets(spark, d):
+    return table(spark, d, "lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n")).select("l_partkey", text.nearest_bucket(F.col("n")).alias("bucket"))
+
+
+@query
+def repeated_texts(spark, d):
+    lines = table(spark, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
+    return lines.groupBy("doc_id", "line").agg(F.count(F.lit(1)).alias("n")).where("n >= 3").select("doc_id", F.md5("line").alias("line_md5"), "n")
+
+
+@query
+def link_set_diff(spark, d):
+    a = links.link_entries(table(spark, d, "pages").where("page_id % 2 = 0")).select("text").distinct()
+    b = links.link_entries(table(spark, d, "pages").where("page_id % 2 = 1")).select("text").distinct()
+    return a.exceptAll(b)
+
+
+@query
+def word_frequencies(spark, d):
+    words = table(spark, d, "documents").select(F.explode(text.tokens(F.col("text"))).alias("word"))
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def url_clusters(spark, d):
+    rows = table(spark, d, "pages").select("url").unionByName(synthetic(spark, d, "job_urls").select("url"))
+    return clustering.cluster_urls(rows)
+
+
+@query
+def url_cluster_kinds(spark, d):
+    rows = table(spark, d, "pages").select("url").unionByName(synthetic(spark, d, "job_urls").select("url"))
+    return clustering.cluster_urls(rows).groupBy("kind").agg(F.count(F.lit(1)).alias("urls"), F.count_distinct("cluster").alias("clusters"))
+
+
+@query
+def apply_phrase_class(spark, d):
+    rows = table(spark, d, "part").select("p_partkey", F.expr("repeat(concat('Apply now for ', p_name, '. '), CAST(p_partkey % 6 AS INT))").alias("text"))
+    got = rows.select("p_partkey", html.apply_phrases(F.col("text"), ("apply now", "send your resume", "for")).alias("a"))
+    return got.select("p_partkey", F.concat_ws(",", "a.found").alias("found"), "a.is_job")
+
+
+@query
+def microdata_map(spark, d):
+    rows = table(spark, d, "part").select("p_partkey", F.expr("concat('<p itemprop=\"title\">', p_name, '</p><b itemprop=\"brand\"> ', p_brand, '</b><i itemprop=\"title\">', p_type, '</i>')").alias("h"))
+    return rows.select("p_partkey", F.explode(html.microdata(F.col("h"))).alias("name", "value"))
+
+
+@query
+def clean_page(spark, d):
+    c = table(spark, d, "pages").select("page_id", html.clean_page(F.col("html"), F.when(F.col("page_id") % 10 == 0, 404).otherwise(200)).alias("c"))
+    return c.select("page_id", F.md5("c.job_body").alias("body_md5"), F.length("c.job_body").cast("bigint").alias("body_chars"), "c.error_type")
+
+
+@query
+def mobile_agents(spark, d):
+    rows = table(spark, d, "part").select("p_partkey", F.expr("concat('Mozilla/5.0 (', CASE WHEN p_partkey % 3 = 0 THEN 'iPhone' WHEN p_partkey % 3 = 1 THEN 'X11; Linux' ELSE 'Android 14' END, ')')").alias("agent"))
+    return rows.select("p_partkey", urls.is_mobile_user_agent(F.col("agent")).alias("mobile"))
+
+
+@query
+def stream_queue_dedupe(spark, d):
+    return streaming.deduped(spark, f"{d}/events.parquet", "user_id").select(F.col("user_id").alias("key"))
+
+
+@query
+def stream_retry_routing(spark, d):
+    return streaming.routed(spark, synthetic(spark, d, "failures")).groupBy("stream", "outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
