@@ -84,8 +84,8 @@ class Model:
                     for w in WORD.findall(t.lower()):
                         found[w] = found.get(w, 0) + 1
             words = list(found)
-            for at in range(0, len(words), 200_000):
-                part = words[at : at + 200_000]
+            for at in range(0, len(words), 20_000):
+                part = words[at : at + 20_000]
                 count = np.array([found[w] for w in part], float)
                 cells, starts = grams(part)
                 each = np.repeat(count, np.diff([*starts, len(cells)]))
