@@ -124,9 +124,8 @@ def signatures(own: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _linked(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
-    """Edges that join the linked sets among these: all pairs are compared, and an edge
-    between sets that are joined already is left out."""
+def _linked(sets: list[np.ndarray], num: int, den: int) -> list[int]:
+    """For each of the sets, the first one that links reach from it: all pairs are compared."""
     root = list(range(len(sets)))
 
     def top(i: int) -> int:
@@ -139,7 +138,6 @@ def _linked(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]
     starts = np.cumsum(sizes) - sizes
     known, ids = np.unique(np.concatenate(sets), return_inverse=True)
     flag = np.zeros(len(known), np.int32)
-    edges = []
     for i in range(len(sets) - 1):
         end = starts[i + 1]
         flag[ids[starts[i] : end]] = 1
@@ -147,10 +145,8 @@ def _linked(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]
         flag[ids[starts[i] : end]] = 0
         for j in np.flatnonzero(den * both >= num * (sizes[i] + sizes[i + 1 :] - both)) + i + 1:
             a, b = top(i), top(int(j))
-            if a != b:
-                root[b] = a
-                edges.append((i, int(j)))
-    return edges
+            root[max(a, b)] = min(a, b)
+    return [top(i) for i in range(len(sets))]
 
 
 #: Rows of signatures that a task folds at once.
@@ -221,13 +217,12 @@ def candidate_edges(df: DataFrame, text: str, words: int, num: int, den: int) ->
 
     sent = df.select(text).mapInArrow(signed, "sig bigint, node bigint, other bigint")
     dealt = sent.repartition(shuffle_partitions(df.sparkSession), "sig").sortWithinPartitions("sig", "node")
-    return dealt.mapInArrow(joined, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(joined, "a bigint, b bigint")
 
 
 def _compared(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Edges (a, b) between linked sets that stand in one task of rows (task, set_id, data).
-
-    A task is read as a run of rows; it holds 2 * BLOCK texts at most."""
+    """(root, node) for each set that links join to an earlier one, its root, within one task of
+    rows (task, set_id, data). A task is read as a run of rows; it holds 2 * BLOCK texts at most."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -235,8 +230,8 @@ def _compared(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
 
         def done() -> Iterator[pa.RecordBatch]:
             if len(sets) > 1:
-                edges = _linked(sets, num, den)
-                yield pa.record_batch([pa.array([ids[i] for i, _ in edges], pa.binary()), pa.array([ids[j] for _, j in edges], pa.binary())], names=["a", "b"])
+                edges = [(i, j) for j, i in enumerate(_linked(sets, num, den)) if i != j]
+                yield pa.record_batch([pa.array([ids[i] for i, _ in edges], pa.binary()), pa.array([ids[j] for _, j in edges], pa.binary())], names=["root", "node"])
 
         for b in batches:
             for t, i, data in zip(*[b.column(k).to_pylist() for k in range(3)], strict=True):
@@ -250,7 +245,31 @@ def _compared(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
 
     parts = shuffle_partitions(rows.sparkSession)
     dealt = rows.select("task", "set_id", "data").repartition(parts, "task").sortWithinPartitions("task", "set_id")
-    return dealt.mapInArrow(compare, "a binary, b binary")
+    return dealt.mapInArrow(compare, "root binary, node binary")
+
+
+def _large_groups(held: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """(root, node) of the linked sets in groups of several blocks.
+
+    Each block is compared within itself and with the first one of its group. What that leaves
+    outside the group's largest component is then compared with every block."""
+    to = F.when(F.col("block") == 0, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("block"))
+    first = held.select("g", F.explode(to).alias("block"), "set_id", "data")
+    links = checkpointed(_compared(first.withColumn("task", F.concat_ws(":", "g", "block")), words, num, den))
+    edges = lambda x: x.select(F.col("root").alias("a"), F.col("node").alias("b"))
+    roots = components(edges(links))
+    named = held.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
+    named = checkpointed(named.withColumn("root", F.coalesce("root", "set_id")))
+    counts = named.groupBy("g", "root").agg(F.count(F.lit(1)).alias("n"))
+    most = counts.groupBy("g").agg(F.max(F.struct("n", "root")).alias("most")).select("g", F.col("most.root").alias("main"))
+    rest = named.join(most, "g").where("root <> main")
+    per = rest.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("strips"))
+    strips = rest.join(per, "g").withColumn("strip", F.pmod(F.xxhash64(F.lit(3), "set_id"), F.col("strips")))
+    left = strips.select("g", "strip", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "set_id", "data")
+    right = named.join(per, "g").select("g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("strips") - 1)).alias("strip"), "block", "set_id", "data")
+    tasks = left.unionByName(right).withColumn("task", F.concat_ws(":", "g", "strip", "block"))
+    more = checkpointed(_compared(tasks, words, num, den))
+    return roots.select("root", "node") if more.isEmpty() else components(edges(links.unionByName(more))).select("root", "node")
 
 
 def link_components(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, num: int = 85, den: int = 100) -> DataFrame:
@@ -291,28 +310,13 @@ def link_components(df: DataFrame, key: str = "doc_id", text: str = "text", word
     blocks = F.ceil(F.col("size") / BLOCK)
     held = held.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
     held = checkpointed(held)
-    # Every block is compared within itself and with the first block of its group.
-    to = F.when((F.col("block") == 0) & (F.col("blocks") > 1), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("block"))
-    first = held.select("g", F.explode(to).alias("block"), "set_id", "data")
-    links = checkpointed(_compared(first.withColumn("task", F.concat_ws(":", "g", "block")), words, num, den))
-    roots = components(links)
-    # Of a large group, what isn't joined to its largest component is compared with all blocks.
-    large = held.where("blocks > 1").join(roots.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
-    large = checkpointed(large.withColumn("root", F.coalesce("root", "set_id")))
+    # A group of one block is settled within its task; sets without links have no row.
+    roots = _compared(held.where("blocks = 1").withColumn("task", F.col("g").cast("string")), words, num, den)
+    large = held.where("blocks > 1")
     if not large.isEmpty():
-        counts = large.groupBy("g", "root").agg(F.count(F.lit(1)).alias("n"))
-        most = counts.groupBy("g").agg(F.max(F.struct("n", "root")).alias("most")).select("g", F.col("most.root").alias("main"))
-        rest = large.join(most, "g").where("root <> main")
-        per = rest.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("strips"))
-        strips = rest.join(per, "g").withColumn("strip", F.pmod(F.xxhash64(F.lit(3), "set_id"), F.col("strips")))
-        left = strips.select("g", "strip", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "set_id", "data")
-        right = large.join(per, "g").select("g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("strips") - 1)).alias("strip"), "block", "set_id", "data")
-        tasks = left.unionByName(right).withColumn("task", F.concat_ws(":", "g", "strip", "block"))
-        more = checkpointed(_compared(tasks, words, num, den))
-        if not more.isEmpty():
-            roots = components(links.unionByName(more))
+        roots = checkpointed(roots.unionByName(_large_groups(large, words, num, den)))
     sets = rows.where("set_id is not null").groupBy("set_id").agg(F.min(key).alias("least"))
-    sets = sets.join(roots.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+    sets = sets.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     smallest = sets.groupBy("root").agg(F.min("least").alias("component_id"))
     sets = sets.join(smallest, "root").select("set_id", "component_id")
     out = rows.join(sets, "set_id", "left")
