@@ -41,8 +41,8 @@ def dominant_bucket(links: DataFrame, selectors: Sequence[str], by: str = "page_
     rows = rows.withColumn("shape", F.regexp_replace(F.regexp_replace("link", r"\?.*$", ""), r"[^/]*$", ""))
     share = F.count(F.lit(1)).over(Window.partitionBy(by, "shape")) / F.col("size")
     rows = rows.withColumn("share", share)
-    top = F.max("share").over(Window.partitionBy(by))
-    return rows.where((F.col("size") < 10) | (top < 0.7) | (F.col("share") >= 0.7)).select(by, "link", "label", "bucket")
+    rows = rows.withColumn("top", F.max("share").over(Window.partitionBy(by)))
+    return rows.where((F.col("size") < 10) | (F.col("top") < 0.7) | (F.col("share") >= 0.7)).select(by, "link", "label", "bucket")
 
 
 #: Ways in which a page offers more results, by words in its links and buttons.
