@@ -15,7 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 #: Labelled rows of a language that are learned from, at most (about).
 ROWS_A_LANGUAGE = 1500
@@ -212,7 +212,8 @@ def identify(df: DataFrame, model: Model, text: str = "text", with_spans: bool =
 
     schema = StructType([*df.schema.fields]).add("lang_pred", "string").add("score", "double")
     if with_spans:
-        schema = schema.add("spans", "array<struct<start:int,end:int,lang:string>>")
+        span = StructType().add("start", "integer").add("end", "integer").add("lang", "string")
+        schema = schema.add("spans", ArrayType(span))
     return df.mapInArrow(predict, schema)
 
 
