@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from bisect import bisect_right
 
 import pandas as pd
@@ -20,13 +21,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of df with a checkpoint in the shared folder the session names.
+    """df written as a table in the shared folder that spark.checkpoint.dir names, and read again.
 
-    Where no folder is set (local tests), one under /tmp/checkpoints is used."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or "/tmp/checkpoints/linkloom")
-    return df.checkpoint(eager=True)
+    This cuts the lineage, and lets plans go by the real size: an iterated checkpoint() would
+    carry on the estimates of its joins, which multiply. Where no folder is set (local tests),
+    one under /tmp/checkpoints is used."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    path = f"{folder.rstrip('/')}/linkloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def sort_bounds(df: DataFrame, key: str, parts: int, per_part: int = 40) -> list:
