@@ -69,6 +69,36 @@ BOARD_ROUTE_WORDS = ("jobs", "job", "embed", "job_board", "board")
 DETAIL_WORDS = ("detail", "details", "view", "viewjob", "posting", "position", "opportunity", "opening", "apply")
 CONTAINER_WORDS = ("job", "jobs", "career", "careers", "opening", "openings")
 ENVELOPE = ("_clf_payload", "_clf_retry", "_clf_first_seen_at")
+SOCIAL_HOSTS = ("www.apple.com", "www.whatsapp.com", "www.facebook.com", "www.instagram.com", "twitter.com", "www.passtumblr.com", "www.google.com", "www.youtube.com")
+LISTING_ENDS = (
+    "/x/openings", "#menu-toggle", "main", "#filter", "/vacancy-search-results.aspx#", "/vacancy-search-results.aspx#close-search-refine", "vacancy-search-results.aspx",
+    "services.php", "index.php", "search-jobs-v8/", "search-apply1/", "search-apply1", "/overview", "overview/", "hudl-applicant-and-candidate-privacy-policy", "support", "signup",
+    "index.shtml", "hiring-process", "benefits", "subscribe/", ".gov/", "about/", "careers/", "jobs-engineer", "contact.html", "search/", "email-alerts/",
+    "activate-privacy-policy.html", "privacy-policy/", "homepage.htm", "services.html", "/terms-and-conditions.html", "/careers.html", "login.xhtml", "faq", "terms-of-use",
+    "privacy-notice", "news", "/contact/", "?searchphrase=", "/staff", "/services", "/feedback", "search.html", "ViewFAQ.aspx", "savedJobs.html", "MyChart/", "save_job/",
+    "terms-and-conditions", "/faqs", "faqs.html", "/career-areas", "/benefits.html", "company.html", "#content", "#culture", "policies/terms", "#cookies", "Contact_Us",
+    "/Newsletters", ".com/apply/", "prem-offline-form", "/research", "/search-and-apply/", "feed.atom", "/create", "/jobs/#", "/jobs/#go", "=Filter+by+Keywords&",
+    "job_function=-1", "employment-opportunities/", "order=ASC", "irving", "careers/#", "/patients", "/forgot", "Research & Innovation", "Patients & Visitors", "terms/", "/refer",
+    "/responsibility", "/terms-conditions", "/services", ".org/", "our-story/", "/our-story", "/privacy-policy", "forms/", "save_job/", "open-positions/", "topjobs/",
+    "/google-translate", ".edu/", ".org/", "/volunteer", "/join", "/privacy/", "/pay-your-bill", "/terms/", "/pay-a-bill", "/submissions", "/about", "/privacy", "/search",
+    "/your-application", "/job_search#", ".ca//", "/contact-emerald/", "/talk-to-us/", "/connect.html", "/contact-us.html", "/contact-us", "/contact", "/contact.html", "contactus",
+    "aboutus", "/job-opportunities/", "/0/", "login", "employment/#", "careers.html#", "jobs#", "reviews", "jobs/#", "job-openings", "Careers.aspx", "application.html",
+    "job-openings#", "review/", "#menu", "career.html#", "results/#", "privacy-policy", "create", "Privacy.html", "join-us/", "results/##", "/company/", "Career.aspx", "create/",
+    "login/", ".edu/", "current-opening", "current-opening/", "/flowers", "/privacy/", "#purchasing",
+)
+LISTING_PARTS = (
+    "/support-us/", "/ListJobs/ByCustom/Andersen-Job-Category/Keyword-", "employment/search.php?sort=", "/job-openings.php?sort=", "jb_my_searches&SAVED_SEARCH_ID=", "/jobtype/",
+    "/jobindustry/", "/jobcategory/", "jb_search_results", "results_page=", "jobs?page=", "com/job-categories", "?pagesize=", "/page-", "download", "/downloads/", "/introduction/",
+    "/products", "terms-of-use", "contact-us", "product-category", "/sustainability/", "meet-our-people", "site-support", "why-work-us", "investors-media", "/media-contacts/",
+    "/media-library", "our-business", "/professional-areas/", "/terms-use/", "/our-stories", "webSyncID=", "/products/", "sort_by=", "/creative/", "view-all-our-open-jobs",
+    "maps?q=", "&pageno=", "aboutus", "contactus", "sign-in", "/social-responsibility/", "/jobs/job-search/", "/postings/all", "/bookmarks?", "CareerOpportunities.html", "/fr/",
+    "/search?", "/intro?", "jobsearch.asp", "/product/", "?pr=", "?ss=", "maps.google", "/ways-to-give/", "/news/", "/volunteer/", "page_job=", "/jobs/resume", "&pagenum=",
+    "?pageNum=", "page_jobs=", "/jobsearch.ftl", "/joblist.rss", "plus.google.com", "googleads.g.doubleclick.net", "page_jobs=", "?facetcategory=", "?facetcategory=",
+    "?facetcountry=", "/listings.html", "&pageNum=", "pages=", "/jobs/in/", "jobOffset=", "?folderOffset=", "&paged=", "#page-", "?pg=", "PGNO=", "startrow=", "startRow=", "#||||",
+    "|||||", "pagenumber=", "Pagenumber=", "pageNumber=", "/contact-us/", "/community/", "/research/", "//goo.gl/", "//t.co/", "//buff.ly/", "http://bit.ly/", "//ow.ly/", "#tab-",
+    "/property/", "/property-search/", "request-form", "com/idx/", "/catalog", "BrowseAllJobsby", "/member/", "reqtemplate", "GetAQuote&pageName", "apply_now?", "blog#",
+    "-PriceWatch&pageNam", "Click&ZoneID", "play.google", "/for-sale/", "manage/optin", "/jobs/in/",
+)
 
 #: Our own list of phrases that say a posting is gone; callers give theirs.
 EXPIRY_PHRASES = ("no longer available", "position has been filled", "job has expired", "no current openings", "no open positions", "posting is closed", "page not found", "no jobs found")

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.base import contains_any
+from ..functions import rules as R
+from ..functions.base import any_of, contains_any
 
 
 def is_label(label: Column, least: int = 1) -> Column:
@@ -45,6 +46,38 @@ def dominant_bucket(links: DataFrame, selectors: Sequence[str], by: str = "page_
     return rows.where((F.col("size") < 10) | (F.col("top") < 0.7) | (F.col("share") >= 0.7)).select(by, "link", "label", "bucket")
 
 
+def leads_to_listing(url: Column, page_url: Column) -> Column:
+    """Does the URL lead to a list, form or site page rather than to one job?
+
+    Not where it carries a return URL; social hosts do, other than from their own pages; then
+    known ends and parts; of the rest, addresses of up to two segments whose last one (but for its
+    final character) looks like no identifier."""
+    low, host, page_host = F.lower(url), F.get(F.split(url, "/"), F.lit(2)), F.get(F.split(page_url, "/"), F.lit(2))
+    social = F.coalesce(host.isin(*R.SOCIAL_HOSTS) & (F.coalesce(page_url, F.lit("")) != ""), F.lit(False))
+    ends = low.rlike(any_of(sorted({x.lower() for x in R.LISTING_ENDS})) + "$")
+    last = F.regexp_extract(url, "(/[^/]*)[^/]$", 1)
+    return (
+        F.when(url.contains("URL=http"), False)
+        .when(social, ~F.coalesce(host == page_host, F.lit(False)))
+        .when(ends | contains_any(low, sorted({x.lower() for x in R.LISTING_PARTS})), True)
+        .otherwise((F.size(F.split(url, "/")) < 5) & ~last.rlike("[0-9#._?=-]"))
+    )
+
+
+def natural_key(text: Column) -> Column:
+    """A sort key by which numbers in a text go by size and letters without case or accents."""
+    plain = F.translate(F.lower(text), "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy")
+    pieces = F.regexp_extract_all(plain, F.lit(r"([0-9]+|[^0-9]+)"), F.lit(1))
+    return F.array_join(F.transform(pieces, lambda x: F.when(x.rlike("^[0-9]"), F.lpad(x, 20, "0")).otherwise(x)), "")
+
+
+def is_web_address(url: Column) -> Column:
+    """An http, https or ftp URL, or one without a scheme, of a public host with a top-level domain."""
+    private = r"^(?:(?:https?|ftp):)?//(?:[^@/]*@)?(?:10\.|127\.|169\.254\.|192\.168\.|172\.(?:1[6-9]|2[0-9]|3[01])\.)[0-9.]+(?::|/|$)"
+    shape = r"(?i)^(?:(?:https?|ftp):)?//(?:\S+(?::\S*)?@)?(?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}|[a-z0-9\u00a1-\uffff-]+(?:\.[a-z0-9\u00a1-\uffff-]+)*\.[a-z\u00a1-\uffff]{2,})(?::\d{2,5})?(?:[/?#]\S*)?$"
+    return F.coalesce(url.rlike(shape) & ~url.rlike(private), F.lit(False))
+
+
 #: Ways in which a page offers more results, by words in its links and buttons.
 PAGER_FAMILIES = {"load_more": ("load more", "show more", "view more"), "next_button": (">next<", "next page", "rel=\"next\""), "input": ("name=\"page\"",), "pagination": ("class=\"pagination", "class=\"pager")}
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ats, html, postings, predicates, text, urls
 from ..functions.rules import RuleSet
-from ..operators import clustering, lifecycle, links, records
+from ..operators import clustering, legacy, lifecycle, links, records
 from ..streaming import jobs as streaming
 from .oracle import ORACLE
 from .synth import synthetic
@@ -378,6 +378,19 @@ def clean_page(spark, d):
     return c.select("page_id", F.md5("c.job_body").alias("body_md5"), F.length("c.job_body").cast("bigint").alias("body_chars"), "c.error_type")
 
 
+@query
+def ends_with_filter(spark, d):
+    page = F.lit("https://www.facebook.com/us")
+    rows = synthetic(spark, d, "job_urls").unionByName(synthetic(spark, d, "board_urls").select((F.col("k") + 1_000_000).alias("k"), "url"))
+    rows = rows.unionByName(table(spark, d, "pages").select((F.col("page_id") + 2_000_000).alias("k"), "url"))
+    return rows.select("k", legacy.leads_to_listing(F.col("url"), page).alias("listing"))
+
+
+@query
+def natural_order(spark, d):
+    return synthetic(spark, d, "job_urls").select("url", legacy.natural_key(F.col("url")).alias("sort_key"))
+
+
 @query
 def mobile_agents(spark, d):
     rows = table(spark, d, "part").select("p_partkey", F.expr("concat('Mozilla/5.0 (', CASE WHEN p_partkey % 3 = 0 THEN 'iPhone' WHEN p_partkey % 3 = 1 THEN 'X11; Linux' ELSE 'Android 14' END, ')')").alias("agent"))

@@ -181,6 +181,13 @@ ORACLE: dict[str, str] = {
     "clean_page": r"""
         SELECT page_id, md5(b) AS body_md5, CAST(length(b) AS BIGINT) AS body_chars, CASE WHEN page_id % 10 = 0 THEN 'http_404' ELSE '' END AS error_type FROM (
           SELECT page_id, CASE WHEN page_id % 10 = 0 THEN '' ELSE trim(regexp_replace(t(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?is)<script\b[^>]*>.*?</script>', ' ', 'g'), '(?is)<style\b[^>]*>.*?</style>', ' ', 'g')), '\s+', ' ', 'g')) END AS b FROM pages) z""",
+    "ends_with_filter": f"""
+        SELECT k, CASE WHEN contains(url, 'URL=http') THEN false WHEN list_contains({list(R.SOCIAL_HOSTS)}, string_split(url, '/')[3]) THEN string_split(url, '/')[3] <> 'www.facebook.com'
+               WHEN len(list_filter({[x.lower() for x in R.LISTING_ENDS]}, lambda x: ends_with(lower(url), x))) > 0 OR len(list_filter({[x.lower() for x in R.LISTING_PARTS]}, lambda x: contains(lower(url), x))) > 0 THEN true
+               ELSE len(string_split(url, '/')) < 5 AND NOT regexp_matches(left(string_split(url, '/')[-1], greatest(length(string_split(url, '/')[-1]) - 1, 0)), '[0-9#._?=-]') END AS listing
+        FROM (SELECT k, url FROM {S('job_urls')} a UNION ALL SELECT k + 1000000, url FROM {S('board_urls')} b UNION ALL SELECT page_id + 2000000, url FROM pages) z""",
+    "natural_order": f"""
+        SELECT url, array_to_string(list_transform(regexp_extract_all(lower(url), '[0-9]+|[^0-9]+'), lambda x: CASE WHEN regexp_matches(x, '^[0-9]') THEN lpad(x, 20, '0') ELSE x END), '') AS sort_key FROM {S('job_urls')} s""",
     "mobile_agents": "SELECT p_partkey, p_partkey % 3 <> 1 AS mobile FROM part",
     "stream_queue_dedupe": "SELECT DISTINCT user_id AS key FROM events",
 }

@@ -74,3 +74,12 @@ def test_seed_sources(spark, tmp_path):
 def test_empty_pages_have_no_links(spark):
     pages = spark.createDataFrame([(1, "https://a.com", None), (2, None, "<a href='/x'>y</a>"), (3, "https://a.com", "")], "page_id int, url string, html string")
     assert links.link_entries(pages).count() == 0
+
+
+def test_web_addresses_and_natural_order(spark):
+    urls = {"https://a.com/x": True, "//a.com": True, "http://10.0.0.1/": False, "http://8.8.8.8/": True, "http://localhost": False, "a.com": False, "ftp://über.de/": True, None: False}
+    rows = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, u string")
+    assert [r[0] for r in rows.select(legacy.is_web_address(F.col("u"))).collect()] == list(urls.values())
+    names = ["b2", "A10", "a9", "Éa", "eb"]
+    rows = spark.createDataFrame([(n,) for n in names], "n string")
+    assert [r[0] for r in rows.orderBy(legacy.natural_key(F.col("n"))).collect()] == ["a9", "A10", "b2", "Éa", "eb"]
