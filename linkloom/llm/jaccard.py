@@ -150,7 +150,7 @@ def _linked(sets: list[np.ndarray], num: int, den: int) -> list[int]:
 
 
 #: Rows of signatures that a task folds at once.
-FOLDED = 1 << 20
+FOLDED = 1 << 19
 #: Texts in a block of a large candidate group.
 BLOCK = 256
 
