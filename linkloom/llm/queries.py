@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .fingerprints import op6_fingerprints
-from .html_text import op4_html_extraction
-from .jaccard import op3_ngram_jaccard
+from .html_text import OP4_SQL, op4_html_extraction
+from .jaccard import OP3_SQL, op3_ngram_jaccard
 from .language import op9_language_id
 from .line_dedup import op1_line_dedup
 from .mixing import op7_source_mixing
@@ -37,4 +37,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op2_url_filters": OP2_SQL,
+        "op3_ngram_jaccard": OP3_SQL,
+        "op4_html_extraction": OP4_SQL,
     }
