@@ -35,7 +35,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_line_dedup": op1_line_dedup,
         "op2_url_filters": OP2_SQL,
         "op3_ngram_jaccard": OP3_SQL,
         "op4_html_extraction": OP4_SQL,
