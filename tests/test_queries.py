@@ -37,4 +37,5 @@ def test_registry():
     import __spark_entry__
 
     assert set(QUERIES) <= set(__spark_entry__.queries())
-    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+    sql = __spark_entry__.oracle_sql()
+    assert set(sql) <= set(__spark_entry__.queries()) and all(isinstance(x, str) for x in sql.values())
