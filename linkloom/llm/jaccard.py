@@ -305,8 +305,9 @@ def link_components(df: DataFrame, key: str = "doc_id", text: str = "text", word
             yield pa.record_batch([pa.array(node, pa.int64()), pa.array(ids, pa.binary()), pa.array(data, pa.binary())], names=["node", "set_id", "data"])
 
     texts = docs.select(text).mapInArrow(packed, "node bigint, set_id binary, data binary").where("node is not null")
-    # One text stands for all that have its set.
-    held = texts.join(groups, "node").groupBy("set_id", "g", "size").agg(F.min("data").alias("data"))
+    # One text stands for all that have its set. The groups grow with the input, so they are
+    # joined in one way at every size.
+    held = texts.hint("merge").join(groups, "node").groupBy("set_id", "g", "size").agg(F.min("data").alias("data"))
     blocks = F.ceil(F.col("size") / BLOCK)
     held = held.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
     held = checkpointed(held)
