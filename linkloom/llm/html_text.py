@@ -3,7 +3,7 @@
 A page becomes lines of text, one for each block, without what its own markup says is no
 content. Each page is then paired with the one before it in the order of URL paths
 within its host; their lines are aligned by longest common subsequence, and what both
-share is the site's, not the page's, and goes."""
+share outside an article is the site's, not the page's, and goes."""
 
 from __future__ import annotations
 
@@ -42,19 +42,19 @@ ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'
 
 
 def blocks(source: str | None) -> list[tuple[int, str]]:
-    """(content, line) for each block of a page in order; content is 1 within the page's own
-    article or main element and 0 elsewhere. Blocks without text are left out."""
+    """(content, line) for each block of a page in order; content is 1 within an article, 2 in
+    a main element outside one and 0 elsewhere. Blocks without text are left out."""
     source = source or ""
     out: list[tuple[int, str]] = []
     text: list[str] = []
     skip: list[str] = []  # open elements of the skipped one's name
-    content, head, at = 0, False, 0
+    within, head, at = {"article": 0, "main": 0}, False, 0
 
     def end() -> None:
         line = " ".join(html.unescape("".join(text)).split())
         text.clear()
         if line:
-            out.append((int(content > 0), line))
+            out.append((1 if within["article"] else 2 if within["main"] else 0, line))
 
     while m := TOKEN.match(source, at):
         at = m.end()
@@ -85,16 +85,16 @@ def blocks(source: str | None) -> list[tuple[int, str]]:
             head = not closing
         elif tag == "body":
             head = False
-        elif tag in ("article", "main"):
-            content = max(0, content + (-1 if closing else 1))
+        elif tag in within:
+            within[tag] = max(0, within[tag] + (-1 if closing else 1))
         if closing:
             continue
         if tag in RAW:
             at = _raw_end(source, at, tag)
-        elif tag not in VOID and tag not in ("html", "body", "main") and (tag in SKIPPED or tag == "header" and not content or attributes and _marked(attributes)):
+        elif tag not in VOID and tag not in ("html", "body", "main") and (tag in SKIPPED or tag == "header" and not any(within.values()) or attributes and _marked(attributes)):
             end()
             skip.append(tag)
-            content -= tag == "article"
+            within["article"] -= tag == "article"
     end()
     return out
 
@@ -142,12 +142,16 @@ def shared_lines(a: list[str], b: list[str]) -> set[int]:
 def main_text(own: list[tuple[int, str]], near: list[tuple[int, str]]) -> str:
     """The lines of a page that are its content, given the nearest page of its host.
 
-    Of the lines outside an article those that both pages share go. An article's lines are
-    the page's own, even where a copy or a quoted passage on the next page repeats them.
-    Where a page has an article, nothing outside it is content."""
-    if any(c for c, _ in own):
-        return "\n".join(x for c, x in own if c)
-    gone = shared_lines([x for _, x in own], [x for c, x in near if not c])
+    An article's lines stay even where the other page has them: copies and quoted passages
+    are content. Of all other lines those that both pages have outside articles go, and the rest
+    stays, also on a page with an article. Where there is no page to compare with, the
+    markup alone decides: lines outside article and main go if those hold half of the text."""
+    if not near:
+        marked = sum(len(x) for c, x in own if c)
+        alone = 2 * marked >= sum(len(x) for _, x in own) > 0
+        return "\n".join(x for c, x in own if c or not alone)
+    loose = [i for i, (c, _) in enumerate(own) if c != 1]
+    gone = {loose[i] for i in shared_lines([own[i][1] for i in loose], [x for c, x in near if c != 1])}
     return "\n".join(x for i, (_, x) in enumerate(own) if i not in gone)
 
 

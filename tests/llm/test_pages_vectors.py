@@ -65,6 +65,16 @@ def test_extraction_by_neighbours(spark):
     assert html_text.extract_text(df.limit(0)).count() == 0
 
 
+def test_differencing_decides_outside_articles():
+    page = "<div>Site name</div><article><p>teaser {0}</article><div>body text {0}</div><main><p>skip to top</p><p>more {0}</p></main>"
+    own, near = (html_text.blocks(page.format(x)) for x in "ab")
+    assert html_text.main_text(own, near) == "teaser a\nbody text a\nmore a"
+    quoted = [(1, "a quoted passage"), (0, "Site name")]
+    assert html_text.main_text(quoted, quoted) == "a quoted passage"
+    assert html_text.main_text([(1, "a long article"), (0, "Site")], []) == "a long article"
+    assert html_text.main_text([(1, "card"), (0, "the long body of the page")], []) == "card\nthe long body of the page"
+
+
 def brute(vectors, queries, k):
     out = {}
     for q in queries:
