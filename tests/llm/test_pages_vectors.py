@@ -1,6 +1,7 @@
 """URL filters, HTML extraction, nearest neighbours and the pipeline."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,13 +69,50 @@ def test_extraction_by_neighbours(spark):
 def test_differencing_decides_outside_articles():
     page = "<div>Site name</div><article><p>teaser {0}</article><div>body text {0}</div><main><p>skip to top</p><p>more {0}</p></main>"
     own, near = (html_text.blocks(page.format(x)) for x in "ab")
-    assert html_text.main_text(own, near) == "teaser a\nbody text a\nmore a"
+    assert html_text.main_text(own, [near]) == "teaser a\nbody text a\nskip to top\nmore a"
+    assert html_text.main_text(own, [near, html_text.blocks(page.format("c"))]) == "teaser a\nbody text a\nmore a"
     quoted = [(1, "a quoted passage"), (0, "Site name")]
-    assert html_text.main_text(quoted, quoted) == "a quoted passage"
+    assert html_text.main_text(quoted, [quoted]) == "a quoted passage"
     assert html_text.main_text([(1, "a long article"), (0, "Site")], []) == "a long article"
     assert html_text.main_text([(1, "card"), (0, "the long body of the page")], []) == "card\nthe long body of the page"
 
 
+def test_copies_keep_their_text_and_first_pages_lose_the_shell(spark):
+    shell = "<div>Site name</div><p>{}</p><div>All rights</div>"
+    texts = {0: "own text 0", 1: "own text 1", 2: "a whole article that stands here", 3: "own text 3", 4: "own text 4"}
+    rows = [(10 * i + j, f"https://a.example/p/{i}?v={j}", shell.format(t)) for i, t in texts.items() for j in range(7 if i in (0, 2) else 1)]
+    rows += [(1000 + j, f"https://b.example/{j // 3}", "<p>the same page of a host twice</p>") for j in range(9)]
+    rows += [(2000 + i, f"https://c.example/{i}", f"<p>a first long paragraph of a mirrored text</p><p>another one</p><p>edit {i}</p>") for i in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in html_text.extract_text(df).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i] == texts[i // 10] for i in got if i < 1000)
+    assert {got[i] for i in got if 1000 <= i < 2000} == {"the same page of a host twice"}
+    assert got[2001] == "a first long paragraph of a mirrored text\nanother one\nedit 1"
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_ranges_do_not_decide_the_near_pages(parts):
+    rng = np.random.default_rng(parts)
+    rows = sorted((f"{'abc'[int(rng.integers(0, 3))]}.example\x00/{rng.integers(0, 30):02}", n, int(rng.integers(0, 4))) for n in range(60))
+    part = sorted(int(x) for x in rng.integers(0, parts, len(rows)))
+    table = pa.record_batch([pa.array(part, pa.int32()), pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows])], names=["part", "key", "h", "digest"])
+    edges = [e for b in html_text._edges(iter([table])) for e in b.to_pylist()]
+    extra = {}
+    for p, key, h, to in html_text._borrowed(edges):
+        for t in to:
+            extra.setdefault(t, []).append((key, h, p))
+    for p in set(part):
+        first, last = part.index(p), len(part) - 1 - part[::-1].index(p)
+        for at, step in ((first, -1), (last, 1)):
+            near, host, i = [], rows[at][0].split("\x00")[0], at + step
+            while 0 <= i < len(rows) and rows[i][0].split("\x00")[0] == host and len(near) < 3:
+                if rows[i][2] not in [d for d, _ in near]:
+                    near.append((rows[i][2], rows[i][1]))
+                i += step
+            assert {h for _, h in near} == {h for _, h, q in extra.get(p, []) if (q < p) == (step < 0)}
+
+
 def brute(vectors, queries, k):
     out = {}
     for q in queries:
