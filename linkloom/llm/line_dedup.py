@@ -1,8 +1,8 @@
 """Line dedup by pairwise alignment.
 
 Each line has an owner, the first document that holds it. A later document that shares a rare
-line with the owner is aligned with it by patience diff, and the common blocks go from
-the later document. Lines that very many documents share open no pairs: their runs that
+line with the owner is aligned with it by patience diff, with an exact match of runs for
+what has no anchors, and the common blocks go from the later document. Lines that very many documents share open no pairs: their runs that
 stand in the same order in the owner, from the line's first place there, are blocks too and
 are found by joins alone. No line is left out for being frequent."""
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -50,8 +51,8 @@ def _anchors(a: Sequence, b: Sequence, a0: int, a1: int, b0: int, b1: int) -> li
     return out[::-1]
 
 
-def patience(a: Sequence, b: Sequence) -> list[tuple[int, int]]:
-    """Pairs (i, j) of equal lines a[i] == b[j], both increasing, by patience diff."""
+def _increasing(a: Sequence, b: Sequence) -> list[tuple[int, int]]:
+    """Pairs (i, j) of equal lines a[i] == b[j], both increasing, by patience diff alone."""
     out, todo = [], [(0, len(a), 0, len(b))]
     while todo:
         a0, a1, b0, b1 = todo.pop()
@@ -73,6 +74,58 @@ def patience(a: Sequence, b: Sequence) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _longest(a: Sequence, b: Sequence) -> list[tuple[int, int]]:
+    """For each i the size of the longest run of lines that ends at a[i] and stands in b, and
+    where in b it ends, by an automaton of the runs of b: time goes by the sizes of both."""
+    then: list[dict] = [{}]
+    link, size, end, last = [-1], [0], [-1], 0
+    for j, x in enumerate(b):
+        new, p = len(then), last
+        then.append({})
+        link.append(0)
+        size.append(size[last] + 1)
+        end.append(j)
+        while p >= 0 and x not in then[p]:
+            then[p][x] = new
+            p = link[p]
+        if p >= 0:
+            q = then[p][x]
+            if size[q] > size[p] + 1:
+                copy = len(then)
+                then.append(dict(then[q]))
+                link.append(link[q])
+                size.append(size[p] + 1)
+                end.append(end[q])
+                while p >= 0 and then[p].get(x) == q:
+                    then[p][x] = copy
+                    p = link[p]
+                link[q] = q = copy
+            link[new] = q
+        last = new
+    out, at, n = [], 0, 0
+    for x in a:
+        while at and x not in then[at]:
+            at = link[at]
+            n = size[at]
+        if x in then[at]:
+            at, n = then[at][x], n + 1
+        out.append((n, end[at]))
+    return out
+
+
+def patience(a: Sequence, b: Sequence) -> list[tuple[int, int]]:
+    """Pairs (i, j) of equal lines a[i] == b[j] by patience diff, both increasing, and then
+    those of each longest common run that the diff has not found whole, as lines without
+    anchors are in: a run of b may be taken more than once."""
+    out = _increasing(a, b)
+    have, found = set(out), _longest(a, b)
+    for i, (n, j) in enumerate(found):
+        if n and (i + 1 == len(a) or found[i + 1][0] != n + 1):
+            run = [(i - k, j - k) for k in range(n - 1, -1, -1)]
+            out += [] if have.issuperset(run) else run
+    return out
+
+
 def common_blocks(pairs: list[tuple[int, int]], words: Sequence[int], least: int) -> list[int]:
     """The lines i of runs of pairs, next to each other on both sides, with `least` words."""
     out: list[int] = []
@@ -85,6 +138,21 @@ def common_blocks(pairs: list[tuple[int, int]], words: Sequence[int], least: int
     return out + (run if sum(words[k] for k in run) >= least else [])
 
 
+def repeated_in(a: Sequence, b: Sequence, words: Sequence[int], least: int) -> list[int]:
+    """The lines of common_blocks(patience(a, b), words, least), without listing the pairs:
+    the diff's blocks, and for what it leaves the longest common runs."""
+    gone = set(common_blocks(_increasing(a, b), words, least))
+    there = set(b)
+    if any(i not in gone and x in there for i, x in enumerate(a)):
+        upto = [0, *accumulate(words)]
+        last = len(a)
+        for i, (n, _) in reversed([*enumerate(_longest(a, b))]):
+            if n and upto[i + 1] - upto[i + 1 - n] >= least:
+                gone.update(range(i + 1 - n, min(i + 1, last)))
+                last = min(last, i + 1 - n)
+    return sorted(gone)
+
+
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
@@ -111,7 +179,7 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             own, words, other = (b.column(n).to_pylist() for n in (1, 2, 3))
-            gone = [common_blocks(patience(x, y), w, least_words) for x, w, y in zip(own, words, other, strict=True)]
+            gone = [repeated_in(x, y, w, least_words) for x, w, y in zip(own, words, other, strict=True)]
             yield pa.record_batch([b.column(0), pa.array(gone, pa.list_(pa.int32()))], names=["k", "gone"])
 
     kind = df.schema[key].dataType.simpleString()

@@ -202,6 +202,27 @@ def test_patience():
     assert line_dedup.common_blocks([(0, 0), (1, 1), (3, 2)], [3, 3, 0, 9], 6) == [0, 1, 3]
 
 
+def test_blocks_without_anchors_go():
+    def brute(a, b, words, least):
+        out = set()
+        for i, j in itertools.product(range(len(a)), range(len(b))):
+            n = 0
+            while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                n += 1
+            out |= set(range(i, i + n)) if sum(words[i : i + n]) >= least else set()
+        return sorted(out)
+
+    rng = np.random.default_rng(6)
+    for _ in range(1500):
+        a, b = ([*map(str, rng.integers(0, 4, int(rng.integers(0, 12))))] for _ in range(2))
+        words = [int(x) for x in a]
+        got = line_dedup.repeated_in(a, b, words, 4)
+        assert got == brute(a, b, words, 4) == sorted(set(line_dedup.common_blocks(line_dedup.patience(a, b), words, 4)))
+    # Twice in the later document, in the middle of both.
+    assert line_dedup.repeated_in(list("pxqxr"), list("sxt"), [9] * 5, 5) == [1, 3]
+    assert len(line_dedup.repeated_in(["x"] * 20000, ["x"] * 10000, [1] * 20000, 5)) == 20000
+
+
 def test_packing_round_trip(spark, odd, none, clash):
     json_ = packing.vocabulary()
     assert packing.pack(packing.token_pieces(none, json_)).count() == 0
