@@ -1,10 +1,9 @@
 """Line dedup by pairwise alignment.
 
-Each line has an owner, the first document that holds it. A later document that shares a rare
-line with the owner is aligned with it by patience diff, with an exact match of runs for
-what has no anchors, and the common blocks go from the later document. Lines that very many documents share open no pairs: their runs that
-stand in the same order in the owner, from the line's first place there, are blocks too and
-are found by joins alone. No line is left out for being frequent."""
+Each line has an owner, the first document that holds it. Each later document with another
+text is aligned with every owner of its lines by patience diff, with an exact match of
+runs for what has no anchors, and the common blocks go from the later document. Copies of
+one text cost no alignment: they go whole. No line is left out for being frequent."""
 
 from __future__ import annotations
 
@@ -16,11 +15,10 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import checkpointed
 
-#: A line that stands more often is not rare.
+#: Hundreds of pairs of one owner that are aligned in one task; more are dealt over several.
 RARE = 100
 #: Words that a common block has at least.
 LEAST_WORDS = 5
@@ -158,23 +156,29 @@ def _lines(text: Column) -> Column:
 
 
 def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, rare: int = RARE) -> DataFrame:
-    """(k, gone): for each document with lines to delete, their numbers from 0.
+    """(k, gone): for the first document of each text the numbers, from 0, of its lines to delete.
 
     k is (key, hash of the text); rows with one key and one text are one document. Documents
-    are ordered by k, null keys first."""
-    base = df.select(F.struct(F.col(key).alias("d"), F.xxhash64(text).alias("h")).alias("k"), _lines(F.col(text)).alias("lines"))
+    are ordered by k, null keys first. A document that is not here is a copy of one that is.
+    `rare` sets how the work is dealt, not what is found."""
+    base = df.select(F.struct(F.col(key).alias("d"), F.xxhash64(text).alias("h")).alias("k"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("t"), _lines(F.col(text)).alias("lines"))
     count = lambda x: F.regexp_count(x, F.lit(r"\S+"))
     digest = lambda x: F.unhex(F.md5(x))
-    lines = base.select("k", F.posexplode("lines").alias("i", "line")).select("k", "i", digest(F.col("line")).alias("hash"), count(F.col("line")).alias("words"))
-    lines = lines.where("words > 0")
-    shared = lines.groupBy("hash").agg(F.min(F.struct("k", "i")).alias("owner"), F.max("k").alias("last"), F.count(F.lit(1)).alias("n"))
-    shared = shared.where(F.col("owner.k") != F.col("last")).select("hash", F.col("owner.k").alias("ok"), F.col("owner.i").alias("oi"), "n")
-    hits = checkpointed(lines.join(shared, "hash").where("k <> ok").select("k", "i", "words", "ok", "oi", "n"))
-
-    # Rare lines: align the pairs.
-    pairs = hits.where(F.col("n") <= rare).select("k", "ok").distinct()
-    sides = base.select("k", F.transform("lines", digest).alias("hashes"), F.transform("lines", count).alias("words"))
-    sides = sides.groupBy("k").agg(F.first("hashes").alias("hashes"), F.first("words").alias("words"))
+    # A null text and an empty one differ in h.
+    sides = base.select("k", "t", F.transform("lines", digest).alias("hashes"), F.transform("lines", count).alias("words"))
+    sides = sides.groupBy("t", F.col("k.h").alias("h")).agg(F.min("k").alias("k"), F.first("hashes").alias("hashes"), F.first("words").alias("words"))
+    sides = checkpointed(sides.select("k", "hashes", "words"))
+    lines = sides.select("k", F.explode(F.arrays_zip("hashes", "words")).alias("line")).where("line.words > 0").select("k", F.col("line.hashes").alias("hash"))
+    shared = lines.groupBy("hash").agg(F.min("k").alias("ok"), F.max("k").alias("last")).where(F.col("ok") != F.col("last")).select("hash", "ok")
+    pairs = checkpointed(lines.join(shared, "hash").where("k <> ok").select("k", "ok").distinct())
+
+    # Owners of very many lines: their pairs are dealt over several tasks.
+    share = 100 * rare
+    hot = F.broadcast(pairs.groupBy("ok").count().where(F.col("count") > share).select("ok", F.ceil(F.col("count") / share).cast("int").alias("shares")))  # at most pairs / share rows
+    shares = F.coalesce(F.col("shares"), F.lit(1))
+    pairs = pairs.join(hot, "ok", "left").select("k", "ok", F.pmod(F.xxhash64("k"), shares).cast("int").alias("share"))
+    owners = sides.select(F.col("k").alias("ok"), F.col("hashes").alias("other")).join(hot, "ok", "left")
+    owners = owners.select("ok", "other", F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"))
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -183,16 +187,10 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least
             yield pa.record_batch([b.column(0), pa.array(gone, pa.list_(pa.int32()))], names=["k", "gone"])
 
     kind = df.schema[key].dataType.simpleString()
-    both = pairs.join(sides, "k").join(sides.select(F.col("k").alias("ok"), F.col("hashes").alias("other")), "ok")
+    both = pairs.join(sides, "k").join(owners, ["ok", "share"])
     aligned = both.select("k", "hashes", "words", "other").mapInArrow(align, f"k struct<d:{kind},h:bigint>, gone array<int>")
-
-    # Lines that many share: runs in the owner's order.
-    at = Window.partitionBy("k", "ok", F.col("oi") - F.col("i")).orderBy("i")
-    often = hits.where(F.col("n") > rare).withColumn("run", F.col("i") - F.row_number().over(at))
-    runs = often.groupBy("k", "ok", (F.col("oi") - F.col("i")).alias("shift"), "run").agg(F.sum("words").alias("words"), F.collect_list("i").alias("gone"))
-    runs = runs.where(F.col("words") >= least_words).select("k", "gone")
-    gone = aligned.where(F.size("gone") > 0).unionByName(runs)
-    return gone.groupBy("k").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
+    every = aligned.where(F.size("gone") > 0).unionByName(sides.select("k", F.array().cast("array<int>").alias("gone")))
+    return every.groupBy("k").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
 
 
 def drop_repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, rare: int = RARE) -> DataFrame:
@@ -210,6 +208,10 @@ def drop_repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text",
     keyed = df.withColumns({"__d": F.col(key), "__h": F.xxhash64(text)})
     on = keyed["__d"].eqNullSafe(gone["__d"]) & (keyed["__h"] == gone["__h"])
     out = keyed.join(gone, on, "left").drop(gone["__d"]).drop(gone["__h"]).drop("__d", "__h")
+    # A copy of an earlier text goes whole, as one block.
+    whole = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(r"\S+")) >= least_words
+    copied = F.when(whole, F.sequence(F.lit(0), F.size(_lines(F.col(text))) - 1))
+    out = out.withColumn("__gone", F.coalesce(F.when(F.size("__gone") > 0, F.col("__gone")), F.when(F.col("__gone").isNull(), copied)))
     kept = F.array_join(F.filter(_lines(F.col(text)), lambda x, i: ~F.array_contains("__gone", i)), "\n")
     out = out.withColumns(
         {

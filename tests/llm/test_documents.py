@@ -223,6 +223,16 @@ def test_blocks_without_anchors_go():
     assert len(line_dedup.repeated_in(["x"] * 20000, ["x"] * 10000, [1] * 20000, 5)) == 20000
 
 
+@pytest.mark.parametrize("rare", [1, 10**6])
+def test_frequent_copies_and_short_lines_go_whole(spark, rare):
+    copy = "Of.\na passage that very many documents hold\nOf.\nand its end\nOf."
+    texts = {0: "Of.\nan unrelated first document"} | {k: copy for k in range(1, 160)}
+    texts |= {k: f"new {k}\nOf.\nOf.\ntwo words\nby it\nand so on\nnew end {k}" for k in range(160, 290)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.drop_repeated_lines(df, rare=rare).collect()}
+    assert all(got[k] == (texts[k] if k in (0, 1, 160) else "" if k < 160 else f"new {k}\nnew end {k}") for k in texts)
+
+
 def test_packing_round_trip(spark, odd, none, clash):
     json_ = packing.vocabulary()
     assert packing.pack(packing.token_pieces(none, json_)).count() == 0
