@@ -47,10 +47,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest doc_id."""
-    found = link_components(docs, words=WORDS, num=SIMILAR)
-    stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__stays")).distinct()
-    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("__stays")), "left_semi")
+    """One row of each group of near copies, that with the smallest doc_id; null ids come first,
+    and of equal ids a hash of the row decides, then its place. Repeated rows are copies too.
+    docs has to replay in order, as tables do."""
+    numbered = docs.withColumn("__place", F.monotonically_increasing_id())
+    row = F.struct(F.col("doc_id").alias("d"), F.xxhash64(*docs.columns).alias("h"), F.col("__place").alias("place"))
+    found = link_components(numbered.select(row.alias("__row"), "text"), key="__row", words=WORDS, num=SIMILAR)
+    stays = found.select(F.col("component_id.place").alias("__place")).distinct()
+    return numbered.join(stays, "__place", "left_semi").select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -153,3 +153,13 @@ def test_pipeline(spark, odd, none):
             docs = stage(spark, docs, "").cache()
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
         assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() >= docs.count()
+
+
+def test_near_dedup_keeps_one_row_of_repeated_and_null_keys(spark, tmp_path):
+    import corpus_pipeline
+
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(7, words)] * 5 + [(None, words + " x")] * 3 + [(None, "another text that has no key at all")] * 4 + [(8, "a text of its own that stays here"), (8, "other words under the same key as before")]
+    spark.createDataFrame([(k, t, "en", "a", len(t)) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(str(tmp_path / "d"))
+    got = corpus_pipeline.near_dedup(spark, spark.read.parquet(str(tmp_path / "d")), "").collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted({(None, words + " x"), *rows[8:]}, key=str)
