@@ -60,16 +60,23 @@ SUPPORTING_CAREER_PATH = "(opening|openings|apply|talent|hiring|recruit|candidat
 ARTICLE_PATH = "(announc|news|blog|press|article|story|event|webinar|case-stud|testimonial|investor|team|leadership|about|contact|privacy|terms|office)"
 LISTING_PATH = "(listing|searchjobs|jobsearch|jobboard|job-board|joblist)"
 HARD_NON_CAREER = ("about", "aboutus", "contact", "contactus", "faq", "help", "support", "privacy", "terms", "cookie", "cookies", "sitemap", "home", "news", "blog", "press", "investor", "team", "leadership", "benefits", "locations", "location", "accessibility", "login", "signin", "signup", "register", "policy")
+#: Fixed values.
 EXPIRY_HINT = r"\b(404|403|410|500|502|503|504|error|expired|no jobs?|not found|forbidden|access denied|job closed|position filled|vacancy closed)\b"
 CHALLENGES = ("sgcaptcha", "cf-chl", "challenge-platform", "_incapsula_resource", "distil_r_captcha", "/captcha")
+#: Fixed values.
 SOCIAL = ("whatsapp.com", "instagram.com", "twitter.com", "pinterest.com", "googleads.g.doubleclick.net", "glassdoor.com", "glassdoor.co.in", "tumblr.com", "facebook.com", "youtube.com")
 EXCLUDED_HOSTS = ("indeed", "ziprecruiter", "pcrecruiter", "stabilityhealthcare", "cms24-7", "elitemedicalstaffing", "columbiacountyga", "google", "hrapply", "fountain", "staffmine", "philipsrecruiting", "advancedprofessionals", "smartsearchonline", "synergystaffing", "ageatia", "mskcc", "iconplc", "usgrpinc", "nysais", "vitas")
+#: Fixed values.
 FINAL_EXTENSIONS = (".zip", ".rar", ".7z", ".tar", ".gz", ".pdf", ".doc", ".docx", ".xls", ".xlsx", ".ppt", ".pptx", ".csv", ".txt", ".xml", ".rss", ".atom", ".jpg", ".jpeg", ".png", ".gif", ".svg", ".webp", ".ico", ".bmp", ".mp3", ".wav", ".mp4", ".avi", ".mov", ".wmv", ".mkv", ".exe", ".dmg", ".apk")
+#: What an error message says where trying again is of no use.
+FINAL_ERRORS = ("invalid url", "err_invalid_url", 'protocol "mailto:"', 'protocol "tel:"', 'protocol "javascript:"', "unsupported protocol")
+#: Fixed values.
 BOARD_ROUTE_WORDS = ("jobs", "job", "embed", "job_board", "board")
 DETAIL_WORDS = ("detail", "details", "view", "viewjob", "posting", "position", "opportunity", "opening", "apply")
 CONTAINER_WORDS = ("job", "jobs", "career", "careers", "opening", "openings")
 ENVELOPE = ("_clf_payload", "_clf_retry", "_clf_first_seen_at")
 SOCIAL_HOSTS = ("www.apple.com", "www.whatsapp.com", "www.facebook.com", "www.instagram.com", "twitter.com", "www.passtumblr.com", "www.google.com", "www.youtube.com")
+#: Fixed values.
 LISTING_ENDS = (
     "/x/openings", "#menu-toggle", "main", "#filter", "/vacancy-search-results.aspx#", "/vacancy-search-results.aspx#close-search-refine", "vacancy-search-results.aspx",
     "services.php", "index.php", "search-jobs-v8/", "search-apply1/", "search-apply1", "/overview", "overview/", "hudl-applicant-and-candidate-privacy-policy", "support", "signup",
@@ -100,6 +107,63 @@ LISTING_PARTS = (
     "-PriceWatch&pageNam", "Click&ZoneID", "play.google", "/for-sale/", "manage/optin", "/jobs/in/",
 )
 
+#: The pagers, in order of trial; all but one are looked for in any case of letters.
+PAGERS = (
+    r"Showing Jobs (\d{1,5}) - (\d{1,5}) of (\d{1,5})",
+    r"Showing Job (\d{1,5}) - (\d{1,5}) of (\d{1,5})",
+    r"Search Results Page (\d{1,5}) of (\d{1,5})",
+    r"Showing (\d{1,5}) to (\d{1,5}) of (\d{1,5}) results",
+    r"Showing (\d{1,5})-(\d{1,5}) of (\d{1,5})",
+    r"Job Openings (\d{1,5})-(\d{1,5}) of (\d{1,5})",
+    r"Displaying (\d{1,5})-(\d{1,5}) of (\d{1,5})",
+    r"Displaying: (\d{1,5}) - (\d{1,5}) of (\d{1,5})",
+    r"Showing (\d{1,5}) of (\d{1,5}) opportunities",
+    r"Showing (\d{1,5}) of (\d{1,5})",
+    r"Showing (\d{1,5}) - (\d{1,5}) of (\d{1,5}) total Positions",
+    r"Showing (\d{1,5}) of (\d{1,5}) jobs",
+    r"Showing (\d{1,5}) of (\d{1,5}) job",
+    r"Showing (\d{1,5})-(\d{1,5}) of (\d{1,5})",
+    r"Showing positions (\d{1,5}) to (\d{1,5}) of (\d{1,5})  matches",
+    r"Showing (\d{1,5}) to (\d{1,5}) of (\d{1,5}) jobs",
+    r"Showing (\d{1,5}) to (\d{1,5}) of (\d{1,5})",
+    r"Showing (\d{1,5})–(\d{1,5}) of (\d{1,5}) results",
+    r"(?-i)(\d{1,5}) of (\d{1,5}) Job Opportunities",
+    r"(\d{1,5})-(\d{1,5}) of (\d{1,5}) Next",
+    r"(\d{1,5}) to (\d{1,5}) of (\d{1,5}) result",
+    r"Viewing (\d{1,5})-(\d{1,5}) of (\d{1,5}) jobs",
+    r"viewing (\d{1,5}) - (\d{1,5}) of (\d{1,5})",
+    r"Viewing (\d{1,5}) – (\d{1,5}) of (\d{1,5}) jobs",
+    r"Displaying (\d{1,5})-(\d{1,5}) of (\d{1,5})",
+    r"Displaying (\d{1,5}) - (\d{1,5}) of (\d{1,5})",
+    r"Showing (\d{1,5}) to (\d{1,5}) of (\d{1,5}) entries",
+    r"Job Openings (\d{1,5}) - (\d{1,5}) of (\d{1,5})",
+    r"Displaying (\d{1,5}) - (\d{1,5}) of (\d{1,5}) in total",
+    r"Showing (\d{1,5}) to (\d{1,5}) of (\d{1,5}) job openings",
+    r"Results (\d{1,5}) – (\d{1,5}) of (\d{1,5})",
+    r"Showing (\d{1,5})-(\d{1,5}) of (\d{1,5}) jobs",
+    r"(\d{1,5}) to (\d{1,5}) of (\d{1,5}) jobs that match your criteria",
+    r"Search Results\tFirst  (\d{1,5})-(\d{1,5}) of (\d{1,5})   Last",
+    r"Showing (\d{1,5}) - (\d{1,5}) of (\d{1,5})",
+    r"Jobs (\d{1,5}) - (\d{1,5}) of (\d{1,5})",
+    r"Page: (\d{1,5}) of (\d{1,5})",
+    r"(\d{1,5}) - (\d{1,5}) of (\d{1,5}) Records",
+    r"(\d{1,5}) of (\d{1,5}) Job Opportunities",
+    r"(\d{1,5}) - (\d{1,5}) of (\d{1,5}\,\d{1,5})",
+    r"(\d{1,5}) - (\d{1,5}) of (\d{1,5}) Jobs",
+    r"(\d{1,5})- (\d{1,5}) of (\d{1,5}) Jobs",
+    r"(\d{1,5}) - (\d{1,5}) of (\d{1,5}) items",
+    r"(\d{1,5})-(\d{1,5}) of (\d{1,5})",
+    r"Jobs (\d{1,5}) to (\d{1,5}) of (\d{1,5})",
+    r"Record (\d{1,5})-(\d{1,5}) of (\d{1,5})",
+    r"Record (\d{1,5}) - (\d{1,5}) of (\d{1,5})",
+    r"Showing (\d{1,5}) - (\d{1,5}) of (\d{1,5})",
+    r"Page (\d{1,5}) out of (\d{1,5})",
+    r"Displaying (\d{1,5}) to (\d{1,5}) of (\d{1,5})",
+    r"(\d{1,5}) - (\d{1,5}) Results of (\d{1,5})",
+    r"(\d{1,5}) to (\d{1,5}) of (\d{1,5})",
+    r"(\d{1,5}) - (\d{1,5}) of (\d{1,5})",
+)
+
 #: Our own list of phrases that say a posting is gone; callers give theirs.
 EXPIRY_PHRASES = ("no longer available", "position has been filled", "job has expired", "no current openings", "no open positions", "posting is closed", "page not found", "no jobs found")
 

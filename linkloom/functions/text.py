@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .base import let
+from .rules import PAGERS
 
 _SPACE = "[\\s ﻿  -     　]+"
 
@@ -73,22 +74,11 @@ def http_status(message: Column) -> Column:
     return F.coalesce(F.nullif(first, F.lit("")), F.nullif(second, F.lit("")), F.lit("0")).cast("int")
 
 
-def _pagers() -> tuple[str, ...]:
-    """The pagers in order of trial, from their parts: how a page says "x - y of z"."""
-    n, of = r"\d{1,5}", r" of \d{1,5}"
-    dash, spaced, to, long_dash = f"{n}-{n}{of}", f"{n} - {n}{of}", f"{n} to {n}{of}", f"{n} – {n}{of}"
-    # The wordings that have to be known.
-    return (
-        f"Showing Jobs {spaced}", f"Showing Job {spaced}", f"Search Results Page {n}{of}", f"Showing {to} results", f"Showing {dash}", f"Job Openings {dash}", f"Displaying {dash}", f"Displaying: {spaced}",
-        f"Showing {n}{of}", f"Showing {spaced}", f"Showing positions {to}  matches", f"Showing {to}", f"Showing {n}–{n}{of} results", f"{dash} Next", f"{to} result", f"Viewing {dash} jobs", f"Viewing {spaced}",
-        f"Viewing {long_dash} jobs", f"Displaying {spaced}", f"Job Openings {spaced}", f"Results {long_dash}", f"Jobs {spaced}", f"Page: {n}{of}", f"{n}{of} Job Opportunities", rf"{n} - {n} of {n},{n}", f"{n}- {n}{of} Jobs",
-        f"{spaced}", f"{dash}", f"Page {n} out{of}", f"Displaying {to}", f"{n} - {n} Results{of}", f"{to}",
-    )
-
-
 def pager_text(text: Column) -> Column:
-    found = [F.nullif(F.regexp_extract(text, f"(?i)({p})", 1), F.lit("")) for p in _pagers()]
-    return F.coalesce(*found)
+    """What the first pager, in the order of the list, that the text holds says; null for none."""
+    found = [F.nullif(F.regexp_extract(text, f"(?i)({p})", 1), F.lit("")) for p in PAGERS]
+    # Every one of them names a total.
+    return F.when(text.rlike(r"(?i)of \d"), F.coalesce(*found))
 
 
 def page_count(text: Column) -> Column:

@@ -29,29 +29,35 @@ def _without_dots(path: Column) -> Column:
 
 
 def parse_url(url: Column) -> Column:
-    """STRUCT<scheme, host, port, path, query, hash> of an absolute URL, else null.
+    """STRUCT<scheme, user, host, port, path, query, hash> of an absolute URL, else null.
 
     Scheme and host in lower case, default ports dropped, an empty path of an http(s) URL as /,
     dot segments resolved, spaces and non-ASCII percent-encoded. Hosts beyond ASCII stay as
-    they are (no punycode); user names are dropped."""
+    they are: see ascii_hosts. One search cuts the URL into its parts."""
 
-    def parts(u: Column) -> Column:
-        scheme = F.lower(F.regexp_extract(u, _URL, 1))
-        web = scheme.isin("http", "https")
-        place = F.regexp_replace(F.regexp_extract(u, _URL, 2), "^.*@", "")
-        host = F.lower(F.regexp_extract(place, r"^(.*?)(?::(\d*))?$", 1))
-        port = F.regexp_extract(place, r"^(.*?)(?::(\d*))?$", 2)
+    def placed(place: Column, user: Column, scheme: Column, path: Column, query: Column, hash_: Column) -> Column:
+        ported = place.rlike(r":\d*$")
+        host = F.lower(F.when(ported, F.regexp_replace(place, r":\d*$", "")).otherwise(place))
+        port = F.when(ported, F.substring_index(place, ":", -1)).otherwise("")
         port = F.when((scheme == "http") & (port == "80") | (scheme == "https") & (port == "443"), "").otherwise(port)
-        path = F.regexp_extract(u, _URL, 3)
-        path = F.when(web & (path == ""), "/").otherwise(_encoded(_without_dots(path), r'"<>`{}'))
-        query = F.regexp_extract(u, _URL, 4)
+        path = let(path, lambda x: let(_without_dots(x), lambda y: _encoded(y, r'"<>`{}')))
         query = F.when(query == "?", "").otherwise(_encoded(query, r"\"<>'"))
-        hash_ = F.regexp_extract(u, _URL, 5)
         hash_ = F.when(hash_ == "#", "").otherwise(_encoded(hash_, r'"<>`'))
-        fine = u.rlike(_URL) & (~web | (host.rlike(r"^[^\s<>^|%]+$")))
-        return F.when(fine, F.struct(scheme.alias("scheme"), host.alias("host"), port.alias("port"), path.alias("path"), query.alias("query"), hash_.alias("hash")))
+        return F.struct(scheme.alias("scheme"), user.alias("user"), host.alias("host"), port.alias("port"), path.alias("path"), query.alias("query"), hash_.alias("hash"))
+
+    def parts(x: Column) -> Column:
+        scheme = F.lower(x[0])
+        web = scheme.isin("http", "https")
+        path = F.when(web & (x[2] == ""), "/").otherwise(x[2])
+        named = x[1].contains("@")
+        place = F.when(named, F.regexp_replace(x[1], "^.*@", "")).otherwise(x[1])
+        user = F.when(named, F.regexp_replace(x[1], "@[^@]*$", "")).otherwise("")
+        fine = lambda p: F.when(~web | p["host"].rlike(r"^[^\s<>^|%]+$"), p)
+        return F.when(F.size(x) == 5, let(let(place, lambda y: placed(y, user, scheme, path, x[3], x[4])), fine))
 
-    return let(F.regexp_replace(F.trim(url), r"[\t\r\n]", ""), parts)
+    # No URL that was cut holds a line end, so that separates the parts.
+    clean = F.translate(F.trim(url), "\t\r\n", "")
+    return let(F.split(F.regexp_replace(clean, _URL, "$1\n$2\n$3\n$4\n$5"), "\n"), parts)
 
 
 def _place(p: Column) -> Column:
@@ -60,40 +66,59 @@ def _place(p: Column) -> Column:
 
 def _root(p: Column) -> Column:
     web = p["scheme"].isin("http", "https")
-    return F.concat(p["scheme"], F.when(web, F.concat(F.lit("://"), _place(p))).otherwise(":"))
+    user = F.when(p["user"] == "", "").otherwise(F.concat(p["user"], F.lit("@")))
+    return F.concat(p["scheme"], F.when(web, F.concat(F.lit("://"), user, _place(p))).otherwise(":"))
+
+
+def _named(p: Column) -> Column:
+    """The path without slashes at its end."""
+    return F.when(p["path"] == "/", "/").otherwise(F.regexp_replace(p["path"], "/+$", ""))
+
+
+def _points(scheme: Column, named: Column, query: Column) -> Column:
+    return F.when(scheme == "https", 100).otherwise(0) + F.when(named, 10).otherwise(0) + F.when(query == "", 1).otherwise(0)
+
+
+def url_forms(url: Column) -> Column:
+    """STRUCT<normal, key, score>: normalize_url, url_key and the url_score of the normal form, by
+    parsing once."""
+
+    def forms(p: Column) -> Column:
+        def by(named: Column) -> Column:
+            web = p["scheme"].isin("http", "https")
+            path = F.when(named == "", "/").otherwise(named)
+            route = F.when(p["hash"].rlike(ROUTE), p["hash"]).otherwise("")
+            rest = F.concat(F.when(web, path).otherwise(named), p["query"], route)
+            score = _points(p["scheme"], (path != "/") | (named == "") & ~web, p["query"])
+            return F.struct(F.concat(_root(p), rest).alias("normal"), F.concat(_place(p), path, p["query"], route).alias("key"), score.alias("score"))
+
+        return let(_named(p), by)
+
+    plain = F.trim(url)
+    unparsed = F.struct(plain.alias("normal"), F.regexp_replace(F.lower(plain), "/+$", "").alias("key"), F.when(plain != "", 0).alias("score"))
+    return let(parse_url(url), lambda p: F.when(p.isNull(), unparsed).otherwise(forms(p)))
 
 
 def normalize_url(url: Column) -> Column:
     """The URL without a trailing slash or a fragment, but for fragments that route to jobs.
     What doesn't parse is only trimmed."""
-
-    def form(p: Column) -> Column:
-        path = F.when(p["path"] == "/", "/").otherwise(F.regexp_replace(p["path"], "/+$", ""))
-        path = F.when((path == "") & p["scheme"].isin("http", "https"), "/").otherwise(path)
-        return F.concat(_root(p), path, p["query"], F.when(p["hash"].rlike(ROUTE), p["hash"]).otherwise(""))
-
-    return let(parse_url(url), lambda p: F.when(p.isNull(), F.trim(url)).otherwise(form(p)))
+    return url_forms(url)["normal"]
 
 
 def url_key(url: Column) -> Column:
     """What two spellings of one page share: the normal form without its scheme."""
-
-    def key(p: Column) -> Column:
-        path = F.when(p["path"] == "/", "/").otherwise(F.regexp_replace(p["path"], "/+$", ""))
-        return F.concat(_place(p), F.when(path == "", "/").otherwise(path), p["query"], p["hash"])
-
-    plain = F.regexp_replace(F.lower(F.trim(url)), "/+$", "")
-    return let(parse_url(normalize_url(url)), lambda p: F.when(p.isNull(), plain).otherwise(key(p)))
+    return url_forms(url)["key"]
 
 
 def url_score(url: Column) -> Column:
     """https, then a path without a trailing slash, then no query. Null for no URL."""
+    score = lambda p: _points(p["scheme"], (p["path"] != "/") & ~p["path"].endswith("/"), p["query"])
+    return let(parse_url(url), lambda p: F.when(F.coalesce(url, F.lit("")) != "", F.when(p.isNull(), 0).otherwise(score(p))))
 
-    def score(p: Column) -> Column:
-        named = (p["path"] != "/") & ~p["path"].endswith("/")
-        return F.when(p["scheme"] == "https", 100).otherwise(0) + F.when(named, 10).otherwise(0) + F.when(p["query"] == "", 1).otherwise(0)
 
-    return let(parse_url(url), lambda p: F.when(F.coalesce(url, F.lit("")) != "", F.when(p.isNull(), 0).otherwise(score(p))))
+def form_preference(forms: Column) -> Column:
+    """preference() of url_forms(): for min_by over normal forms."""
+    return F.struct((-F.coalesce(forms["score"], F.lit(-1))).alias("s"), F.length(forms["normal"]).alias("l"), forms["normal"].alias("u"))
 
 
 def preference(url: Column) -> Column:
@@ -101,6 +126,34 @@ def preference(url: Column) -> Column:
     return F.struct((-F.coalesce(url_score(url), F.lit(-1))).alias("s"), F.length(url).alias("l"), url.alias("u"))
 
 
+def ascii_hosts(url: Column) -> Column:
+    """url with a host beyond ASCII as punycode; as it is where there is no such form. To be applied
+    in a projection of its own, where URLs come in: the engine takes it for nondeterministic."""
+    cut = r"^([A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?)([^/?#:@]*)(.*)$"
+    name = F.try_reflect(F.lit("java.net.IDN"), F.lit("toASCII"), F.lower(F.regexp_extract(url, cut, 2)))
+    whole = F.concat(F.regexp_extract(url, cut, 1), name, F.regexp_extract(url, cut, 3))
+    return F.when(F.regexp_extract(url, cut, 2).rlike(r"[^\x00-\x7f]"), F.coalesce(whole, url)).otherwise(url)
+
+
+def is_number(text: Column) -> Column:
+    return F.trim(text).try_cast("double").isNotNull()
+
+
+def url_aliases(url: Column) -> Column:
+    """The normal forms by which a page may be known: its own and those with http and https."""
+
+    def both(p: Column) -> Column:
+        rest = F.concat(F.when(p["user"] == "", "").otherwise(F.concat(p["user"], F.lit("@"))), _place(p), p["path"], p["query"], p["hash"])
+        return F.transform(F.array(F.lit("http://"), F.lit("https://")), lambda s: normalize_url(F.concat(s, rest)))
+
+    def known(normal: Column) -> Column:
+        web = lambda p: F.when(p["scheme"].isin("http", "https"), both(p)).otherwise(F.expr("cast(array() as array<string>)"))
+        more = F.coalesce(let(parse_url(normal), web), F.expr("cast(array() as array<string>)"))
+        return F.filter(F.array_distinct(F.concat(F.array(normal), more)), lambda x: x != "")
+
+    return let(normalize_url(url), known)
+
+
 def comparable_host(url: Column) -> Column:
     return let(parse_url(url), lambda p: F.coalesce(F.regexp_replace(p["host"], r"^www\.", ""), F.lit("")))
 

@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import rules as R
+from ..functions.base import contains_any
+from ..functions.predicates import is_likely_job_link
+from ..functions.rules import CONFIGURED, RuleSet
 from ..functions.text import http_status
-from ..functions.urls import file_extension, normalize_url, preference, url_key
+from ..functions.urls import file_extension, form_preference, url_forms, url_key
 
 PAYLOAD, RETRY, FIRST_SEEN = R.ENVELOPE
 
@@ -48,7 +51,7 @@ def retry_decision(error: Column, url: Column) -> Column:
     reason = (
         F.when(extension.isin(*R.FINAL_EXTENSIONS), F.concat(F.lit("non_retryable_extension:"), extension))
         .when((status >= 400) & (status < 500) & ~status.isin(408, 429), F.concat(F.lit("http_"), status.cast("string")))
-        .when(error.rlike("(?i)invalid url|unsupported protocol|unsupported url"), "invalid_or_unsupported_url")
+        .when(contains_any(F.lower(error), R.FINAL_ERRORS), "invalid_or_unsupported_url")
         .otherwise("retryable")
     )
     return F.struct((reason == "retryable").alias("retryable"), reason.alias("reason"))
@@ -64,16 +67,18 @@ def retry_outcomes(failures: DataFrame, most: int = 3) -> DataFrame:
 
 
 def retry_counters(outcomes: DataFrame, stream: str = "stream") -> DataFrame:
-    """(name, value): each counter in all and for each stream, in one pass."""
-    name = F.when(F.col("outcome") == "requeued", "retry_requeued").otherwise("failed_parked")
-    counts = outcomes.select(F.col(stream).alias("s"), name.alias("c")).rollup("c", "s").count().where("c is not null")
+    """(name, value): each counter in all and for each stream, in one pass. A parked message
+    counts as parked and, by its reason, as exhausted or skipped."""
+    why = F.when(F.col("reason") == "max_retries", "retry_exhausted").otherwise("retry_skipped")
+    names = F.when(F.col("outcome") == "requeued", F.array(F.lit("retry_requeued"))).otherwise(F.array(F.lit("failed_parked"), why))
+    counts = outcomes.select(F.col(stream).alias("s"), F.explode(names).alias("c")).rollup("c", "s").count().where("c is not null")
     label = F.when(F.col("s").isNull(), F.concat("c", F.lit("_total"))).otherwise(F.concat_ws(":", "s", "c"))
     return counts.select(label.alias("name"), F.col("count").alias("value"))
 
 
 def claimable(jobs: DataFrame, now: Column, retry_errors: bool = False, error_delay: str = "INTERVAL 300 SECONDS") -> DataFrame:
     """Jobs that are waiting, unlocked or with a lease that ran out, and old errors if asked for."""
-    waits = F.col("status").isNull() | F.col("status").isin("pending", "processing", "missing")
+    waits = F.col("status").isNull() | F.col("status").isin("pending", "processing")
     if retry_errors:
         waits = waits | ((F.col("status") == "error") & (F.col("error_at").isNull() | (F.col("error_at") <= now - F.expr(error_delay))))
     return jobs.where(waits & (F.col("lock_until").isNull() | (F.col("lock_until") <= now)))
@@ -85,15 +90,20 @@ def claim(jobs: DataFrame, now: Column, worker: str, count: int, lease: str = "I
     return taken.withColumns({"status": F.lit("processing"), "attempts": F.coalesce("attempts", F.lit(0)) + 1, "lock_by": F.lit(worker), "lock_at": now, "lock_until": now + F.expr(lease)})
 
 
-def reseed(jobs: DataFrame, now: Column, include_queued: bool = False, stale: str = "INTERVAL 4 HOURS") -> DataFrame:
-    """(key, url, career_url): what goes into the queue again. Of the spellings of one URL the preferred
-    one, with the first career URL there is."""
+def open_jobs(jobs: DataFrame, now: Column, include_queued: bool = False, stale: str = "INTERVAL 4 HOURS") -> DataFrame:
+    """Jobs with a URL that are neither done nor skipped nor, unless asked for, queued of late."""
     open_ = F.col("url").isNotNull() & (F.col("status").isNull() | ~F.col("status").isin("done", "skipped"))
     if not include_queued:
         open_ = open_ & (~F.coalesce("queued", F.lit(False)) | F.col("queued_at").isNull() | (F.col("queued_at") <= now - F.expr(stale)))
-    rows = jobs.where(open_).withColumn("link", normalize_url(F.col("url"))).withColumn("key", url_key(F.col("link")))
+    return jobs.where(open_)
+
+
+def reseed(jobs: DataFrame, now: Column, include_queued: bool = False, stale: str = "INTERVAL 4 HOURS") -> DataFrame:
+    """(key, url, career_url): what goes into the queue again. Of the spellings of one URL the preferred
+    one, with the first career URL there is."""
+    rows = open_jobs(jobs, now, include_queued, stale).select("id", "career_url", url_forms(F.col("url")).alias("f"))
     career = F.min_by("career_url", F.when(F.coalesce("career_url", F.lit("")) != "", F.col("id")))
-    return rows.groupBy("key").agg(F.min_by("link", preference(F.col("link"))).alias("url"), career.alias("career_url"))
+    return rows.groupBy(F.col("f.key").alias("key")).agg(F.min_by("f.normal", form_preference(F.col("f"))).alias("url"), career.alias("career_url"))
 
 
 def discoveries(found: DataFrame) -> DataFrame:
@@ -137,6 +147,22 @@ def move(source: DataFrame, count: int, order: str = "id") -> tuple[DataFrame, D
     return moved, source.join(moved.select(order), order, "left_anti")
 
 
+def replay(source: DataFrame, batch: int, most: int | None = None, keep: bool = False, order: str = "id") -> tuple[DataFrame, DataFrame]:
+    """(moved, left) of a queue of failed messages: all of them, or the first `most`, go; with keep
+    one batch is copied and all stay."""
+    if keep:
+        return source.orderBy(order).limit(min(batch, most or batch)), source
+    return move(source, most, order) if most else (source, source.limit(0))
+
+
+def acknowledge(pending: DataFrame, log: DataFrame, done: DataFrame, delete: bool = True, key: str = "id") -> tuple[DataFrame, DataFrame]:
+    """(pending, log) after the messages `done` were acknowledged: they wait no more, and those of them
+    that had been waiting leave the log, if asked for."""
+    keys = done.select(key).distinct()
+    acked = pending.join(keys, key, "left_semi").select(key)
+    return pending.join(keys, key, "left_anti"), log.join(acked, key, "left_anti") if delete else log
+
+
 def stale_pending(deliveries: DataFrame, now: Column, idle: str = "INTERVAL 60 SECONDS") -> DataFrame:
     return deliveries.where(F.col("delivered_at") <= now - F.expr(idle))
 
@@ -151,6 +177,74 @@ def health(jobs: DataFrame) -> DataFrame:
     )
 
 
+def queue_health(deliveries: DataFrame, queue: str = "queue", group: str = "group", consumer: str = "consumer") -> DataFrame:
+    """(queue, group, pending, consumers) of undelivered and delivered messages."""
+    return deliveries.groupBy(F.col(queue).alias("queue"), F.col(group).alias("group")).agg(F.count(F.lit(1)).alias("pending"), F.count_distinct(consumer).alias("consumers"))
+
+
+def info_section(text: Column) -> Column:
+    """The key:value lines of a report as a map; comments and lines without a key are left out, and
+    of equal keys the last one stays."""
+    lines = F.filter(F.split(F.coalesce(text, F.lit("")), r"\r?\n"), lambda x: ~x.startswith("#") & (F.instr(x, ":") > 1))
+    pairs = F.transform(lines, lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)).alias("key"), F.trim(F.substring(x, F.instr(x, ":") + 1, F.length(x))).alias("value")))
+    pairs = F.filter(pairs, lambda p: p["key"] != "")
+    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda q: q["key"] == p["key"]))
+    return F.map_from_entries(last)
+
+
+def duplicated(df: DataFrame, key: str) -> DataFrame:
+    """(key, n) of the keys that are there more than once: no rows where `key` is unique."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def html_work(messages: DataFrame, jobs: DataFrame, only_jobs: bool = False, rules: RuleSet = CONFIGURED) -> DataFrame:
+    """messages (id, url, career_url) with action and the career URL that the job knows, if it lacks one.
+
+    action: done for jobs (url, status, career_url, career_urls) that are done or skipped; skip, if
+    asked for, for what is no job link; else fetch. Messages without a URL are done."""
+    known = jobs.select("url", F.col("status").alias("_status"), F.coalesce(F.nullif("career_url", F.lit("")), F.get("career_urls", F.lit(0))).alias("_career"))
+    out = messages.join(known, "url", "left")
+    settled = F.coalesce(F.col("_status").isin("done", "skipped"), F.lit(False)) | (F.coalesce("url", F.lit("")) == "")
+    skips = F.lit(only_jobs) & ~is_likely_job_link(F.col("url"), rules)
+    career = F.coalesce(F.nullif("career_url", F.lit("")), F.col("_career"))
+    return out.select("id", "url", career.alias("career_url"), F.when(settled, "done").when(skips, "skip").otherwise("fetch").alias("action"))
+
+
+def mark_jobs(jobs: DataFrame, marks: DataFrame, now: Column, extras: tuple[str, ...] = ()) -> DataFrame:
+    """jobs after marks (url, status, career_url, extras), which hold each URL once: status and extras
+    are set, a career URL only where there is one, locks are cleared, and new jobs are inserted with
+    created_at."""
+    a, b = jobs.alias("a"), marks.alias("b")
+    both = a.join(b, F.col("a.url") == F.col("b.url"), "full_outer")
+    marked = F.col("b.url").isNotNull()
+    special = {
+        "url": F.coalesce("a.url", "b.url"), "career_url": F.coalesce(F.nullif("b.career_url", F.lit("")), F.col("a.career_url")), "created_at": F.coalesce("a.created_at", F.when(marked, now)),
+        "updated_at": F.when(marked, now).otherwise(F.col("a.updated_at")),
+    }
+    special |= {c: F.when(marked, F.col(f"b.{c}")).otherwise(F.col(f"a.{c}")) for c in ("status", *extras)}
+    special |= {c: F.when(~marked, F.col(f"a.{c}")) for c in ("lock_by", "lock_at", "lock_until")}
+    return both.select(*[special.get(c, F.col(f"a.{c}")).alias(c) for c in jobs.columns])
+
+
+def mark_queued(jobs: DataFrame, urls: DataFrame, now: Column) -> DataFrame:
+    """jobs with those of `urls` (url) marked as queued."""
+    keys = urls.select("url").distinct().withColumn("_now", F.lit(True))
+    out = jobs.join(keys, "url", "left")
+    return out.withColumns({"queued": F.coalesce("_now", "queued"), "queued_at": F.when(F.col("_now"), now).otherwise(F.col("queued_at"))}).drop("_now")
+
+
+def seed_cycle(jobs: DataFrame, now: Column, queue_length: int, recover_when_empty: bool = True, reset: bool = False, include_queued: bool = False, most: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(queue, jobs) of one cycle of re-seeding. An empty queue makes queued jobs count as open, if
+    asked for; reset, for the first cycle, clears the marks of open jobs first. `most` URLs at most,
+    by id. All jobs that were looked at are marked as queued."""
+    open_ = F.col("status").isNull() | ~F.col("status").isin("done", "skipped")
+    if reset:
+        jobs = jobs.withColumns({"queued": F.when(~open_, F.col("queued")), "queued_at": F.when(~open_, F.col("queued_at"))})
+    todo = open_jobs(jobs, now, include_queued or (recover_when_empty and queue_length == 0))
+    todo = todo.orderBy("id").limit(most) if most else todo
+    return reseed(todo, now, include_queued=True), mark_queued(jobs, todo, now)
+
+
 def open_seeds(seeds: DataFrame, done: DataFrame, include_seeded: bool = False) -> DataFrame:
     """Seeds with a URL that are unmarked and whose page has not been completed."""
     rows = seeds.where("url is not null" + ("" if include_seeded else " and seeded is distinct from true"))

@@ -11,7 +11,7 @@ from ..functions.ats import ats_canonical, career_score
 from ..functions.predicates import has_career_signal, has_strong_signal, is_ats_link, is_job_board_landing, is_job_detail, is_likely_job_link, is_non_career, is_non_job_text, is_social
 from ..functions.rules import CONFIGURED, RuleSet
 from ..functions.text import collapse_space
-from ..functions.urls import comparable_host, normalize_url, preference, resolve_link, url_key
+from ..functions.urls import comparable_host, form_preference, preference, resolve_link, url_forms, url_key
 
 
 def link_entries(pages: DataFrame, page: str = "page_id", url: str = "url", html: str = "html", same_domain_only: bool = False, stripped: bool = False) -> DataFrame:
@@ -44,17 +44,33 @@ def link_entries(pages: DataFrame, page: str = "page_id", url: str = "url", html
 def dedupe_links(links: DataFrame, by: list[str], url: str = "url", pos: str = "pos") -> DataFrame:
     """(by, key, url, pos): of the spellings of one page the preferred one, at the first's place.
 
-    The order of preference is total, so the choice is an aggregate that each task begins."""
-    rows = links.select(*by, pos, normalize_url(F.col(url)).alias("url")).where("url <> ''")
-    rows = rows.withColumn("key", url_key(F.col("url")))
-    return rows.groupBy(*by, "key").agg(F.min_by("url", preference(F.col("url"))).alias("url"), F.min(pos).alias(pos))
+    The order of preference is total, so the choice is an aggregate that each task begins. A
+    URL is parsed once."""
+    rows = links.where(F.trim(url) != "").select(*by, pos, url_forms(F.col(url)).alias("f"))
+    return rows.groupBy(*by, F.col("f.key").alias("key")).agg(F.min_by("f.normal", form_preference(F.col("f"))).alias("url"), F.min(pos).alias(pos))
+
+
+def gathered_entries(entries: DataFrame, by: list[str]) -> DataFrame:
+    """(by, key, url, pos, texts): as dedupe_links, with the distinct texts of the spellings."""
+    rows = entries.where(F.trim("url") != "").select(*by, "pos", "text", url_forms(F.col("url")).alias("f"))
+    return rows.groupBy(*by, F.col("f.key").alias("key")).agg(
+        F.min_by("f.normal", form_preference(F.col("f"))).alias("url"), F.min("pos").alias("pos"), F.collect_set(F.nullif(F.trim("text"), F.lit(""))).alias("texts")
+    )
 
 
 def dedupe_entries(entries: DataFrame, by: list[str]) -> DataFrame:
     """(by, url, text): as dedupe_links, with every distinct text of the spellings, or ''."""
-    rows = entries.select(*by, normalize_url(F.col("url")).alias("url"), "text").where("url <> ''").withColumn("key", url_key(F.col("url")))
-    out = rows.groupBy(*by, "key").agg(F.min_by("url", preference(F.col("url"))).alias("url"), F.collect_set(F.nullif("text", F.lit(""))).alias("texts"))
-    return out.select(*by, "url", F.explode_outer("texts").alias("text")).withColumn("text", F.coalesce("text", F.lit("")))
+    return gathered_entries(entries, by).select(*by, "url", F.explode_outer("texts").alias("text")).withColumn("text", F.coalesce("text", F.lit("")))
+
+
+def merged_pages(base: DataFrame, incoming: DataFrame, by: str = "page_id") -> DataFrame:
+    """Two collections of one page (by, title, sample, entries as an array of (url, text)) as one:
+    the incoming title and text where they are not empty, and the entries of both, each once."""
+    a, b = base.alias("a"), incoming.alias("b")
+    none = F.expr("cast(array() as array<struct<url:string,text:string>>)")
+    either = lambda c: F.coalesce(F.nullif(F.col(f"b.{c}"), F.lit("")), F.col(f"a.{c}"), F.lit(""))
+    both = a.join(b, F.col(f"a.{by}") == F.col(f"b.{by}"), "full_outer")
+    return both.select(F.coalesce(f"a.{by}", f"b.{by}").alias(by), either("title").alias("title"), either("sample").alias("sample"), F.array_distinct(F.concat(F.coalesce("a.entries", none), F.coalesce("b.entries", none))).alias("entries"))
 
 
 def same_domain(links: DataFrame, base: str = "page_url", keep_external: bool = True, rules: RuleSet = CONFIGURED) -> DataFrame:
@@ -105,23 +121,32 @@ def best_career_url(candidates: DataFrame, by: list[str], base: str, least: int
     return scored.groupBy(*by).agg(F.min_by(F.struct("url", "score"), best).alias("b")).select(*by, "b.url", "b.score")
 
 
-def expand_boards(pages: DataFrame, links: DataFrame, most: int = 3) -> DataFrame:
-    """(page_id, url) of job links one board away: a page without job details whose links lead to
-    external boards takes those boards' details; failing that, the boards they lead to.
+def expand_boards(pages: DataFrame, links: DataFrame, most: int = 1, rules: RuleSet = CONFIGURED) -> DataFrame:
+    """(page_id, url) of job links one board away, without those that the page has.
 
-    pages (page_id, url), links (page_id, pos, url): both are joined by URL key."""
+    pages (page_id, url), links (page_id, pos, url) and, if there, is_job: the page's job links
+    (else: the likely ones). A page without job details takes the job links of the first `most`
+    external boards that its links, job links first, lead to; for each of these boards
+    without details also those of the first `most` landing pages among its job links. Pages are joined by
+    URL key; the rows of a page are numbered, never gathered."""
     url = F.col("url")
-    with_key = links.withColumn("k", url_key(url)).withColumns({"detail": is_job_detail(url), "landing": is_job_board_landing(url)})
-    has_detail = with_key.where("detail").select("page_id").distinct()
-    own = pages.select("page_id", F.col("url").alias("page_url"))
-    seeds = with_key.join(own, "page_id").where(F.col("landing") & (comparable_host(url) != comparable_host(F.col("page_url")))).join(has_detail, "page_id", "left_anti")
-    first = Window.partitionBy("page_id").orderBy("pos", "url")
+    likely = is_likely_job_link(url, rules)
+    own = F.col("is_job") if "is_job" in links.columns else likely
+    rows = links.select("page_id", "pos", "url", own.alias("own"), url_key(url).alias("k"), likely.alias("likely"), is_job_detail(url).alias("detail"), is_job_board_landing(url).alias("landing"))
+    keyed = pages.select(F.col("page_id").alias("to_page"), F.col("url").alias("page_url"), url_key(F.col("url")).alias("k"))
+    settled = rows.where("own and detail").select("page_id").distinct()
+    first = Window.partitionBy("page_id").orderBy(~F.col("own"), "pos", "url")
+    seeds = rows.where("landing").join(keyed.select(F.col("to_page").alias("page_id"), "page_url"), "page_id")
+    seeds = seeds.where(comparable_host(url) != comparable_host(F.col("page_url"))).where(comparable_host(url) != "").join(settled, "page_id", "left_anti")
     seeds = seeds.withColumn("n", F.row_number().over(first)).where(F.col("n") <= most).select("page_id", "k")
-    keyed = pages.select(F.col("page_id").alias("to_page"), url_key(F.col("url")).alias("k"))
-    reached = seeds.join(keyed, "k").select("page_id", "to_page").distinct()
-    found = reached.join(with_key.select(F.col("page_id").alias("to_page"), "url", "k", "pos", "detail", "landing"), "to_page")
-    direct = found.where("detail").select("page_id", "url").distinct()
-    more = found.where("landing").join(direct.select("page_id").distinct(), "page_id", "left_anti")
-    more = more.withColumn("n", F.row_number().over(first)).where(F.col("n") <= most).select("page_id", "k").join(keyed, "k").select("page_id", "to_page").distinct()
-    further = more.join(with_key.where("detail").select(F.col("page_id").alias("to_page"), "url"), "to_page").select("page_id", "url").distinct()
-    return direct.unionByName(further)
+    reached = seeds.join(keyed.select("to_page", "k"), "k").select("page_id", "to_page").distinct()
+    jobs = rows.where("likely").select(F.col("page_id").alias("to_page"), "pos", "url", "k", "detail", "landing")
+    found = reached.join(jobs, "to_page")
+    # Boards without a detail among their job links lead on, each by itself.
+    bare = jobs.groupBy("to_page").agg(F.bool_or("detail").alias("any")).where("not any").select("to_page")
+    onward = Window.partitionBy("page_id", "to_page").orderBy("pos", "url")
+    more = found.where("landing").join(bare, "to_page").withColumn("n", F.row_number().over(onward)).where(F.col("n") <= most)
+    more = more.select("page_id", "k").join(keyed.select("to_page", "k"), "k").select("page_id", "to_page").distinct()
+    gained = found.select("page_id", "k", "url").unionByName(more.join(jobs, "to_page").select("page_id", "k", "url"))
+    gained = gained.groupBy("page_id", "k").agg(F.min_by("url", preference(url)).alias("url"))
+    return gained.join(rows.where("own").select("page_id", "k"), ["page_id", "k"], "left_anti").select("page_id", "url")

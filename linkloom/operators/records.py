@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..functions.ats import ats_canonical, ats_template
-from ..functions.predicates import excluded_host_pattern, is_ats_link, is_bot_challenge, is_challenge_page, is_job_detail, is_likely_job_link
+from ..functions.ats import ats_canonical, ats_template, career_score
+from ..functions.base import any_of, let
+from ..functions.html import page_title, text_sample
+from ..functions.predicates import excluded_host_pattern, is_ats_link, is_bot_challenge, is_challenge_page, is_job_board_landing, is_job_detail, is_likely_job_link, is_non_job_text, is_social
 from ..functions.rules import CONFIGURED, RuleSet
-from ..functions.text import match_form, text_keys, tokens
-from ..functions.urls import normalize_url, preference, url_key
+from ..functions.text import match_form
+from ..functions.urls import comparable_host, form_preference, normalize_url, preference, url_forms, url_key
 from . import links as L
 
 
@@ -40,72 +44,236 @@ def best_attempt(attempts: DataFrame, by: str) -> DataFrame:
     return attempts.groupBy(by).agg(F.max_by(F.struct("attempt", "likely", "links"), order).alias("b")).select(by, "b.*")
 
 
+def expiry_phrases(text: Column, rules: RuleSet = CONFIGURED, most: int = 8) -> Column:
+    """The rules' expiry phrases in a text, in the order in which their first words stand in it, at
+    most `most` (the report's length).
+
+    A phrase is looked up by its first two words, which have to be words of the text, and then
+    has to stand in it. Of phrases with one normal form the first counts."""
+    known: dict[str, tuple[str, str]] = {}
+    for phrase in rules.expiry:
+        words = re.findall("[a-z0-9]+", phrase.lower().replace("&nbsp;", " "))
+        if len(plain := " ".join(words)) >= 3:
+            known.setdefault(plain, (phrase.strip(), " ".join(words[:2])))
+    none = F.expr("cast(array() as array<string>)")
+    if not known:
+        return none
+    start = any_of(sorted({key.split(" ")[0] for _, key in known.values()}))
+
+    def found(padded: Column) -> Column:
+        hits = F.array(*[
+            F.when(padded.contains(f" {key} ") & padded.contains(plain), F.struct(F.instr(padded, f" {key} ").alias("at"), F.lit(key.count(" ")).alias("words"), F.lit(i).alias("place"), F.lit(phrase).alias("phrase")))
+            for i, (plain, (phrase, key)) in enumerate(known.items())
+        ])
+        return F.slice(F.transform(F.array_sort(F.array_compact(hits)), lambda x: x["phrase"]), 1, most)
+
+    # Texts without any first word are done with; a reference may stand for letters.
+    perhaps = F.lower(text).rlike(start) | text.contains("&")
+    return F.when(F.coalesce(perhaps, F.lit(False)), let(F.concat(F.lit(" "), match_form(text), F.lit(" ")), found)).otherwise(none)
+
+
+def expiry_verdict(text: Column, title: Column, status: Column, rules: RuleSet = CONFIGURED, most: int = 8) -> Column:
+    """STRUCT<status_code, fast_hint_matched, status_code_expired, matched_keywords,
+    matched_keyword_count, is_expired_or_no_jobs> of a page: an error status or a phrase makes
+    it expired, the hint is for information."""
+    whole = F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(text, F.lit("")))
+    code = F.coalesce(status, F.lit(0)).cast("int")
+
+    def judged(m: Column) -> Column:
+        return F.struct(
+            code.alias("status_code"), match_form(whole).rlike(R.EXPIRY_HINT).alias("fast_hint_matched"), (code >= 400).alias("status_code_expired"),
+            m.alias("matched_keywords"), F.size(m).alias("matched_keyword_count"), ((code >= 400) | (F.size(m) > 0)).alias("is_expired_or_no_jobs"),
+        )
+
+    return let(expiry_phrases(whole, rules, most), judged)
+
+
 def expiry_matches(texts: DataFrame, by: str, rules: RuleSet = CONFIGURED, title: str = "title", text: str = "text", most: int = 8) -> DataFrame:
-    """(by, matches): the phrases of each text, at most `most` (the report's length).
-
-    A phrase is looked up by its first two words among the words and word pairs of the text,
-    and then has to stand in it. The phrases are a literal list, so this is one scan."""
-    spark = texts.sparkSession
-    rows = [(i, p) for i, p in enumerate(rules.expiry)]
-    phrases = spark.createDataFrame(rows, "place int, phrase string").withColumn("plain", match_form(F.col("phrase"))).where(F.length("plain") >= 3)
-    words = tokens(F.col("phrase"))
-    phrases = phrases.withColumn("key", F.when(F.size(words) > 1, F.concat_ws(" ", words[0], words[1])).otherwise(words[0]))
+    """(by, matches) of the texts that hold a phrase: one scan, no join."""
     whole = F.concat_ws(" ", F.col(title), F.col(text))
-    keyed = texts.select(by, match_form(whole).alias("plain_text"), F.array_intersect(text_keys(whole), F.lit([r["key"] for r in phrases.select("key").collect()])).alias("keys"))
-    hits = keyed.select(by, "plain_text", F.posexplode("keys").alias("at", "key")).join(F.broadcast(phrases), "key").where(F.contains("plain_text", "plain"))
-    found = hits.groupBy(by).agg(F.array_sort(F.collect_set(F.struct("at", "place", "phrase"))).alias("m"))
-    return found.select(by, F.slice(F.transform("m", lambda x: x["phrase"]), 1, most).alias("matches"))
+    return texts.select(by, expiry_phrases(whole, rules, most).alias("matches")).where(F.size("matches") > 0)
+
+
+def resolved_career_url(base: Column, final: Column, links: Column, boards: Column) -> Column:
+    """The preferred board (of the final URL, if it is one, and of boards), else the best careers link,
+    else base. All of one row: arrays of a page's links, no join."""
+    canonical = F.filter(F.transform(F.concat(F.when(is_ats_link(final), F.array(final)).otherwise(F.expr(_NO_LINKS)), boards), ats_canonical), lambda x: x != "")
+    board = F.array_min(F.transform(F.transform(canonical, url_forms), form_preference))["u"]
+    scored = F.transform(links, lambda u: F.struct((-career_score(u, base)).alias("s"), preference(u).alias("p")))
+    best = F.array_min(F.filter(scored, lambda x: x["s"] <= -60))["p"]["u"]
+    return F.coalesce(board, best, base)
 
 
 def final_career_url(pages: DataFrame, links: DataFrame, boards: DataFrame) -> DataFrame:
     """(page_id, final_career_url): the preferred board, else the best careers link, else the page.
 
     pages (page_id, url, final_url), links and boards (page_id, url)."""
-    own = pages.select("page_id", F.col("final_url").alias("url")).where(is_ats_link(F.col("final_url")))
-    canonical = own.unionByName(boards.select("page_id", "url")).select("page_id", ats_canonical(F.col("url")).alias("url")).where("url <> ''")
-    board = L.dedupe_links(canonical.withColumn("pos", F.lit(0)), ["page_id"]).groupBy("page_id").agg(F.min_by("url", preference(F.col("url"))).alias("board"))
+    each = lambda x, name: L.dedupe_links(x.select("page_id", "url", F.lit(0).alias("pos")), ["page_id"]).groupBy("page_id").agg(F.collect_list("url").alias(name))
     fallback = F.coalesce(F.nullif(normalize_url(F.col("final_url")), F.lit("")), normalize_url(F.col("url")))
-    base = pages.select("page_id", fallback.alias("base"))
-    best = L.best_career_url(links.select("page_id", "url").join(base, "page_id"), ["page_id"], "base").select("page_id", F.col("url").alias("best"))
-    out = base.join(board, "page_id", "left").join(best, "page_id", "left")
-    return out.select("page_id", F.coalesce("board", "best", "base").alias("final_career_url"))
-
-
-def career_links(pages: DataFrame, rules: RuleSet = CONFIGURED) -> DataFrame:
-    """The page table: one row for each page (page_id, url, html) with its links by kind.
-
-    Links go through the domain, social and text filters; job links, boards and
-    careers links are told apart; the page's own URL goes. Each step is keyed by the page, so
-    the rows of a page stay where they are after the first shuffle."""
-    entries = L.link_entries(pages)
-    texts = L.dedupe_entries(entries, ["page_id"])
-    raw = L.dedupe_links(entries.select("page_id", "pos", "url"), ["page_id"]).drop("key")
-    own = pages.select("page_id", F.col("url").alias("page_url"))
-    url = F.col("url")
-    links = L.drop_social(L.same_domain(raw.join(own, "page_id"), rules=rules), rules=rules)
-    links = L.flag_anchor_text(links, texts, ["page_id"], rules).withColumn("is_job", is_likely_job_link(url, rules))
-    flagged = links.withColumn("reason", L.career_reason(url, F.col("is_job") | is_ats_link(url), rules))
-    is_self = url_key(url) == url_key(F.col("page_url"))
-    flagged = flagged.withColumns({"is_self": is_self, "stays": ~F.col("dropped") & F.col("reason").isNull() & ~is_self, "detail": is_job_detail(url)})
-    rollup = flagged.groupBy("page_id").agg(
-        F.count_if("stays").alias("link_count"), F.count_if(F.col("stays") & F.col("is_job")).alias("job_link_count"), F.count_if(F.col("stays") & F.col("detail")).alias("job_detail_link_count"),
-        F.count_if("dropped").alias("text_filtered_link_count"), F.count_if(~F.col("dropped") & F.col("reason").isNotNull()).alias("career_filtered_link_count"),
-        F.array_sort(F.collect_list(F.when(F.col("stays"), url))).alias("links"),
+    out = pages.select("page_id", "final_url", fallback.alias("base")).join(each(links, "l"), "page_id", "left").join(each(boards, "b"), "page_id", "left")
+    none = F.expr(_NO_LINKS)
+    return out.select("page_id", resolved_career_url(F.col("base"), F.col("final_url"), F.coalesce("l", none), F.coalesce("b", none)).alias("final_career_url"))
+
+
+#: What a page may come with besides page_id, url and html.
+FETCHED = {
+    "final_url": "string", "status_code": "int", "redirect_chain": "array<struct<url:string,status_code:int,location:string>>", "error": "string", "user_agent": "string",
+    "started_at": "timestamp_ntz", "fetched_at": "timestamp_ntz",
+}
+_NO_LINKS = "cast(array() as array<string>)"
+
+
+def page_facts(pages: DataFrame, rules: RuleSet = CONFIGURED, most: int = 8) -> DataFrame:
+    """Each page's own columns, by one projection that leaves the HTML behind: URLs, exclusions,
+    redirects, title, expiry. Columns of FETCHED that pages lack are null."""
+    given = pages.select("page_id", "url", "html", *[F.col(c) if c in pages.columns else F.lit(None).cast(t).alias(c) for c, t in FETCHED.items()])
+    given = given.select("*", url_forms(F.col("url")).alias("own"), url_forms(F.coalesce(F.nullif("final_url", F.lit("")), F.col("url"))).alias("final"))
+    steps = F.coalesce(F.slice("redirect_chain", 1, 20), F.expr("cast(array() as array<struct<url:string,status_code:int,location:string>>)"))
+    codes = F.filter(F.transform(steps, lambda x: F.coalesce(x["status_code"], F.lit(0))), lambda c: c > 0)
+    redirects = F.greatest(F.size(F.coalesce("redirect_chain", F.expr("cast(array() as array<struct<url:string,status_code:int,location:string>>)"))) - 1, F.lit(0))
+    status = F.coalesce("status_code", F.lit(0))
+    # Of the page's two URLs the preferred one.
+    career = F.array_min(F.array(*[F.struct(form_preference(F.col(c)).alias("p"), F.col(c).alias("f")) for c in ("own", "final")]))["f"]
+    title = F.substring(page_title(F.col("html")), 1, 300)
+    return given.select(
+        "page_id", F.col("url").alias("request_url"), F.col("own.normal").alias("url"), F.col("own.key").alias("own_key"), F.col("final.normal").alias("final_url"), F.col("final.key").alias("final_key"),
+        career["normal"].alias("career_url"), career["key"].alias("career_url_key"), "error", "user_agent", "started_at", "fetched_at", status.alias("http_status_code"),
+        F.when(F.size(codes) > 0, F.get(codes, F.lit(0))).otherwise(status).alias("initial_http_status_code"), steps.alias("redirect_chain"), codes.alias("redirect_status_codes"), redirects.alias("redirect_count"),
+        ((redirects > 0) | (F.col("own.normal") != F.col("final.normal"))).alias("redirected"), F.coalesce(title, F.lit("")).alias("page_title"),
+        excluded_host_pattern(F.col("own.normal"), rules).alias("excluded_source"), excluded_host_pattern(F.col("final.normal"), rules).alias("excluded_final"),
+        expiry_verdict(text_sample(F.col("html")), title, F.col("status_code"), rules, most).alias("expiry"),
     )
-    boards = raw.withColumn("why", L.ats_reason(url, rules))
-    canonical = boards.where("why is null").select("page_id", ats_canonical(url).alias("url")).distinct()
-    board_counts = canonical.groupBy("page_id").agg(F.count(F.lit(1)).alias("ats_career_link_count"))
-    challenges = raw.groupBy("page_id").agg(F.count(F.lit(1)).alias("raw_count"), F.count_if(is_bot_challenge(url)).alias("challenges"))
-    out = own.join(rollup, "page_id", "left").join(board_counts, "page_id", "left").join(challenges, "page_id", "left")
-    counts = ("link_count", "job_link_count", "job_detail_link_count", "text_filtered_link_count", "career_filtered_link_count", "ats_career_link_count", "raw_count", "challenges")
-    out = out.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in counts}).withColumn("pattern", excluded_host_pattern(F.col("page_url"), rules))
-    out = out.withColumns(
-        {
-            "career_links_status": career_status(F.col("pattern").isNotNull(), F.col("job_detail_link_count") > 0, F.lit(False), F.col("ats_career_link_count") > 0),
-            "bot_challenge": is_challenge_page(F.col("raw_count"), F.col("challenges"), F.col("job_link_count")),
-            "career_url_key": url_key(F.col("page_url")),
-            "ats_template": ats_template(F.col("page_url")),
-            "links": F.coalesce("links", F.expr("cast(array() as array<string>)")),
-        }
-    )
-    return out.drop("raw_count", "challenges").withColumnRenamed("pattern", "excluded_domain_pattern")
+
+
+def _flagged(links: DataFrame, rules: RuleSet) -> DataFrame:
+    """links (page_id, key, url, pos, texts, gained, page_url) with what decides about them."""
+    url, page = F.col("url"), F.col("page_url")
+    links = links.select("*", comparable_host(url).alias("host"), comparable_host(page).alias("page_host"), is_likely_job_link(url, rules).alias("likely"), is_ats_link(url).alias("ats"), is_job_detail(url).alias("detail"))
+    links = links.withColumn("board", F.col("likely") | F.col("ats") | is_job_board_landing(url))
+    near = (F.col("page_host") == "") | ((F.col("host") != "") & ((F.col("host") == F.col("page_host")) | F.col("board")))
+    here = F.col("gained") | (near & ~is_social(F.col("host"), F.col("page_host"), rules))
+    none = (F.size("texts") > 0) & F.forall("texts", lambda t: is_non_job_text(t, rules))
+    links = links.withColumns({"here": here, "texts_none": none})
+    links = links.withColumn("kept", F.col("here") & (F.col("gained") | ~F.col("texts_none") | F.col("likely") | F.col("ats")))
+    links = links.withColumn("is_job", F.col("kept") & (F.col("likely") | F.col("gained")))
+    why = F.when(F.col("ats"), F.coalesce(L.ats_reason(url, rules), F.lit("")))
+    return links.withColumns({"ats_why": why, "career_why": L.career_reason(url, F.col("is_job"), rules)})
+
+
+def career_links(pages: DataFrame, rules: RuleSet = CONFIGURED, expand: bool = False, most_boards: int = 1, existing: DataFrame | None = None, most_phrases: int = 8) -> DataFrame:
+    """The page table: one row for each page (page_id, url, html, and what of FETCHED there is).
+
+    Links go through the domain, social and text filters; job links, boards and careers
+    links are told apart; boards may be expanded by one hop; the page's own URLs go; expiry is
+    looked for where no job details are. Pages of excluded domains have no links, pages with an
+    error none and the status error; one that answers with a bot challenge counts as an error.
+    existing (career_url_key, links, job_links, ats_career_links): earlier rows, whose links are
+    merged in. HTML is read once and stays in the scan; links are grouped by page twice."""
+    facts = page_facts(pages, rules, most_phrases)
+    own = facts.select("page_id", F.col("url").alias("page_url"))
+    raw = L.gathered_entries(L.link_entries(pages), ["page_id"]).withColumn("gained", F.lit(False))
+    if expand:
+        jobs = _flagged(raw.join(own, "page_id"), rules).select("page_id", "pos", "url", "is_job")
+        gained = L.expand_boards(own.withColumnRenamed("page_url", "url"), jobs, most_boards, rules)
+        gained = gained.select("page_id", url_key(F.col("url")).alias("key"), "url", F.lit(1 << 30).alias("pos"), F.expr(_NO_LINKS).alias("texts"), F.lit(True).alias("gained"))
+        raw = raw.unionByName(gained).groupBy("page_id", "key").agg(
+            F.min_by("url", preference(F.col("url"))).alias("url"), F.min("pos").alias("pos"), F.flatten(F.collect_list("texts")).alias("texts"), F.bool_or("gained").alias("gained")
+        )
+    rows = _flagged(raw.join(own, "page_id"), rules)
+    board = F.when(F.col("ats_why") == "", ats_canonical(F.col("url")))
+    entry = lambda test: F.collect_list(F.when(test, F.struct("pos", "key", "url")))
+    rollup = rows.groupBy("page_id").agg(
+        entry(F.col("kept") & F.col("career_why").isNull()).alias("stay"), entry(F.col("is_job")).alias("jobs"), F.collect_set(board).alias("boards"),
+        F.count_if(F.col("here") & F.col("texts_none") & ~F.col("gained")).alias("text_filtered"), F.count_if(F.col("kept") & F.col("career_why").isNotNull()).alias("career_filtered"),
+        F.count_if(F.coalesce(F.col("ats_why") != "", F.lit(False))).alias("ats_filtered"), F.count_if(~F.col("gained")).alias("raw_count"), F.count_if(~F.col("gained") & is_bot_challenge(F.col("url"))).alias("challenges"),
+    )
+    out = facts.join(rollup, "page_id", "left")
+    if existing is not None:
+        before = existing.select("career_url_key", *[F.col(c).alias(f"old_{c}") for c in ("links", "job_links", "ats_career_links")])
+        out = out.join(before, "career_url_key", "left")
+    return _page_rows(out, existing is not None)
+
+
+def _page_rows(out: DataFrame, merged: bool) -> DataFrame:
+    none = F.expr(_NO_LINKS)
+    urls_of = lambda c: F.transform(F.array_sort(F.coalesce(c, F.expr("cast(array() as array<struct<pos:int,key:string,url:string>>)"))), lambda x: x["url"])
+    selves = F.array("own_key", "final_key", "career_url_key")
+
+    def distinct(x: Column) -> Column:
+        """Of the spellings of one page the preferred one, at the first's place."""
+
+        def of(forms: Column) -> Column:
+            keys = F.array_distinct(F.transform(forms, lambda f: f["key"]))
+            return F.transform(keys, lambda k: F.array_min(F.transform(F.filter(forms, lambda f: f["key"] == k), form_preference))["u"])
+
+        return let(F.transform(x, url_forms), of)
+
+    failed = F.col("error").isNotNull()
+    challenged = is_challenge_page(F.coalesce("raw_count", F.lit(0)), F.coalesce("challenges", F.lit(0)), F.size(F.coalesce("jobs", F.array())))
+    excluded = F.col("excluded_source").isNotNull() | F.col("excluded_final").isNotNull()
+    out = out.withColumns({"bot_challenge": challenged & F.col("excluded_source").isNull() & ~failed})
+    failed = failed | F.col("bot_challenge")
+    empty = excluded | failed
+    out = out.withColumns({"failed": failed & F.col("excluded_source").isNull(), "pattern": F.when(~failed, F.coalesce("excluded_source", "excluded_final")), "empty": empty})
+    old = lambda c: F.coalesce(f"old_{c}", none) if merged else none
+    lists = {"job_links": distinct(F.concat(old("job_links"), urls_of("jobs"))) if merged else urls_of("jobs"), "ats_career_links": F.array_sort(F.coalesce("boards", none))}
+    if merged:
+        lists["ats_career_links"] = distinct(F.concat(old("ats_career_links"), lists["ats_career_links"]))
+    out = out.withColumns({c: F.when(F.col("empty"), none).otherwise(x) for c, x in lists.items()})
+    forced = F.concat(old("links"), urls_of("stay"), urls_of("jobs"), F.coalesce("boards", none))
+    links = F.filter(distinct(forced), lambda u: ~F.array_contains(selves, url_key(u)))
+    out = out.withColumn("links", F.when(F.col("empty"), none).otherwise(links))
+    details = F.size(F.filter("job_links", is_job_detail))
+    count = lambda c: F.when(F.col("empty"), 0).otherwise(F.coalesce(c, F.lit(0))).cast("long")
+    out = out.withColumns({
+        "link_count": F.size("links").cast("long"), "job_link_count": F.size("job_links").cast("long"), "ats_career_link_count": F.size("ats_career_links").cast("long"), "job_detail_link_count": details.cast("long"),
+        "text_filtered_link_count": count("text_filtered"), "career_filtered_link_count": count("career_filtered"), "ats_filtered_link_count": count("ats_filtered"),
+    })
+    # Expiry counts only where no job details and no exclusion settle the page.
+    looked = ~F.col("empty") & (F.col("job_detail_link_count") == 0)
+    expired = F.when(looked, F.col("expiry.is_expired_or_no_jobs")).otherwise(False)
+    words = F.when(looked, F.slice("expiry.matched_keywords", 1, 20)).otherwise(none)
+    fallback = F.coalesce(F.nullif("final_url", F.lit("")), F.col("career_url"))
+    out = out.withColumns({"expired_or_no_jobs": expired, "expire_keyword_matches": words, "base": fallback})
+    out = out.withColumn("final_career_url", resolved_career_url(F.col("base"), F.col("final_url"), F.col("links"), F.col("ats_career_links")))
+    status = career_status(F.col("pattern").isNotNull(), F.col("job_detail_link_count") > 0, F.col("expired_or_no_jobs"), F.col("ats_career_link_count") > 0)
+    has = {f"has_{c}": F.col(n) > 0 for c, n in (("job_links", "job_link_count"), ("job_detail_links", "job_detail_link_count"), ("ats_career_links", "ats_career_link_count"))}
+    out = out.withColumns(has | {
+        "career_links_status": F.when(F.col("failed"), "error").otherwise(status), "job_links_status": F.when(F.col("failed"), "error").when(F.col("job_link_count") > 0, "job_links_found").otherwise("no_job_links"),
+        "crawl_status": F.when(F.col("failed"), "error").otherwise("success"), "source": F.when(F.col("excluded_source").isNotNull(), "rules").when(~F.col("failed"), "html"), "ats_template": ats_template(F.col("final_career_url")),
+        "error": F.when(F.col("failed"), F.coalesce("error", F.lit("bot challenge"))), "expire_keyword_match_count": F.size("expire_keyword_matches").cast("long"), "excluded_domain_pattern": F.coalesce("pattern", F.lit("")),
+    })
+    return out.select("page_id", *PAGE_COLUMNS)
+
+
+#: The page table besides page_id: URLs, links by kind, statuses, fetch.
+PAGE_COLUMNS = (
+    "career_url", "career_url_key", "request_url", "final_url", "final_career_url", "ats_template", "page_title", "links", "link_count", "job_links", "job_link_count", "has_job_links", "job_detail_link_count", "has_job_detail_links",
+    "job_links_status", "ats_career_links", "ats_career_link_count", "has_ats_career_links", "career_links_status", "expired_or_no_jobs", "expire_keyword_matches", "expire_keyword_match_count", "excluded_domain_pattern",
+    "text_filtered_link_count", "career_filtered_link_count", "ats_filtered_link_count", "http_status_code", "initial_http_status_code", "redirect_chain", "redirect_status_codes", "redirect_count", "redirected", "bot_challenge",
+    "crawl_status", "source", "user_agent", "error", "started_at", "fetched_at",
+)
+#: What a failed fetch leaves as it was in a page's row, where rows are kept on errors.
+KEPT_ON_ERROR = (
+    "links", "link_count", "job_links", "job_link_count", "has_job_links", "job_detail_link_count", "has_job_detail_links", "ats_career_links", "ats_career_link_count", "has_ats_career_links", "final_career_url", "ats_template",
+    "text_filtered_link_count", "career_filtered_link_count", "ats_filtered_link_count", "page_title", "source", "user_agent",
+)
+
+
+def stored_pages(old: DataFrame, new: DataFrame, keep_on_error: bool = True) -> DataFrame:
+    """The stored page table after new rows: by career_url_key, with created_at, last_success_at and
+    last_error_at. A row of a failed fetch keeps the links there were, if asked for, and is
+    inserted without any. Both sides hold each key once."""
+    a, b = old.alias("a"), new.alias("b")
+    both = a.join(b, F.col("a.career_url_key") == F.col("b.career_url_key"), "full_outer")
+    came, failed, was = F.col("b.career_url_key").isNotNull(), F.col("b.crawl_status") == "error", F.col("a.career_url_key").isNotNull()
+
+    def column(c: str) -> Column:
+        kept = ~came | (failed & was if keep_on_error and c in KEPT_ON_ERROR else F.lit(False))
+        return F.when(kept, F.col(f"a.{c}")).otherwise(F.col(f"b.{c}")).alias(c)
+
+    times = [
+        F.coalesce("a.created_at", "b.fetched_at").alias("created_at"), F.when(came & ~failed, F.col("b.fetched_at")).otherwise(F.col("a.last_success_at")).alias("last_success_at"),
+        F.when(came & failed, F.col("b.fetched_at")).otherwise(F.col("a.last_error_at")).alias("last_error_at"),
+    ]
+    return both.select(*[column(c) for c in new.columns], *times)

@@ -65,7 +65,7 @@ _CANONICAL = "CASE " + " ".join(
     f"WHEN v = {i} THEN {x}"
     for i, x in enumerate(
         (
-            f"'{VENDORS[0]}'", f"'{VENDORS[1]}'", f"'{VENDORS[2]}'", f"'{VENDORS[3]}'", f"'{VENDORS[4]}'",
+            f"'{VENDORS[0]}'", f"'{VENDORS[1]}'", f"'{VENDORS[2]}'", f"'{VENDORS[3]}'", f"'{VENDORS[4]}' || CASE WHEN shape = 2 THEN '/job' ELSE '' END",
             # the generic rule takes one segment off what looks like a detail page
             f"'{VENDORS[5]}' || CASE WHEN shape = 2 THEN '/job' ELSE '' END", f"'{VENDORS[6]}' || CASE WHEN shape = 2 THEN '/job' ELSE '' END", f"'{VENDORS[7]}' || CASE WHEN shape = 2 THEN '/job' ELSE '' END",
         )
@@ -142,7 +142,7 @@ ORACLE: dict[str, str] = {
                json_extract_string(j, '$._clf_first_seen_at') AS first_seen FROM (SELECT id, value, CASE WHEN json_valid(value) THEN value::JSON END AS j FROM {S('messages')} s) z""",
     "claimable_jobs": f"""
         SELECT id, 'processing' AS status, CAST(attempts + 1 AS BIGINT) AS attempts, 'w1' AS lock_by, {_NOW} + INTERVAL 300 SECOND AS lock_until FROM {S('jobs')} s
-        WHERE (status IS NULL OR status IN ('pending', 'processing', 'missing') OR status = 'error' AND (error_at IS NULL OR error_at <= {_NOW} - INTERVAL 300 SECOND)) AND (lock_until IS NULL OR lock_until <= {_NOW})
+        WHERE (status IS NULL OR status IN ('pending', 'processing') OR status = 'error' AND (error_at IS NULL OR error_at <= {_NOW} - INTERVAL 300 SECOND)) AND (lock_until IS NULL OR lock_until <= {_NOW})
         ORDER BY discovered_at, id LIMIT 50""",
     "reseed_queue": f"""
         WITH o AS (SELECT * FROM {S('jobs')} s WHERE (status IS NULL OR status NOT IN ('done', 'skipped')) AND (queued IS DISTINCT FROM true OR queued_at IS NULL OR queued_at <= {_NOW} - INTERVAL 4 HOUR)),
@@ -198,13 +198,15 @@ _FINAL = "[" + ", ".join(f"'{x}'" for x in R.FINAL_EXTENSIONS) + "]"
 _OUTCOMES = f"""(
   SELECT id, stream, CASE WHEN first <> 'retryable' THEN first WHEN retries >= 3 THEN 'max_retries' ELSE 'retryable' END AS reason, CASE WHEN first = 'retryable' AND retries < 3 THEN 'requeued' ELSE 'parked' END AS outcome
   FROM (SELECT *, CASE WHEN list_contains({_FINAL}, ext) THEN 'non_retryable_extension:' || ext WHEN code BETWEEN 400 AND 499 AND code NOT IN (408, 429) THEN 'http_' || code
-               WHEN contains(error, 'Invalid URL') OR contains(error, 'Unsupported protocol') THEN 'invalid_or_unsupported_url' ELSE 'retryable' END AS first
+               WHEN contains(error, 'Invalid URL') OR contains(error, 'Unsupported protocol') OR contains(error, 'mailto:') THEN 'invalid_or_unsupported_url' ELSE 'retryable' END AS first
         FROM (SELECT *, {_CODE} AS code, {_EXT} AS ext FROM (SELECT * EXCLUDE url, regexp_replace(url, '[?].*$', '') AS url FROM {S('failures')} s) w) y) z)"""
 ORACLE |= {
     "retry_outcomes": f"SELECT id, reason, outcome FROM {_OUTCOMES} o",
     "retry_counters": f"""
         SELECT CASE outcome WHEN 'requeued' THEN 'retry_requeued' ELSE 'failed_parked' END || '_total' AS name, count(*) AS value FROM {_OUTCOMES} o GROUP BY 1
-        UNION ALL SELECT stream || ':' || CASE outcome WHEN 'requeued' THEN 'retry_requeued' ELSE 'failed_parked' END, count(*) FROM {_OUTCOMES} o GROUP BY 1""",
+        UNION ALL SELECT stream || ':' || CASE outcome WHEN 'requeued' THEN 'retry_requeued' ELSE 'failed_parked' END, count(*) FROM {_OUTCOMES} o GROUP BY 1
+        UNION ALL SELECT CASE reason WHEN 'max_retries' THEN 'retry_exhausted' ELSE 'retry_skipped' END || '_total', count(*) FROM {_OUTCOMES} o WHERE outcome = 'parked' GROUP BY 1
+        UNION ALL SELECT stream || ':' || CASE reason WHEN 'max_retries' THEN 'retry_exhausted' ELSE 'retry_skipped' END, count(*) FROM {_OUTCOMES} o WHERE outcome = 'parked' GROUP BY 1""",
     "stream_retry_routing": f"SELECT stream, outcome, count(*) AS n FROM {_OUTCOMES} o GROUP BY ALL",
 }
 

@@ -55,7 +55,7 @@ INPUTS = {
     "failures": f"""
         SELECT event_id AS id, CASE WHEN user_id % 2 = 0 THEN 'links' ELSE 'html' END AS stream,
                concat('https://h', CAST(user_id % 20 AS STRING), '.example.com/', {_case('event_id', _text('a', 'b.pdf', 'c?x=1', 'd.HTML', 'e.zip'))}) AS url,
-               {_case('event_id', _text('Response code 404 (Not Found)', 'Response code 429 (Too Many)', 'status: 503', 'Navigation timeout', 'TypeError: Invalid URL', 'status code=408', 'Unsupported protocol ftp'))} AS error,
+               {_case('event_id', _text('Response code 404 (Not Found)', 'Response code 429 (Too Many)', 'status: 503', 'Navigation timeout', 'TypeError: Invalid URL', 'status code=408', 'Unsupported protocol ftp', 'Protocol "mailto:" not supported', 'unsupported url scheme'))} AS error,
                CAST(event_id % 5 AS INT) AS retries
         FROM {{events}}""",
     # (id, value)

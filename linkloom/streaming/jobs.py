@@ -5,21 +5,19 @@ state, one key each, which a watermark can bound."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import lifecycle
+from ..sources.folders import shared_folder
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared checkpoint folder; a temporary one where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp()
-    stamp = spark.range(1).select(F.expr("uuid()")).first()[0]
-    return f"{base}/{name}-{stamp}"
+    """A new folder under the shared one."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def read_files(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
