@@ -12,26 +12,73 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
+from ..sources.folders import shared_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, n: int, *others: str) -> list[str]:
+    """n column names that neither df has, in any case of letters, nor are among others."""
+    known = {c.lower() for c in (*df.columns, *others)}
+    return [x for x in (f"__c{i}" for i in range(n + len(known))) if x not in known][:n]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def checkpointed(df: DataFrame, frees: tuple[DataFrame, ...] = ()) -> DataFrame:
     """df written as a table in the shared folder that spark.checkpoint.dir names, and read again.
 
     This cuts the lineage, and lets plans go by the real size: an iterated checkpoint() would
-    carry on the estimates of its joins, which multiply. Where no folder is set (local tests),
-    one under /tmp/checkpoints is used."""
+    carry on the estimates of its joins, which multiply. The shuffle files of the write go
+    with it, and so do the tables `frees`, earlier results of this function that nothing
+    needs after df is written."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
-    path = f"{folder.rstrip('/')}/linkloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = f"{shared_folder(spark)}/linkloom-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    dropped(*frees)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.table_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete what checkpointed() wrote for these; nothing that is still to run may read them.
+    Shuffle files that only the driver's garbage still holds go as well."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.table_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    if tables:
+        tables[0].sparkSession._jvm.System.gc()
+
+
+#: A key is frequent where it has more than one in so many rows; so there are fewer such keys than that.
+FREQUENT = 1000
+
+
+def looked_up(left: DataFrame, right: DataFrame, on: str, count: str) -> DataFrame:
+    """The rows of left joined with right, a written table with one row for each value of `on`
+    and in `count` how many rows of left have it. Null keys join nothing.
+
+    Keys that are frequent, fewer than FREQUENT of them, are sent to where left's rows
+    are, so the rows of one key never meet in one task; all others are joined by a shuffle."""
+    total = right.agg(F.sum(count)).first()[0] or 0
+    many = F.col(count) > total // FREQUENT
+    hot = right.where(many)
+    near = left.join(F.broadcast(hot), on)  # fewer than FREQUENT rows
+    rest = left.join(F.broadcast(hot.select(on)), on, "left_anti").join(right.where(~many).hint("merge"), on)
+    return near.unionByName(rest).drop(count)
 
 
 def sort_bounds(df: DataFrame, key: str, parts: int, per_part: int = 40) -> list:

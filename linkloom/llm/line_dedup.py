@@ -1,25 +1,28 @@
 """Line dedup by pairwise alignment.
 
-Each line has an owner, the first document that holds it. Each later document with another
-text is aligned with every owner of its lines by patience diff, with an exact match of
-runs for what has no anchors, and the common blocks go from the later document. Copies of
-one text cost no alignment: they go whole. No line is left out for being frequent."""
+Documents are found through the hashes of their lines, short lines being hashed along with the ones
+next to them until they hold enough words to count. Of each hash the first document is the
+owner, and each later document with another text is aligned with every owner of its hashes by
+patience diff, with an exact match of runs for what has no anchors; the common blocks go from
+the later document. Any block that an earlier document has is found so, however many have
+it. Copies of one text cost no alignment: they go whole."""
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from itertools import accumulate
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import FREQUENT, checkpointed, looked_up, unused
 
-#: Hundreds of pairs of one owner that are aligned in one task; more are dealt over several.
-RARE = 100
 #: Words that a common block has at least.
 LEAST_WORDS = 5
 
@@ -151,76 +154,181 @@ def repeated_in(a: Sequence, b: Sequence, words: Sequence[int], least: int) -> l
     return sorted(gone)
 
 
-def _lines(text: Column) -> Column:
-    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
+def repeated_runs(a: Sequence, b: Sequence, words: Sequence[int], least: int) -> list[int]:
+    """repeated_in() by what the two share only: a gap in between stands for all other lines."""
+    both = set(a) & set(b)
 
+    def shared(x: Sequence, gap: int) -> tuple[list, list[int]]:
+        out: list = []
+        at: list[int] = []
+        for i, line in enumerate(x):
+            if line in both:
+                if at and at[-1] != i - 1:
+                    out.append(gap)
+                    at.append(-1)
+                out.append(line)
+                at.append(i)
+        return out, at
 
-def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, rare: int = RARE) -> DataFrame:
-    """(k, gone): for the first document of each text the numbers, from 0, of its lines to delete.
+    (own, at), (other, _) = shared(a, 0), shared(b, 1)
+    return [at[i] for i in repeated_in(own, other, [words[i] if i >= 0 else 0 for i in at], least)]
+
+
+def windows(lines: Sequence[bytes], words: Sequence[int], least: int) -> set[bytes]:
+    """Hashes of the shortest runs of lines with `least` words that begin, or end, at each line.
+
+    A line with so many words is a run of its own. Every line of a block that two documents
+    share stands in a run that they share: in the one that begins the block or, behind that,
+    in one that ends at the line."""
+    upto = [0, *accumulate(words)]
+    out = set()
+    for i, line in enumerate(lines):
+        if words[i] >= least:
+            out.add(line)
+            continue
+        end = bisect_left(upto, upto[i] + least)
+        if end < len(upto):
+            out.add(xxhash.xxh3_128_digest(b"".join(lines[i:end])))
+        start = bisect_right(upto, upto[i + 1] - least) - 1
+        if start >= 0:
+            out.add(xxhash.xxh3_128_digest(b"".join(lines[start : i + 1])))
+    return out
+
+
+def _cut(data: bytes) -> list[bytes]:
+    return [data[i : i + 16] for i in range(0, len(data), 16)]
+
+
+def _counts(data: bytes) -> list[int]:
+    return np.frombuffer(data, "<u4").tolist()
+
+
+def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
+    """(k, gone): for the first document of each text the numbers, from 0, of its lines with
+    words that are to be deleted.
 
     k is (key, hash of the text); rows with one key and one text are one document. Documents
-    are ordered by k, null keys first. A document that is not here is a copy of one that is.
-    `rare` sets how the work is dealt, not what is found."""
-    base = df.select(F.struct(F.col(key).alias("d"), F.xxhash64(text).alias("h")).alias("k"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("t"), _lines(F.col(text)).alias("lines"))
-    count = lambda x: F.regexp_count(x, F.lit(r"\S+"))
-    digest = lambda x: F.unhex(F.md5(x))
+    are ordered by k, null keys first. A document that is not here is a copy of one that is."""
+    kind = f"struct<d:{df.schema[key].dataType.simpleString()},h:bigint>"
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                b = batch.slice(at, 500)
+                whole, hashes, words, places = [], [], [], []
+                for t in b.column(1).to_pylist():
+                    data = (t or "").encode("utf-8", "surrogatepass")
+                    lines = data.split(b"\n")
+                    n = [len(x.split()) for x in lines]
+                    held = [i for i, x in enumerate(n) if x]
+                    whole.append(xxhash.xxh3_128_digest(data))
+                    hashes.append(b"".join([xxhash.xxh3_128_digest(lines[i]) for i in held]))
+                    words.append(np.array([n[i] for i in held], "<u4").tobytes())
+                    places.append(np.array(held, "<u4").tobytes())
+                yield pa.record_batch([b.column(0), *(pa.array(x, pa.binary()) for x in (whole, hashes, words, places))], names=["k", "t", "hashes", "words", "places"])
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                b = batch.slice(at, 500)
+                found = [sorted(windows(_cut(x), _counts(y), least_words)) for x, y in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+                rows = np.repeat(np.arange(b.num_rows), [len(x) for x in found])
+                yield pa.record_batch([b.column(0).take(pa.array(rows)), pa.array([x for f in found for x in f], pa.binary())], names=["k", "hash"])
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                b = batch.slice(at, 500)
+                gone = []
+                for x, w, y, p in zip(*[b.column(i).to_pylist() for i in range(1, 5)], strict=True):
+                    places = _counts(p)
+                    gone.append([places[i] for i in repeated_runs(_cut(x), _cut(y), _counts(w), least_words)])
+                yield pa.record_batch([b.column(0), pa.array(gone, pa.list_(pa.int32()))], names=["k", "gone"])
+
+    base = df.select(F.struct(F.col(key).alias("d"), F.xxhash64(text).alias("h")).alias("k"), F.col(text).alias("text"))
     # A null text and an empty one differ in h.
-    sides = base.select("k", "t", F.transform("lines", digest).alias("hashes"), F.transform("lines", count).alias("words"))
-    sides = sides.groupBy("t", F.col("k.h").alias("h")).agg(F.min("k").alias("k"), F.first("hashes").alias("hashes"), F.first("words").alias("words"))
-    sides = checkpointed(sides.select("k", "hashes", "words"))
-    lines = sides.select("k", F.explode(F.arrays_zip("hashes", "words")).alias("line")).where("line.words > 0").select("k", F.col("line.hashes").alias("hash"))
-    shared = lines.groupBy("hash").agg(F.min("k").alias("ok"), F.max("k").alias("last")).where(F.col("ok") != F.col("last")).select("hash", "ok")
-    pairs = checkpointed(lines.join(shared, "hash").where("k <> ok").select("k", "ok").distinct())
-
-    # Owners of very many lines: their pairs are dealt over several tasks.
-    share = 100 * rare
-    hot = F.broadcast(pairs.groupBy("ok").count().where(F.col("count") > share).select("ok", F.ceil(F.col("count") / share).cast("int").alias("shares")))  # at most pairs / share rows
+    sides = base.mapInArrow(read, f"k {kind}, t binary, hashes binary, words binary, places binary")
+    sides = sides.groupBy("t", F.col("k.h").alias("h")).agg(F.min("k").alias("k"), *[F.first(c).alias(c) for c in ("hashes", "words", "places")])
+    sides = checkpointed(sides.select("k", "hashes", "words", "places"))
+
+    # Each run's documents, and the first of them; a run that no other document has is done with.
+    found = checkpointed(sides.select("k", "hashes", "words").mapInArrow(runs, f"k {kind}, hash binary"))
+    shared = found.groupBy("hash").agg(F.min("k").alias("ok"), F.max("k").alias("last"), F.count(F.lit(1)).alias("n"))
+    shared = checkpointed(shared.where(F.col("ok") != F.col("last")).select("hash", "ok", "n"))
+    pairs = looked_up(found, shared, "hash", "n").where("k <> ok").select("k", "ok").distinct()
+    pairs = checkpointed(pairs, frees=(found, shared))
+
+    # The pairs of an owner that has very many are dealt over several tasks.
+    most = pairs.count() // FREQUENT + 1
+    hot = F.broadcast(pairs.groupBy("ok").count().where(F.col("count") > most).select("ok", F.ceil(F.col("count") / most).cast("int").alias("shares")))  # fewer than FREQUENT rows
     shares = F.coalesce(F.col("shares"), F.lit(1))
-    pairs = pairs.join(hot, "ok", "left").select("k", "ok", F.pmod(F.xxhash64("k"), shares).cast("int").alias("share"))
+    both = pairs.join(hot, "ok", "left").select("k", "ok", F.pmod(F.xxhash64("k"), shares).cast("int").alias("share"))
     owners = sides.select(F.col("k").alias("ok"), F.col("hashes").alias("other")).join(hot, "ok", "left")
     owners = owners.select("ok", "other", F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"))
-
-    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            own, words, other = (b.column(n).to_pylist() for n in (1, 2, 3))
-            gone = [repeated_in(x, y, w, least_words) for x, w, y in zip(own, words, other, strict=True)]
-            yield pa.record_batch([b.column(0), pa.array(gone, pa.list_(pa.int32()))], names=["k", "gone"])
-
-    kind = df.schema[key].dataType.simpleString()
-    both = pairs.join(sides, "k").join(owners, ["ok", "share"])
-    aligned = both.select("k", "hashes", "words", "other").mapInArrow(align, f"k struct<d:{kind},h:bigint>, gone array<int>")
+    both = both.join(sides, "k").hint("merge").join(owners, ["ok", "share"])
+    aligned = both.select("k", "hashes", "words", "other", "places").mapInArrow(align, f"k {kind}, gone array<int>")
     every = aligned.where(F.size("gone") > 0).unionByName(sides.select("k", F.array().cast("array<int>").alias("gone")))
-    return every.groupBy("k").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
-
-
-def drop_repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, rare: int = RARE) -> DataFrame:
-    """df with the text without the lines that an earlier document has, n_lines and n_removed
-    (columns of these names are replaced).
-
-    Deleted are blocks of at least least_words words that stand in the same order, line by line,
-    in an earlier document (smaller key; null keys come first; of equal keys the text's
-    hash decides). The first document of a line keeps it, so no content is lost. A
-    document whose whole text stands in earlier ones is left with an empty text. Null texts
-    stay null, blank lines and lines that only repeat within their own document stay, rows
-    with one key and text are one document, and every row is kept."""
-    df = df.drop("n_lines", "n_removed")
-    gone = repeated_lines(df, key, text, least_words, rare).select(F.col("k.d").alias("__d"), F.col("k.h").alias("__h"), F.col("gone").alias("__gone"))
-    keyed = df.withColumns({"__d": F.col(key), "__h": F.xxhash64(text)})
-    on = keyed["__d"].eqNullSafe(gone["__d"]) & (keyed["__h"] == gone["__h"])
-    out = keyed.join(gone, on, "left").drop(gone["__d"]).drop(gone["__h"]).drop("__d", "__h")
-    # A copy of an earlier text goes whole, as one block.
-    whole = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(r"\S+")) >= least_words
-    copied = F.when(whole, F.sequence(F.lit(0), F.size(_lines(F.col(text))) - 1))
-    out = out.withColumn("__gone", F.coalesce(F.when(F.size("__gone") > 0, F.col("__gone")), F.when(F.col("__gone").isNull(), copied)))
-    kept = F.array_join(F.filter(_lines(F.col(text)), lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    out = out.withColumns(
+    every = every.groupBy("k").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
+    return checkpointed(every, frees=(sides, pairs))
+
+
+def without(text: str, gone: Sequence[int] | None) -> tuple[str, int]:
+    """text without its lines `gone`, and without blank lines that stand between such lines
+    only, and how many lines that are; all go where gone is null."""
+    if gone is None:
+        return "", text.count("\n") + 1
+    lines = text.split("\n")
+    out, blank, deleted = [], [], set(gone)
+    before = True  # whether the line with words before has gone; so it is at the text's start
+    for i, x in enumerate(lines):
+        if i in deleted:
+            out += [] if before else blank
+            before, blank = True, []
+        elif x.encode("utf-8", "surrogatepass").split():
+            out += blank
+            out.append(x)
+            before, blank = False, []
+        else:
+            blank.append(x)
+    out += [] if before and deleted else blank
+    return "\n".join(out), len(lines) - len(out)
+
+
+def drop_repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, lines: str = "n_lines", removed: str = "n_removed") -> DataFrame:
+    """df with the text without the lines that earlier documents have, and in columns named by
+    `lines` and `removed` how many lines it had and lost (columns of these names are replaced).
+
+    Deleted is every block of lines with words, at least least_words of them together, that an earlier
+    document has, line after line (smaller key; null keys come first; of equal keys the
+    text's hash decides), and blank lines between such lines. Lines are compared byte by byte, by 128-bit
+    hashes; blank lines are passed over. The first document of a block keeps it, so no content is
+    lost. A document whose whole text stands in an earlier one is left with an empty text. Null
+    texts stay null; what only repeats within its own document, and texts of fewer words, stay; rows
+    with one key and text are one document, and every row is kept. An empty table gives no rows."""
+    df = df.drop(lines, removed)
+    at, hash_, gone_ = unused(df, 3)
+    gone = repeated_lines(df, key, text, least_words).select(F.col("k.d").alias(at), F.col("k.h").alias(hash_), F.col("gone").alias(gone_))
+    keyed = df.withColumns({at: F.col(key), hash_: F.xxhash64(text)})
+    on = keyed[at].eqNullSafe(gone[at]) & (keyed[hash_] == gone[hash_])
+    out = keyed.join(gone, on, "left").drop(gone[at]).drop(gone[hash_]).drop(at, hash_)
+
+    @F.pandas_udf("text string, removed int")
+    def kept(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
+        got = [(None, 0) if t is None else without(t, g) for t, g in zip(texts, gone, strict=True)]
+        return pd.DataFrame(got, columns=["text", "removed"], index=texts.index)
+
+    # A copy of an earlier text goes whole, as one block; an untouched text doesn't move.
+    copy = F.col(gone_).isNull() & (F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")) >= least_words)
+    touched = F.coalesce(copy | (F.size(gone_) > 0), F.lit(False))
+    out = out.withColumn(gone_, F.struct(touched.alias("touched"), kept(F.when(touched, F.col(text)), F.col(gone_)).alias("kept")))
+    hit = F.col(f"`{gone_}`.touched")
+    return out.withColumns(
         {
-            "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size(_lines(F.col(text)))),
-            "n_removed": F.coalesce(F.size("__gone"), F.lit(0)),
-            text: F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept),
+            lines: F.when(F.col(text).isNull(), 0).otherwise(F.regexp_count(text, F.lit("\n")) + 1),
+            removed: F.when(hit, F.col(f"`{gone_}`.kept.removed")).otherwise(0),
+            text: F.when(hit, F.col(f"`{gone_}`.kept.text")).otherwise(F.col(text)),
         }
-    )
-    return out.drop("__gone")
+    ).drop(gone_)
 
 
 def op1_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -156,35 +156,59 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def brute_lines(texts, least, rare):
-    owner = {}
-    for k in sorted(texts):
-        for line in texts[k].split("\n"):
-            owner.setdefault(line, k)
-    out = {}
-    for k, t in texts.items():
-        own, gone = t.split("\n"), set()
-        for o in {owner[x] for x in own if x.strip() and owner[x] != k}:
-            gone |= set(line_dedup.common_blocks(line_dedup.patience(own, texts[o].split("\n")), [len(x.split()) for x in own], least))
-        out[k] = "\n".join(x for i, x in enumerate(own) if i not in gone)
-    return out
-
-
-def test_line_dedup_against_all_pairs(spark):
-    rng = np.random.default_rng(1)
-    lines = [f"shared line {i} with words" for i in range(40)] + ["short", ""]
-    texts = {k: "\n".join([lines[i] for i in rng.integers(0, 42, int(rng.integers(1, 12)))] + [f"only in {k} here"]) for k in range(60)}
-    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r["doc_id"]: r["text"] for r in line_dedup.drop_repeated_lines(df, rare=10**6).collect()}
-    assert got == brute_lines(texts, line_dedup.LEAST_WORDS, 10**6)
+def brute_lines(rows, least=5):
+    """Each document against every earlier one: all common blocks of lines with words go.
+    rows: (key, text); the key orders them. Written without the library's alignment."""
+    out, earlier = [], []
+    for k, t in sorted(rows):
+        lines = t.split("\n")
+        own = [i for i, x in enumerate(lines) if x.split()]
+        gone = set()
+        if len(t.split()) >= least and any(t == other for _, other in earlier):
+            out.append((k, ""))
+            continue
+        for _, other in earlier:
+            theirs = [x for x in other.split("\n") if x.split()]
+            for i, j in itertools.product(range(len(own)), range(len(theirs))):
+                n = 0
+                while i + n < len(own) and j + n < len(theirs) and lines[own[i + n]] == theirs[j + n]:
+                    n += 1
+                if sum(len(lines[x].split()) for x in own[i : i + n]) >= least:
+                    gone |= set(own[i : i + n])
+        kept = []
+        for i, x in enumerate(lines):
+            around = [max([-1, *[o for o in own if o < i]]), min([len(lines), *[o for o in own if o > i]])]
+            blank = not x.split() and gone and all(o in gone or o in (-1, len(lines)) for o in around)
+            if i not in gone and not blank:
+                kept.append(x)
+        out.append((k, "\n".join(kept)))
+        earlier.append((k, t))
+    return dict(out)
+
+
+def deduped(spark, texts):
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    return {r["doc_id"]: r["text"] for r in line_dedup.drop_repeated_lines(df).collect()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_line_dedup_against_all_pairs(spark, seed):
+    rng = np.random.default_rng(seed)
+    lines = [f"shared line {i} with words" for i in range(30)] + ["short", "", " ", "two words", "and three words"] * 3
+    texts = {k: "\n".join([lines[i] for i in rng.integers(0, len(lines), int(rng.integers(1, 14)))] + [f"only in {k} here"] * int(rng.integers(0, 2))) for k in range(90)}
+    assert deduped(spark, texts) == brute_lines(texts.items())
 
 
-def test_frequent_lines_go_without_pairs(spark):
-    texts = {k: f"start of {k} is new\nthis line stands in very many documents\nand so does this second one\nend of {k} is new" for k in range(30)}
-    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    few = {r["doc_id"]: r["text"] for r in line_dedup.drop_repeated_lines(df, rare=2).collect()}
-    assert few == {r["doc_id"]: r["text"] for r in line_dedup.drop_repeated_lines(df).collect()}
-    assert few[0] == texts[0] and few[9] == "start of 9 is new\nend of 9 is new"
+def test_blocks_of_lines_with_other_owners_go(spark):
+    # Both lines of 3 and 4 stand first in other documents, and only together they are long enough.
+    texts = {1: "aa bb cc\nalone in one", 2: "dd ee ff\nalone in two", 3: "aa bb cc\ndd ee ff\nin three", 4: "in four\naa bb cc\ndd ee ff", 5: "aa bb cc\ndd ee ff\nin three"}
+    assert deduped(spark, texts) == {1: texts[1], 2: texts[2], 3: texts[3], 4: "in four", 5: ""}
+
+
+def test_frequency_of_a_line_decides_nothing(spark):
+    texts = {k: f"start {k}\naa bb cc\ndd ee ff\nend {k}" for k in range(300)} | {-1: "dd ee ff\nx", -2: "aa bb cc\ny"}
+    got = deduped(spark, texts)
+    assert all(got[k] == (texts[k] if k <= 0 else f"start {k}\nend {k}") for k in texts)
 
 
 def test_line_dedup_odd(odd, none, clash):
@@ -194,6 +218,8 @@ def test_line_dedup_odd(odd, none, clash):
         assert len(rows) == odd.count()
         by = {r["doc_id"]: r["text"] for r in rows if r["doc_id"] is not None}
         assert by[6] == "" and by[1] and by[2] is None and by[4] == " \t\n " and len(by[9]) < 200
+    named = line_dedup.drop_repeated_lines(clash, lines="a", removed="b").first()
+    assert named["n_removed"] == "x" and named["k"] == "x"
 
 
 def test_patience():
@@ -217,19 +243,18 @@ def test_blocks_without_anchors_go():
         a, b = ([*map(str, rng.integers(0, 4, int(rng.integers(0, 12))))] for _ in range(2))
         words = [int(x) for x in a]
         got = line_dedup.repeated_in(a, b, words, 4)
+        assert line_dedup.repeated_runs(a, b, words, 4) == got
         assert got == brute(a, b, words, 4) == sorted(set(line_dedup.common_blocks(line_dedup.patience(a, b), words, 4)))
     # Twice in the later document, in the middle of both.
     assert line_dedup.repeated_in(list("pxqxr"), list("sxt"), [9] * 5, 5) == [1, 3]
     assert len(line_dedup.repeated_in(["x"] * 20000, ["x"] * 10000, [1] * 20000, 5)) == 20000
 
 
-@pytest.mark.parametrize("rare", [1, 10**6])
-def test_frequent_copies_and_short_lines_go_whole(spark, rare):
+def test_frequent_copies_and_short_lines_go_whole(spark):
     copy = "Of.\na passage that very many documents hold\nOf.\nand its end\nOf."
     texts = {0: "Of.\nan unrelated first document"} | {k: copy for k in range(1, 160)}
     texts |= {k: f"new {k}\nOf.\nOf.\ntwo words\nby it\nand so on\nnew end {k}" for k in range(160, 290)}
-    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r["doc_id"]: r["text"] for r in line_dedup.drop_repeated_lines(df, rare=rare).collect()}
+    got = deduped(spark, texts)
     assert all(got[k] == (texts[k] if k in (0, 1, 160) else "" if k < 160 else f"new {k}\nnew end {k}") for k in texts)
 
 
