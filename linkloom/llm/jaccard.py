@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, shuffle_partitions
+from .common import checkpointed, dropped, looked_up, shuffle_partitions
 from .graph import components
 
 _MUL = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -149,33 +149,49 @@ def _linked(sets: list[np.ndarray], num: int, den: int) -> list[int]:
     return [top(i) for i in range(len(sets))]
 
 
-#: Rows of signatures that a task folds at once.
+#: Signatures that a task folds at once, and that a bucket holds at most (about).
 FOLDED = 1 << 19
+BUCKET = 1 << 21
 #: Texts in a block of a large candidate group.
 BLOCK = 256
+#: Ids of sets that a task remembers to send each text once.
+SEEN = 1 << 20
 
 
-def candidate_edges(df: DataFrame, text: str, words: int, num: int, den: int) -> DataFrame:
+def _star(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each signature once, in order, with its smallest node; and edges (a, b) from that
+    to the others."""
+    order = np.lexsort((node, sig))
+    sig, node = sig[order], node[order]
+    first = np.ones(len(sig), bool)
+    first[1:] = sig[1:] != sig[:-1]
+    pivot = node[np.maximum.accumulate(np.where(first, np.arange(len(sig)), 0))]
+    pairs = np.stack([pivot, node], 1)[node != pivot]
+    return sig[first], node[first], np.unique(pairs, axis=0) if len(pairs) else pairs.reshape(0, 2)
+
+
+def candidate_edges(df: DataFrame, text: str, words: int, num: int, den: int, buckets: int) -> DataFrame:
     """(a, b): sets, by the first 8 bytes of their ids, that a shared signature joins.
 
     The sets with one signature are joined in a star, first within each task and then over
-    the tasks: a signature of many sets reaches the shuffle once for each FOLDED rows."""
-
-    def star(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        order = np.lexsort((node, sig))
-        sig, node = sig[order], node[order]
-        first = np.diff(sig, prepend=~sig[:1]) != 0
-        pivot = node[np.maximum.accumulate(np.where(first, np.arange(len(sig)), 0))]
-        pairs = np.stack([pivot, node], 1)[node != pivot]
-        pairs = np.unique(pairs, axis=0) if len(pairs) else pairs.reshape(0, 2)
-        return sig[first], node[first], pairs[:, 0], pairs[:, 1]
-
-    def rows(sig, node, a, b) -> Iterator[pa.RecordBatch]:
-        # An edge goes along with the signatures, to a place of its own.
-        yield pa.record_batch(
-            [pa.array(np.concatenate([sig, a * 31 + b])), pa.array(np.concatenate([node, a])), pa.array(np.concatenate([np.zeros_like(sig), b]), mask=np.concatenate([np.ones(len(sig), bool), np.zeros(len(a), bool)]))],
-            names=["sig", "node", "other"],
-        )
+    the tasks: a signature of many sets reaches the shuffle once for each FOLDED ones of a task. The
+    shuffle moves columns: signatures as differences, byte plane by byte plane, and places in
+    a list of nodes."""
+
+    def sent(sig: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
+        sig, node, pairs = _star(sig, node)
+        at = ((sig >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)  # sig is sorted, so at is
+        cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(sig)]
+        rows: list[list] = [[], [], [], [], []]
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            known, place = np.unique(node[i:j], return_inverse=True)
+            gaps = np.diff(sig[i:j], prepend=np.uint64(0))
+            row = (int(at[i]), gaps.view(np.uint8).reshape(-1, 8).T.tobytes(), known.tobytes(), place.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), None)
+            for column, x in zip(rows, row, strict=True):
+                column.append(x)
+        for column, x in zip(rows, (int(at[0]), None, None, None, pairs.tobytes()), strict=True):
+            column.append(x)
+        yield pa.record_batch([pa.array(rows[0], pa.int64()), *(pa.array(x, pa.binary()) for x in rows[1:])], names=["bucket", "gaps", "known", "place", "pairs"])
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sigs, nodes, held = [], [], 0
@@ -184,39 +200,43 @@ def candidate_edges(df: DataFrame, text: str, words: int, num: int, den: int) ->
                 own = shingles(t, words)
                 if not len(own):
                     continue
-                s = signatures(own, num, den).view(np.int64)
+                s = signatures(own, num, den)
                 sigs.append(s)
                 nodes.append(np.full(len(s), int.from_bytes(set_id(own)[:8], "big", signed=True)))
                 held += len(s)
                 if held >= FOLDED:
-                    yield from rows(*star(np.concatenate(sigs), np.concatenate(nodes)))
+                    yield from sent(np.concatenate(sigs), np.concatenate(nodes))
                     sigs, nodes, held = [], [], 0
         if sigs:
-            yield from rows(*star(np.concatenate(sigs), np.concatenate(nodes)))
+            yield from sent(np.concatenate(sigs), np.concatenate(nodes))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_sig = last_node = None
-        for b in batches:
-            sig, node, other = (b.column(i) for i in range(3))
-            edge = other.is_valid().to_numpy(zero_copy_only=False)
-            sig, node, other = sig.to_numpy(), node.to_numpy(), other.fill_null(0).to_numpy()
-            a, c = [node[edge]], [other[edge]]
-            sig, node = sig[~edge], node[~edge]
-            if len(sig):
-                first = np.diff(sig, prepend=~sig[:1]) != 0
-                pivot = node[np.maximum.accumulate(np.where(first, np.arange(len(sig)), 0))]
-                if sig[0] == last_sig:
-                    pivot[sig == last_sig] = last_node
-                last_sig, last_node = sig[-1], pivot[-1]
-                a.append(pivot[node != pivot])
-                c.append(node[node != pivot])
-            pairs = np.stack([np.concatenate(a), np.concatenate(c)], 1)
-            if len(pairs):
-                pairs = np.unique(pairs, axis=0)
+        bucket, sigs, nodes = None, [], []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if sigs:
+                pairs = _star(np.concatenate(sigs), np.concatenate(nodes))[2]
+                sigs.clear()
+                nodes.clear()
                 yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    sent = df.select(text).mapInArrow(signed, "sig bigint, node bigint, other bigint")
-    dealt = sent.repartition(shuffle_partitions(df.sparkSession), "sig").sortWithinPartitions("sig", "node")
+        for b in batches:
+            for at, gaps, known, place, pairs in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if at != bucket:
+                    yield from done()
+                    bucket = at
+                if pairs is not None:
+                    found = np.frombuffer(pairs, np.int64).reshape(-1, 2)
+                    yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+                    continue
+                planes = np.frombuffer(gaps, np.uint8).reshape(8, -1).T
+                sigs.append(np.cumsum(np.ascontiguousarray(planes).view(np.uint64).ravel(), dtype=np.uint64))
+                places = np.ascontiguousarray(np.frombuffer(place, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+                nodes.append(np.frombuffer(known, np.int64)[places])
+        yield from done()
+
+    sent_ = df.select(text).mapInArrow(signed, "bucket bigint, gaps binary, known binary, place binary, pairs binary")
+    dealt = sent_.repartition(shuffle_partitions(df.sparkSession), "bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(joined, "a bigint, b bigint")
 
 
@@ -269,7 +289,12 @@ def _large_groups(held: DataFrame, words: int, num: int, den: int) -> DataFrame:
     right = named.join(per, "g").select("g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("strips") - 1)).alias("strip"), "block", "set_id", "data")
     tasks = left.unionByName(right).withColumn("task", F.concat_ws(":", "g", "strip", "block"))
     more = checkpointed(_compared(tasks, words, num, den))
-    return roots.select("root", "node") if more.isEmpty() else components(edges(links.unionByName(more))).select("root", "node")
+    dropped(named)
+    if more.isEmpty():
+        return roots.select("root", "node")
+    out = components(edges(links.unionByName(more))).select("root", "node")
+    dropped(links, more, roots)
+    return out
 
 
 def link_components(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, num: int = 85, den: int = 100) -> DataFrame:
@@ -291,36 +316,48 @@ def link_components(df: DataFrame, key: str = "doc_id", text: str = "text", word
 
     kind = df.schema[key].dataType.simpleString()
     rows = checkpointed(docs.mapInArrow(summed, f"`{key}` {kind}, n_shingles bigint, set_id binary"))
-    groups = components(candidate_edges(df, text, words, num, den))
+    # What signatures() gives for n shingles, from above.
+    expected = rows.agg(F.sum(F.col("n_shingles") + 200)).first()[0] or 0
+    buckets = max(shuffle_partitions(df.sparkSession), int(expected) // BUCKET)
+    groups = components(candidate_edges(df, text, words, num, den, buckets))
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    groups = groups.join(sizes, "root").select("node", F.col("root").alias("g"), "size")
+    sized = groups.join(sizes, "root").select("node", F.col("root").alias("g"), "size")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
+        seen: set[bytes] = set()
         for b in batches:
-            texts = b.column(0).to_pylist()
-            ids = [set_id(s) if len(s := shingles(t, words)) else None for t in texts]
-            node = [i and int.from_bytes(i[:8], "big", signed=True) for i in ids]
-            data = [pack.compress(t.encode("utf-8", "surrogatepass")) if i else None for t, i in zip(texts, ids, strict=True)]
+            rows = []
+            for t in b.column(0).to_pylist():
+                own = shingles(t, words)
+                if not len(own) or (i := set_id(own)) in seen:
+                    continue
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(i)
+                rows.append((int.from_bytes(i[:8], "big", signed=True), i, pack.compress(t.encode("utf-8", "surrogatepass"))))
+            node, ids, data = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.record_batch([pa.array(node, pa.int64()), pa.array(ids, pa.binary()), pa.array(data, pa.binary())], names=["node", "set_id", "data"])
 
-    texts = docs.select(text).mapInArrow(packed, "node bigint, set_id binary, data binary").where("node is not null")
-    # One text stands for all that have its set. The groups grow with the input, so they are
-    # joined in one way at every size.
-    held = texts.hint("merge").join(groups, "node").groupBy("set_id", "g", "size").agg(F.min("data").alias("data"))
+    # One text stands for all that have its set; copies are folded before the shuffle. The groups grow
+    # with the input, so they are joined in one way at every size.
+    texts = docs.select(text).mapInArrow(packed, "node bigint, set_id binary, data binary")
+    held = texts.hint("merge").join(sized, "node").groupBy("set_id", "g", "size").agg(F.min("data").alias("data"))
     blocks = F.ceil(F.col("size") / BLOCK)
     held = held.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
-    held = checkpointed(held)
+    held = checkpointed(held, frees=(groups,))
     # A group of one block is settled within its task; sets without links have no row.
-    roots = _compared(held.where("blocks = 1").withColumn("task", F.col("g").cast("string")), words, num, den)
+    roots = checkpointed(_compared(held.where("blocks = 1").withColumn("task", F.col("g").cast("string")), words, num, den))
     large = held.where("blocks > 1")
     if not large.isEmpty():
-        roots = checkpointed(roots.unionByName(_large_groups(large, words, num, den)))
-    sets = rows.where("set_id is not null").groupBy("set_id").agg(F.min(key).alias("least"))
+        roots = checkpointed(roots.unionByName(_large_groups(large, words, num, den)), frees=(roots,))
+    dropped(held)
+    sets = rows.where("set_id is not null").groupBy("set_id").agg(F.min(key).alias("least"), F.count(F.lit(1)).alias("n"))
     sets = sets.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    smallest = sets.groupBy("root").agg(F.min("least").alias("component_id"))
-    sets = sets.join(smallest, "root").select("set_id", "component_id")
-    out = rows.join(sets, "set_id", "left")
+    sets = checkpointed(sets, frees=(roots,))
+    smallest = sets.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("m"))
+    sets = looked_up(sets, checkpointed(smallest), "root", "m").select("set_id", "component_id", "n")
+    out = looked_up(rows, checkpointed(sets), "set_id", "n").unionByName(rows.where("set_id is null").withColumn("component_id", F.lit(None).cast(kind)))
     return out.select(key, "n_shingles", F.coalesce("component_id", key).alias("component_id"))
 
 
