@@ -13,14 +13,18 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-#: Labelled rows of a language that are learned from, at most (about).
-ROWS_A_LANGUAGE = 1500
-#: Languages that can be learned at once.
-MOST_LANGUAGES = 500
+#: Bounds of the sample that is learned from: labelled rows of a language, characters of all
+#: (about), and characters of one text, of which longer ones are not drawn.
+ROWS_A_LANGUAGE, CHARACTERS, LONGEST = 1500, 100_000_000, 200_000
+#: Characters of texts that are read at once (about; a longer text is read alone).
+STEP = 1 << 19
+#: Letters from which on it counts how well a text fits what was learned.
+FITTED = 20
 #: What a switch between languages costs, in units of a word's log probability.
 SWITCH = 6.0
 ORDERS = (1, 2, 3, 4)
@@ -69,6 +73,7 @@ class Model:
     table: np.ndarray
     by_script: np.ndarray
     prior: int
+    floor: float = -np.inf  # what a letter of a known language scores on average, at least
 
     @classmethod
     def learned(cls, texts: list[str], langs: list[str]) -> Model:
@@ -97,11 +102,17 @@ class Model:
             part = many[k * BUCKETS : (k + 1) * BUCKETS] + 0.5
             table[k * BUCKETS : (k + 1) * BUCKETS] = np.log(part / part.sum(0)) / (len(ORDERS) + 1)
         share = script / np.maximum(script.sum(0), 1)
-        return cls(names, table, share >= 0.01, int(rows.argmax()) if names else 0)
+        model = cls(names, table, share >= 0.01, int(rows.argmax()) if names else 0)
+        fits = [fit for at in range(0, len(texts), 500) for _, fit, unknown, letters in model.read([WORD.findall(t) for t in texts[at : at + 500]]) if letters >= FITTED and not unknown]
+        if fits:  # below what any learned text has, by half of what that is below the middle
+            model.floor = float(min(fits) - (np.median(fits) - min(fits)) / 2)
+        return model
 
-    def scores(self, words: list[str]) -> np.ndarray:
-        """Log probability of each language for each lower-case word."""
+    def scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Log probability of each language for each lower-case word, and what the word scores
+        in the language that it fits best (NaN where no language has its script)."""
         out = np.empty((len(words), len(self.langs)), np.float32)
+        peak = np.empty(len(words))
         for at in range(0, len(words), 100_000):
             part = words[at : at + 100_000]
             cells, starts = grams(part)
@@ -111,21 +122,26 @@ class Model:
             s = np.add.reduceat(total, starts, axis=0)
             can = self.by_script[scripts(part)]
             s[~can & can.any(1, keepdims=True)] -= 50
+            top = s.max(1, keepdims=True)
+            peak[at : at + len(part)] = np.where(can.any(1), top[:, 0], np.nan)
             s[~can.any(1)] = 0
             s -= s.max(1, keepdims=True)
             out[at : at + len(part)] = np.maximum(s - np.log(np.exp(s).sum(1, keepdims=True)), -12)
-        return out
+        return out, peak
 
-    def labels(self, words: list[list[str]]) -> list[np.ndarray]:
-        """The best language number of each word of each text. All texts go one word further
-        at a time, so the cost of a step is shared."""
+    def read(self, words: list[list[str]]) -> list[tuple[np.ndarray, float, bool, int]]:
+        """For each text the best language number of each word, what its letters score on average in
+        the languages that its words fit best, whether most letters are in scripts that no
+        language has, and its letters. All texts go one word further at a time, so
+        the cost of a step is shared."""
         order = sorted(range(len(words)), key=lambda i: -len(words[i]))
         sizes = np.array([len(words[i]) for i in order])
         flat = [w.lower() for i in order for w in words[i]]
         if not flat:
-            return [np.empty(0, np.int64) for _ in words]
+            return [(np.empty(0, np.int64), 0.0, False, 0) for _ in words]
         codes, known = pd.factorize(np.array(flat, dtype=object))
-        score = self.scores(list(known))
+        score, peak = self.scores(list(known))
+        size = np.array([len(w) for w in known])
         starts = np.cumsum(sizes) - sizes
         best = np.zeros((len(sizes), len(self.langs)), np.float32)
         best[:, self.prior] = 1e-3
@@ -146,7 +162,11 @@ class Model:
             now[:n] = np.where(switched[np.arange(n), now[:n]], top, now[:n])
         out: list = [None] * len(words)
         for k, i in enumerate(order):
-            out[i] = label[starts[k] : starts[k] + sizes[k]]
+            own = codes[starts[k] : starts[k] + sizes[k]]
+            strange = np.isnan(peak[own])
+            letters, odd = int(size[own].sum()), int(size[own][strange].sum())
+            fit = float(peak[own][~strange].sum() / max(letters - odd, 1))
+            out[i] = label[starts[k] : starts[k] + sizes[k]], fit, 2 * odd > letters, letters
         return out
 
 
@@ -154,31 +174,42 @@ def held_out(key: Column) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % 3 == 1
 
 
-def learn(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows: int = ROWS_A_LANGUAGE) -> Model:
-    """A model of the rows that are not held out and have a text and a language.
+def learn(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows: int = ROWS_A_LANGUAGE, characters: int = CHARACTERS) -> Model:
+    """A model of the rows that are not held out and have a text and a language; all languages
+    are learned.
 
-    About `rows` of each language are drawn by a seeded hash of the key, so a model is
-    learned from at most rows * MOST_LANGUAGES texts, whatever the size of df."""
-    usable = df.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & ~F.coalesce(held_out(F.col(key)), F.lit(False)))
-    counts = {r[0]: r[1] for r in usable.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MOST_LANGUAGES).collect()}
+    About `rows` of each language are drawn by a seeded hash of the key, fewer where they would
+    hold more than the language's part of `characters`, from texts of at most LONGEST
+    characters. So the sample that reaches the driver is bounded, whatever the size of df."""
+    usable = df.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & ~F.coalesce(held_out(F.col(key)), F.lit(False)) & (F.length(text) <= LONGEST))
+    usable = usable.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).alias("key"))
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("size")).collect()  # one row for each language
     if not counts:
         return Model([], np.zeros((1, 0)), np.zeros((1, 0)), 0)
     steps = 1 << 20
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(min(1, rows / n) * steps))])
-    drawn = usable.where(F.pmod(F.xxhash64(F.lit(9), key), F.lit(steps)) < F.element_at(share, F.col(lang)))
-    got = drawn.select(text, lang).collect()
+    share = [(r["lang"], int(min(1, rows / r["n"], characters / len(counts) / max(r["size"], 1)) * steps)) for r in counts]
+    shares = df.sparkSession.createDataFrame(share, "lang string, share int")
+    drawn = usable.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64(F.lit(9), "key"), F.lit(steps)) < F.col("share"))
+    got = drawn.select("text", "lang").collect()
     return Model.learned([r[0] for r in got], [r[1] for r in got])
 
 
-def identify(df: DataFrame, model: Model, text: str = "text", with_spans: bool = False) -> DataFrame:
-    """df with lang_pred, score and, if asked for, spans (start, end, lang; in code points);
-    columns of these names are replaced.
+NAMES = ("lang_pred", "score", "spans", "known")
+
+
+def identify(df: DataFrame, model: Model, text: str = "text", with_spans: bool = False, with_known: bool = False, names: tuple[str, ...] = NAMES) -> DataFrame:
+    """df with lang_pred, score and, if asked for, spans (start, end, lang; in code points) and
+    known; the columns are named by `names`, and columns of these names are replaced.
 
     lang_pred is the language of most letters and score their share. A text that is null or
     has no letter is `und` with score 0; so is every text where nothing could be learned. Only
     the text decides: equal texts get equal results. A text of letters in scripts that no
-    language has gets the most frequent language learned. Rows are kept as they are."""
-    df = df.drop("lang_pred", "score", "spans")
+    language has gets the most frequent language learned. known is false for `und`, for a text
+    most of whose letters are in such scripts, and for one whose letters score less than those
+    of any text learned from by a margin; a mix of known languages is known. Rows are kept
+    as they are."""
+    asked = [*names[:2], *[names[2]] * with_spans, *[names[3]] * with_known]
+    df = df.drop(*asked)
     held = df.sparkSession.sparkContext.broadcast(model)  # 655 kB for each language
     kept = [f.name for f in df.schema.fields]
     at = kept.index(text)
@@ -186,18 +217,21 @@ def identify(df: DataFrame, model: Model, text: str = "text", with_spans: bool =
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
         for batch in batches:
-            for begin in range(0, batch.num_rows, 2000):
-                b = batch.slice(begin, 2000)
+            size = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)) // STEP
+            for part in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(size)) + 1) if batch.num_rows else ():
+                b = batch.slice(int(part[0]), len(part))
                 texts = [t or "" for t in b.column(at).to_pylist()]
                 words = [WORD.findall(t) for t in texts]
-                labels = m.labels(words) if m.langs else [np.empty(0, np.int64)] * len(words)
-                pred, score, spans = [], [], []
-                for t, own, found in zip(texts, words, labels, strict=True):
+                labels = m.read(words) if m.langs else [(np.empty(0, np.int64), 0.0, True, 0)] * len(words)
+                pred, score, spans, known = [], [], [], []
+                for t, own, (found, fit, strange, letters) in zip(texts, words, labels, strict=True):
                     if not len(found) or not any(c.isalpha() for w in own for c in w):
                         pred.append("und")
                         score.append(0.0)
                         spans.append([])
+                        known.append(False)
                         continue
+                    known.append(not strange and (letters < FITTED or fit >= m.floor))
                     weight = np.bincount(found, np.fromiter(map(len, own), float, len(own)), len(m.langs))
                     pred.append(m.langs[int(weight.argmax())])
                     score.append(float(weight.max() / weight.sum()))
@@ -205,15 +239,19 @@ def identify(df: DataFrame, model: Model, text: str = "text", with_spans: bool =
                         place = [x.span() for x in WORD.finditer(t)]
                         cuts = [0, *(np.flatnonzero(np.diff(found)) + 1).tolist(), len(found)]
                         spans.append([{"start": place[i][0], "end": place[j - 1][1], "lang": m.langs[int(found[i])]} for i, j in zip(cuts, cuts[1:], strict=False)])
-                more = {"lang_pred": pa.array(pred, pa.string()), "score": pa.array(score, pa.float64())}
+                more = {names[0]: pa.array(pred, pa.string()), names[1]: pa.array(score, pa.float64())}
                 if with_spans:
-                    more["spans"] = pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])))
+                    more[names[2]] = pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])))
+                if with_known:
+                    more[names[3]] = pa.array(known, pa.bool_())
                 yield pa.record_batch([*b.columns, *more.values()], names=[*kept, *more])
 
-    schema = StructType([*df.schema.fields]).add("lang_pred", "string").add("score", "double")
+    schema = StructType([*df.schema.fields]).add(names[0], "string").add(names[1], "double")
     if with_spans:
         span = StructType().add("start", "integer").add("end", "integer").add("lang", "string")
-        schema = schema.add("spans", ArrayType(span))
+        schema = schema.add(names[2], ArrayType(span))
+    if with_known:
+        schema = schema.add(names[3], "boolean")
     return df.mapInArrow(predict, schema)
 
 
