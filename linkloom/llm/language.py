@@ -18,11 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from .common import unused
+
 #: Bounds of the sample that is learned from: labelled rows of a language, characters of all
 #: (about), and characters of one text, of which longer ones are not drawn.
 ROWS_A_LANGUAGE, CHARACTERS, LONGEST = 1500, 100_000_000, 200_000
 #: Characters of texts that are read at once (about; a longer text is read alone).
-STEP = 1 << 19
+STEP = 1 << 20
 #: Letters from which on it counts how well a text fits what was learned.
 FITTED = 20
 #: What a switch between languages costs, in units of a word's log probability.
@@ -211,48 +213,47 @@ def identify(df: DataFrame, model: Model, text: str = "text", with_spans: bool =
     asked = [*names[:2], *[names[2]] * with_spans, *[names[3]] * with_known]
     df = df.drop(*asked)
     held = df.sparkSession.sparkContext.broadcast(model)  # 655 kB for each language
-    kept = [f.name for f in df.schema.fields]
-    at = kept.index(text)
+    kind = StructType().add("lang", "string").add("score", "double")
+    if with_spans:
+        kind = kind.add("spans", ArrayType(StructType().add("start", "integer").add("end", "integer").add("lang", "string")))
+    kind = kind.add("known", "boolean")
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = held.value
-        for batch in batches:
-            size = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)) // STEP
-            for part in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(size)) + 1) if batch.num_rows else ():
-                b = batch.slice(int(part[0]), len(part))
-                texts = [t or "" for t in b.column(at).to_pylist()]
-                words = [WORD.findall(t) for t in texts]
-                labels = m.read(words) if m.langs else [(np.empty(0, np.int64), 0.0, True, 0)] * len(words)
-                pred, score, spans, known = [], [], [], []
-                for t, own, (found, fit, strange, letters) in zip(texts, words, labels, strict=True):
-                    if not len(found) or not any(c.isalpha() for w in own for c in w):
-                        pred.append("und")
-                        score.append(0.0)
-                        spans.append([])
-                        known.append(False)
-                        continue
-                    known.append(not strange and (letters < FITTED or fit >= m.floor))
-                    weight = np.bincount(found, np.fromiter(map(len, own), float, len(own)), len(m.langs))
-                    pred.append(m.langs[int(weight.argmax())])
-                    score.append(float(weight.max() / weight.sum()))
-                    if with_spans:
-                        place = [x.span() for x in WORD.finditer(t)]
-                        cuts = [0, *(np.flatnonzero(np.diff(found)) + 1).tolist(), len(found)]
-                        spans.append([{"start": place[i][0], "end": place[j - 1][1], "lang": m.langs[int(found[i])]} for i, j in zip(cuts, cuts[1:], strict=False)])
-                more = {names[0]: pa.array(pred, pa.string()), names[1]: pa.array(score, pa.float64())}
-                if with_spans:
-                    more[names[2]] = pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])))
-                if with_known:
-                    more[names[3]] = pa.array(known, pa.bool_())
-                yield pa.record_batch([*b.columns, *more.values()], names=[*kept, *more])
+    # Only the text goes to Python, and only what was found comes back.
+    @F.arrow_udf(kind)
+    def predict(texts: pa.Array) -> pa.Array:
+        size = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False)
+        # Texts of about one length are read together, as reading goes word by word.
+        order = np.argsort(size, kind="stable")
+        steps = np.flatnonzero(np.diff(np.cumsum(size[order]) // STEP)) + 1
+        pred, score, spans, known = (np.empty(len(texts), object) for _ in range(4))
+        for part in np.split(order, steps) if len(texts) else ():
+            for i, (lang, share, found, fits) in zip(part.tolist(), judged(held.value, [t or "" for t in texts.take(pa.array(part)).to_pylist()]), strict=True):
+                pred[i], score[i], spans[i], known[i] = lang, share, found, fits
+        out = {"lang": pa.array(pred, pa.string()), "score": pa.array(score, pa.float64())}
+        if with_spans:
+            out["spans"] = pa.array(list(spans), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])))
+        out["known"] = pa.array(known, pa.bool_())
+        return pa.StructArray.from_arrays(list(out.values()), names=list(out))
 
-    schema = StructType([*df.schema.fields]).add(names[0], "string").add(names[1], "double")
-    if with_spans:
-        span = StructType().add("start", "integer").add("end", "integer").add("lang", "string")
-        schema = schema.add(names[2], ArrayType(span))
-    if with_known:
-        schema = schema.add(names[3], "boolean")
-    return df.mapInArrow(predict, schema)
+    def judged(m: Model, texts: list[str]) -> Iterator[tuple[str, float, list, bool]]:
+        words = [WORD.findall(t) for t in texts]
+        read = m.read(words) if m.langs else [(np.empty(0, np.int64), 0.0, True, 0)] * len(words)
+        for t, own, (found, fit, strange, letters) in zip(texts, words, read, strict=True):
+            if not len(found) or not any(c.isalpha() for w in own for c in w):
+                yield "und", 0.0, [], False
+                continue
+            weight = np.bincount(found, np.fromiter(map(len, own), float, len(own)), len(m.langs))
+            spans = []
+            if with_spans:
+                place = [x.span() for x in WORD.finditer(t)]
+                cuts = [0, *(np.flatnonzero(np.diff(found)) + 1).tolist(), len(found)]
+                spans = [{"start": place[i][0], "end": place[j - 1][1], "lang": m.langs[int(found[i])]} for i, j in zip(cuts, cuts[1:], strict=False)]
+            yield m.langs[int(weight.argmax())], float(weight.max() / weight.sum()), spans, not strange and (letters < FITTED or fit >= m.floor)
+
+    at = unused(df, 1, *asked)[0]
+    found = dict(zip(names, ("lang", "score", "spans", "known"), strict=True))
+    out = df.withColumn(at, predict(F.col(f"`{text}`")))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(f"`{at}`.{found[c]}").alias(c) for c in asked])
 
 
 def op9_language_id(spark, sf_dir: str) -> DataFrame:
