@@ -56,14 +56,15 @@ def is_ats_link(url: Column) -> Column:
     return let(parse_url(url), lambda p: F.coalesce(p.isNotNull() & judged(p), F.lit(False)))
 
 
-def is_job_board_landing(url: Column) -> Column:
+def is_job_board_landing(url: Column, ats: Column | None = None) -> Column:
+    """ats: is_ats_link of the URL, where it is known."""
     low = F.lower(F.coalesce(url, F.lit("")))
 
     def hosted(p: Column) -> Column:
         oracle = p["host"].contains("oraclecloud.com") & F.lower(p["path"]).rlike(r"/hcmui/candidateexperience/[^/]+/sites/[^/]+(/jobs)?/?$")
         return (p["host"].contains("myworkdayjobs.com") & ~is_job_detail(url)) | oracle
 
-    return F.when(is_ats_link(url) | low.rlike(R.BOARD_LANDING), True).otherwise(let(parse_url(url), lambda p: F.coalesce(p.isNotNull() & hosted(p), F.lit(False))))
+    return F.when((is_ats_link(url) if ats is None else ats) | low.rlike(R.BOARD_LANDING), True).otherwise(let(parse_url(url), lambda p: F.coalesce(p.isNotNull() & hosted(p), F.lit(False))))
 
 
 def is_external(url: Column, page_url: Column) -> Column:
@@ -80,6 +81,14 @@ def is_challenge_page(links: Column, challenges: Column, job_links: Column) -> C
     return (links > 0) & (job_links == 0) & (challenges > 0) & ((links <= 3) | (challenges >= links))
 
 
+def is_sparse_page(url: Column, links: Column, host: Column) -> Column:
+    """Has a fetched page (its links as an array) so few links, or no job-like ones where they are to be
+    expected, that it was perhaps read too early?"""
+    n, job_like = F.size(F.coalesce(links, F.expr("cast(array() as array<string>)"))), F.exists(links, lambda x: x.rlike("(?i)/job/|/jobs/|jobdetails|requisition|opening|position|apply"))
+    vendor = host.contains("myworkdayjobs.com") | (host.contains("oraclecloud.com") & F.lower(url).contains("/hcmui/candidateexperience/"))
+    return (n <= 1) | (~F.coalesce(job_like, F.lit(False)) & ((n <= 10) | F.coalesce(vendor, F.lit(False))))
+
+
 def excluded_host_pattern(url: Column, rules: RuleSet = CONFIGURED) -> Column:
     """The first pattern, in the order of the list, that the host holds; null for none."""
     plain = F.regexp_replace(F.regexp_replace(F.lower(F.trim(F.coalesce(url, F.lit("")))), r"^[a-z][a-z0-9+.-]*://", ""), r"[/?#].*$", "")
@@ -92,9 +101,10 @@ def has_strong_signal(text: Column) -> Column:
     return F.lower(text).rlike(R.STRONG_SIGNAL) | F.lower(text).rlike(R.ATS_QUERY_HINT)
 
 
-def has_career_signal(url: Column) -> Column:
+def has_career_signal(url: Column, ats: Column | None = None) -> Column:
+    """ats: is_ats_link of the URL, where it is known."""
     low = F.lower(F.coalesce(url, F.lit("")))
-    return (low != "") & (is_ats_link(url) | low.rlike(R.CAREER_PATH_HINT) | has_strong_signal(low))
+    return (low != "") & ((is_ats_link(url) if ats is None else ats) | low.rlike(R.CAREER_PATH_HINT) | has_strong_signal(low))
 
 
 def has_hard_terminal(path: Column) -> Column:

@@ -30,13 +30,13 @@ def cluster_urls(links: DataFrame, url: str = "url") -> DataFrame:
 
     Deep URLs are grouped label by label; where a label has one URL in its group, it is pooled with
     the others of that sort. What remains alone is grouped with the short ones by
-    first segment."""
+    first segment. The labels are one chain of windows, gone through once."""
     rows = links.select(F.col(url).alias("url")).where("url is not null").distinct()
     parts = F.split(F.col("url"), "/")
     first = F.coalesce(F.get(parts, F.lit(3)), F.lit(""))
     plain = ~F.col("url").contains("?")
     short = plain & (((F.size(parts) <= 4) & (F.length(first) > 0)) | ((F.size(parts) <= 5) & F.col("url").endswith("/")))
-    rows = rows.withColumn("kind", F.when(first.rlike("^[0-9]+$"), "number").when(short, "short").otherwise("deep"))
+    rows = rows.withColumn("kind", F.when(first.rlike("^[0-9]+$"), "number").when(short, "short").otherwise("deep")).withColumn("segment", first)
     deep = rows.where("kind = 'deep'").withColumn("path", F.lit(""))
     for label, pooled in url_labels(F.col("url")):
         deep = deep.withColumn("label", label)
@@ -44,14 +44,16 @@ def cluster_urls(links: DataFrame, url: str = "url") -> DataFrame:
             n = F.count(F.lit(1)).over(Window.partitionBy("path", "label"))
             deep = deep.withColumn("label", F.when(n > 1, F.col("label")).otherwise("oldLabel"))
         deep = deep.withColumn("path", F.md5(F.concat_ws("/", "path", "label")))
-    deep = deep.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("path"))).drop("label")
-    alone = deep.where("size = 1").select("url", F.lit("short").alias("kind"))
-    small = rows.where("kind = 'short'").unionByName(alone)
-    segment = F.coalesce(F.get(F.split("url", "/"), F.lit(3)), F.lit(""))
-    small = small.withColumn("segment", segment).withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("segment")))
-    small = small.select("url", F.when(F.col("size") > 1, "short").otherwise("alone").alias("kind"), F.when(F.col("size") > 1, F.concat(F.lit("short:"), "segment")).alias("cluster"))
+    deep = deep.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("path")))
+    deep = deep.select("url", "segment", F.when(F.col("size") > 1, F.concat(F.lit("deep:"), "path")).alias("path"))
+    # Groups of deep URLs, and the short ones with the deep ones that are left over by segment.
+    small = rows.where("kind = 'short'").select("url", "segment", F.lit(None).cast("string").alias("path"))
+    both = deep.unionByName(small).withColumn("cluster", F.coalesce("path", F.concat(F.lit("short:"), "segment")))
+    many = F.count(F.lit(1)).over(Window.partitionBy("cluster")) > 1
+    kind = F.when(F.col("path").isNotNull(), "deep").when(F.col("many"), "short").otherwise("alone")
+    both = both.withColumn("many", many).select("url", kind.alias("kind"), F.when(F.col("many"), F.col("cluster")).alias("cluster"))
+    # All numbers are one cluster: their count combines in each task.
     numbers = rows.where("kind = 'number'")
-    numbers = numbers.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("kind")))
-    numbers = numbers.select("url", F.when(F.col("size") > 1, "number").otherwise("alone").alias("kind"), F.when(F.col("size") > 1, F.lit("number")).alias("cluster"))
-    large = deep.where("size > 1").select("url", "kind", F.concat(F.lit("deep:"), "path").alias("cluster"))
-    return large.unionByName(small).unionByName(numbers)
+    some = numbers.agg(F.count(F.lit(1)) > 1).scalar()
+    numbers = numbers.select("url", F.when(some, "number").otherwise("alone").alias("kind"), F.when(some, F.lit("number")).alias("cluster"))
+    return both.unionByName(numbers)

@@ -93,14 +93,14 @@ def flag_anchor_text(links: DataFrame, entries: DataFrame, by: list[str], rules:
     return out.withColumns({"texts": F.coalesce("texts", F.lit(0)), "dropped": F.coalesce("none", F.lit(False)) & ~keeps}).drop("none")
 
 
-def career_reason(url: Column, forced: Column, rules: RuleSet = CONFIGURED) -> Column:
-    """Why a link is no careers link; null where it is one."""
-    return F.when(forced, None).when(is_non_career(url, rules.non_career), "non_career_pattern").when(~has_career_signal(url), "not_career_like")
+def career_reason(url: Column, forced: Column, rules: RuleSet = CONFIGURED, ats: Column | None = None) -> Column:
+    """Why a link is no careers link; null where it is one. ats: is_ats_link, where it is known."""
+    return F.when(forced, None).when(is_non_career(url, rules.non_career), "non_career_pattern").when(~has_career_signal(url, ats), "not_career_like")
 
 
-def ats_reason(url: Column, rules: RuleSet = CONFIGURED) -> Column:
+def ats_reason(url: Column, rules: RuleSet = CONFIGURED, ats: Column | None = None) -> Column:
     return (
-        F.when(~is_ats_link(url), "not_ats")
+        F.when(~(is_ats_link(url) if ats is None else ats), "not_ats")
         .when(is_non_career(url, rules.non_career) & ~has_strong_signal(url), "non_career_pattern")
         .when(ats_canonical(url) == "", "invalid_ats_url")
     )
@@ -112,6 +112,16 @@ def drop_self(links: DataFrame, selves: DataFrame, by: list[str]) -> DataFrame:
     return links.withColumn("k", url_key(F.col("url"))).join(keys, [*by, "k"], "left_anti").drop("k")
 
 
+def without_sections(links: DataFrame, sections: DataFrame, by: list[str], url: str = "url") -> DataFrame:
+    """links without those that the page's own sections (navigation, footer) have."""
+    return links.join(sections.select(*by, url).distinct(), [*by, url], "left_anti")
+
+
+def link_difference(new: DataFrame, old: DataFrame, by: list[str], url: str = "url") -> DataFrame:
+    """The distinct links of new that old lacks; no rows where nothing is new."""
+    return new.select(*by, url).where(F.coalesce(F.col(url), F.lit("")) != "").distinct().join(old.select(*by, url).distinct(), [*by, url], "left_anti")
+
+
 def best_career_url(candidates: DataFrame, by: list[str], base: str, least: int = 60) -> DataFrame:
     """(by, url, score) of the best careers URL of each group, if it scores at least `least`."""
     links = candidates.select(*by, base, "url").withColumn("pos", F.lit(0))

@@ -14,7 +14,7 @@ from ..functions.html import page_title, text_sample
 from ..functions.predicates import excluded_host_pattern, is_ats_link, is_bot_challenge, is_challenge_page, is_job_board_landing, is_job_detail, is_likely_job_link, is_non_job_text, is_social
 from ..functions.rules import CONFIGURED, RuleSet
 from ..functions.text import match_form
-from ..functions.urls import comparable_host, form_preference, normalize_url, preference, url_forms, url_key
+from ..functions.urls import comparable_host, form_preference, normalize_url, preference, url_aliases, url_forms, url_key
 from . import links as L
 
 
@@ -123,14 +123,25 @@ FETCHED = {
 _NO_LINKS = "cast(array() as array<string>)"
 
 
+def normalized_steps(steps: Column) -> Column:
+    """A redirect chain with normal URLs and no nulls, without steps that have neither URL nor status."""
+    none = F.expr(f"cast(array() as {FETCHED['redirect_chain']})")
+    fixed = lambda x: F.struct(
+        F.coalesce(F.nullif(normalize_url(x["url"]), F.lit("")), x["url"], F.lit("")).alias("url"), F.coalesce(x["status_code"], F.lit(0)).alias("status_code"), F.coalesce(x["location"], F.lit("")).alias("location")
+    )
+    return F.filter(F.transform(F.coalesce(steps, none), fixed), lambda x: (x["url"] != "") | (x["status_code"] > 0))
+
+
 def page_facts(pages: DataFrame, rules: RuleSet = CONFIGURED, most: int = 8) -> DataFrame:
     """Each page's own columns, by one projection that leaves the HTML behind: URLs, exclusions,
     redirects, title, expiry. Columns of FETCHED that pages lack are null."""
     given = pages.select("page_id", "url", "html", *[F.col(c) if c in pages.columns else F.lit(None).cast(t).alias(c) for c, t in FETCHED.items()])
     given = given.select("*", url_forms(F.col("url")).alias("own"), url_forms(F.coalesce(F.nullif("final_url", F.lit("")), F.col("url"))).alias("final"))
-    steps = F.coalesce(F.slice("redirect_chain", 1, 20), F.expr("cast(array() as array<struct<url:string,status_code:int,location:string>>)"))
-    codes = F.filter(F.transform(steps, lambda x: F.coalesce(x["status_code"], F.lit(0))), lambda c: c > 0)
-    redirects = F.greatest(F.size(F.coalesce("redirect_chain", F.expr("cast(array() as array<struct<url:string,status_code:int,location:string>>)"))) - 1, F.lit(0))
+    chain = normalized_steps(F.col("redirect_chain"))
+    given = given.withColumn("redirect_chain", chain)
+    steps = F.slice("redirect_chain", 1, 20)
+    codes = F.filter(F.transform(steps, lambda x: x["status_code"]), lambda c: c > 0)
+    redirects = F.greatest(F.size("redirect_chain") - 1, F.lit(0))
     status = F.coalesce("status_code", F.lit(0))
     # Of the page's two URLs the preferred one.
     career = F.array_min(F.array(*[F.struct(form_preference(F.col(c)).alias("p"), F.col(c).alias("f")) for c in ("own", "final")]))["f"]
@@ -149,15 +160,15 @@ def _flagged(links: DataFrame, rules: RuleSet) -> DataFrame:
     """links (page_id, key, url, pos, texts, gained, page_url) with what decides about them."""
     url, page = F.col("url"), F.col("page_url")
     links = links.select("*", comparable_host(url).alias("host"), comparable_host(page).alias("page_host"), is_likely_job_link(url, rules).alias("likely"), is_ats_link(url).alias("ats"), is_job_detail(url).alias("detail"))
-    links = links.withColumn("board", F.col("likely") | F.col("ats") | is_job_board_landing(url))
+    links = links.withColumn("board", F.col("likely") | is_job_board_landing(url, F.col("ats")))
     near = (F.col("page_host") == "") | ((F.col("host") != "") & ((F.col("host") == F.col("page_host")) | F.col("board")))
     here = F.col("gained") | (near & ~is_social(F.col("host"), F.col("page_host"), rules))
     none = (F.size("texts") > 0) & F.forall("texts", lambda t: is_non_job_text(t, rules))
     links = links.withColumns({"here": here, "texts_none": none})
     links = links.withColumn("kept", F.col("here") & (F.col("gained") | ~F.col("texts_none") | F.col("likely") | F.col("ats")))
     links = links.withColumn("is_job", F.col("kept") & (F.col("likely") | F.col("gained")))
-    why = F.when(F.col("ats"), F.coalesce(L.ats_reason(url, rules), F.lit("")))
-    return links.withColumns({"ats_why": why, "career_why": L.career_reason(url, F.col("is_job"), rules)})
+    why = F.when(F.col("ats"), F.coalesce(L.ats_reason(url, rules, F.col("ats")), F.lit("")))
+    return links.withColumns({"ats_why": why, "career_why": L.career_reason(url, F.col("is_job"), rules, F.col("ats"))})
 
 
 def career_links(pages: DataFrame, rules: RuleSet = CONFIGURED, expand: bool = False, most_boards: int = 1, existing: DataFrame | None = None, most_phrases: int = 8) -> DataFrame:
@@ -222,6 +233,11 @@ def _page_rows(out: DataFrame, merged: bool) -> DataFrame:
     out = out.withColumns({c: F.when(F.col("empty"), none).otherwise(x) for c, x in lists.items()})
     forced = F.concat(old("links"), urls_of("stay"), urls_of("jobs"), F.coalesce("boards", none))
     links = F.filter(distinct(forced), lambda u: ~F.array_contains(selves, url_key(u)))
+    if not merged:  # without boards, equal keys have equal spellings
+        empty_entries = F.expr("cast(array() as array<struct<pos:int,key:string,url:string>>)")
+        entries = F.array_distinct(F.concat(F.array_sort(F.coalesce("stay", empty_entries)), F.array_sort(F.coalesce("jobs", empty_entries))))
+        plain = F.transform(F.filter(entries, lambda x: ~F.array_contains(selves, x["key"])), lambda x: x["url"])
+        links = F.when(F.size(F.coalesce("boards", none)) == 0, plain).otherwise(links)
     out = out.withColumn("links", F.when(F.col("empty"), none).otherwise(links))
     details = F.size(F.filter("job_links", is_job_detail))
     count = lambda c: F.when(F.col("empty"), 0).otherwise(F.coalesce(c, F.lit(0))).cast("long")
@@ -260,6 +276,15 @@ KEPT_ON_ERROR = (
 )
 
 
+def stored_of(pages: DataFrame, stored: DataFrame) -> DataFrame:
+    """(page_id, and the columns of stored) of the stored pages that a page (page_id, url) is known as: by
+    the key or the URL of one of its aliases. Two joins on equal values, each row once."""
+    aliases = pages.select("page_id", F.explode(url_aliases(F.col("url"))).alias("alias"))
+    by_key = aliases.select("page_id", url_key(F.col("alias")).alias("career_url_key")).distinct().join(stored, "career_url_key")
+    by_url = aliases.withColumnRenamed("alias", "career_url").join(stored, "career_url")
+    return by_key.unionByName(by_url).dropDuplicates(["page_id", "career_url_key", "career_url"])
+
+
 def stored_pages(old: DataFrame, new: DataFrame, keep_on_error: bool = True) -> DataFrame:
     """The stored page table after new rows: by career_url_key, with created_at, last_success_at and
     last_error_at. A row of a failed fetch keeps the links there were, if asked for, and is

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,8 @@ from pyspark.sql import functions as F
 from ..functions import ats, html, postings, predicates, text, urls
 from ..functions.rules import RuleSet
 from ..operators import clustering, legacy, lifecycle, links, records
+from ..sources import seeds
+from ..sources.folders import shared_folder
 from ..streaming import jobs as streaming
 from .oracle import ORACLE
 from .synth import synthetic
@@ -198,9 +202,70 @@ def career_status(spark, d):
     return table(spark, d, "part").select("p_partkey", records.career_status(flag(8), flag(4), flag(2), flag(1)).alias("status"))
 
 
+def _career_pages(spark, d):
+    steps = F.expr("CASE WHEN page_id % 8 = 0 THEN array(named_struct('url', concat(url, '/old'), 'status_code', 301, 'location', url), named_struct('url', url, 'status_code', 200, 'location', '')) END")
+    return synthetic(spark, d, "career_pages").withColumn("redirect_chain", steps)
+
+
 @query
 def career_links_table(spark, d):
-    return records.career_links(synthetic(spark, d, "built_pages").unionByName(table(spark, d, "pages").select((F.col("page_id") + 1_000_000).alias("page_id"), "url", "html")))
+    text = lambda c: F.concat_ws(",", c).alias(c)
+    kept = (
+        "page_id", "career_url", "career_url_key", "request_url", "final_url", "final_career_url", "ats_template", "page_title", "link_count", "job_link_count", "has_job_links", "job_detail_link_count", "job_links_status", "ats_career_link_count",
+        "career_links_status", "expired_or_no_jobs", "expire_keyword_match_count", "excluded_domain_pattern", "text_filtered_link_count", "career_filtered_link_count", "http_status_code", "initial_http_status_code", "redirect_count", "redirected",
+        "bot_challenge", "crawl_status", "source", "error",
+    )
+    return records.career_links(_career_pages(spark, d)).select(*kept, *[text(c) for c in ("links", "job_links", "ats_career_links", "expire_keyword_matches")])
+
+
+@query
+def page_record_counts(spark, d):
+    rows = records.career_links(table(spark, d, "pages"), expand=True)
+    return rows.groupBy("crawl_status", "career_links_status").agg(F.count(F.lit(1)).alias("pages"), F.sum("job_link_count").alias("job_links"))
+
+
+@query
+def page_upsert(spark, d):
+    new = records.career_links(_career_pages(spark, d)).withColumn("fetched_at", F.expr(NOW))
+    old = new.where("page_id % 2 = 1").withColumns({"link_count": F.lit(7).cast("long"), "crawl_status": F.lit("success"), "created_at": F.expr(NOW) - F.expr("INTERVAL 1 DAY"), "last_success_at": F.expr(NOW) - F.expr("INTERVAL 1 DAY"), "last_error_at": F.lit(None).cast("timestamp_ntz")})
+    out = records.stored_pages(old, new)
+    return out.select("career_url_key", "link_count", "crawl_status", "created_at", "last_success_at", "last_error_at")
+
+
+@query
+def merged_page_runs(spark, d):
+    rows = synthetic(spark, d, "career_pages").where("page_id % 8 = 0")
+    old = rows.select(F.expr("concat('c', page_id, '.example.org/careers')").alias("career_url_key"), F.expr("array(concat('http://c', page_id, '.example.org/job/', page_id), concat('https://c', page_id, '.example.org/job/old'))").alias("links"), F.expr("array(concat('https://c', page_id, '.example.org/job/old'))").alias("job_links"), F.expr("cast(array() as array<string>)").alias("ats_career_links"))
+    out = records.career_links(rows, existing=old)
+    return out.select("page_id", F.concat_ws(",", "links").alias("links"), F.concat_ws(",", "job_links").alias("job_links"), "job_detail_link_count")
+
+
+@query
+def expiry_verdicts(spark, d):
+    v = records.expiry_verdict(html.text_sample(F.col("html")), html.page_title(F.col("html")), F.col("status_code"))
+    rows = synthetic(spark, d, "career_pages").select("page_id", v.alias("v"))
+    return rows.select("page_id", F.col("v.status_code").cast("bigint").alias("status_code"), "v.fast_hint_matched", "v.status_code_expired", F.concat_ws(",", "v.matched_keywords").alias("keywords"), "v.is_expired_or_no_jobs")
+
+
+@query
+def stored_by_alias(spark, d):
+    pages = synthetic(spark, d, "spellings").select(F.col("k").alias("page_id"), "url")
+    stored = synthetic(spark, d, "spellings").where("k % 13 = 0").select(urls.normalize_url(F.col("url")).alias("career_url")).distinct()
+    stored = stored.withColumn("career_url_key", urls.url_key(F.col("career_url"))).groupBy("career_url_key").agg(F.min("career_url").alias("career_url"))
+    return records.stored_of(pages, stored).select("page_id", "career_url_key")
+
+
+@query
+def url_aliases(spark, d):
+    rows = synthetic(spark, d, "spellings").select("k", F.explode(urls.url_aliases(F.col("url"))).alias("alias"))
+    return rows.where("alias not like '%:80%'").select("k", "alias")
+
+
+@query
+def merged_collections(spark, d):
+    rows = table(spark, d, "part").select(F.col("p_partkey").alias("page_id"), F.col("p_name").alias("title"), F.col("p_type").alias("sample"), F.expr("array(named_struct('url', concat('https://a.example.com/', p_partkey), 'text', p_name))").alias("entries"))
+    new = rows.where("page_id % 2 = 0").withColumns({"title": F.expr("CASE WHEN page_id % 4 = 0 THEN '' ELSE 'new' END"), "entries": F.expr("concat(entries, array(named_struct('url', 'https://b.example.com/', 'text', '')))")})
+    return links.merged_pages(rows.where("page_id % 3 = 0"), new).select("page_id", "title", "sample", F.size("entries").cast("bigint").alias("entries"))
 
 
 @query
@@ -228,7 +293,7 @@ def ldjson_blocks(spark, d):
 @query
 def posting_fields(spark, d):
     p = synthetic(spark, d, "posting_pages").select("k", postings.posting_columns(postings.job_posting(F.col("page"))).alias("f"))
-    return p.where("f.company is not null").select("k", "f.job_title", "f.company", "f.job_id", "f.job_type", "f.location")
+    return p.where("f.company is not null").select("k", *[F.col(f"f.{c}") for c in postings.FIELDS])
 
 
 @query
@@ -301,7 +366,72 @@ def health_snapshot(spark, d):
 
 @query
 def stream_health(spark, d):
-    return table(spark, d, "events").groupBy(F.col("event_type").alias("group")).agg(F.count(F.lit(1)).alias("pending"), F.count_distinct("user_id").alias("consumers"))
+    rows = table(spark, d, "events").select(F.lit("events").alias("queue"), F.col("event_type").alias("group"), F.col("user_id").alias("consumer"))
+    return lifecycle.queue_health(rows).select("group", "pending", "consumers")
+
+
+@query
+def info_sections(spark, d):
+    rows = table(spark, d, "part").select("p_partkey", lifecycle.info_section(F.expr("concat('# Part\r\nname:', p_name, '\n:x\nnone\nsize: ', p_size, ' \nsize:', p_size + 1, '\nurl:a:b')")).alias("m"))
+    return rows.select("p_partkey", F.explode("m").alias("name", "value"))
+
+
+@query
+def unique_keys(spark, d):
+    rows = synthetic(spark, d, "spellings").select(urls.url_key(F.col("url")).alias("key"))
+    return lifecycle.duplicated(rows, "key")
+
+
+@query
+def html_work_actions(spark, d):
+    jobs = synthetic(spark, d, "jobs").groupBy("url").agg(F.max("status").alias("status"), F.max("career_url").alias("career_url")).withColumn("career_urls", F.array(F.lit("https://first.example.com/")))
+    messages = synthetic(spark, d, "jobs").select("id", F.expr("CASE WHEN id % 10 = 0 THEN concat(url, '/other') ELSE url END").alias("url"), F.expr("CASE WHEN id % 4 = 0 THEN 'https://own.example.com/' END").alias("career_url"))
+    return lifecycle.html_work(messages, jobs, only_jobs=True).select("id", "career_url", "action")
+
+
+@query
+def job_marks(spark, d):
+    now = F.expr(NOW)
+    jobs = synthetic(spark, d, "jobs").select(F.expr("concat('https://j.example.com/', id)").alias("url"), "status", "career_url", F.col("discovered_at").alias("created_at"), F.col("discovered_at").alias("updated_at"), F.lit("w").alias("lock_by"), F.col("lock_until").alias("lock_at"), "lock_until", F.col("id").alias("_id")).drop("_id")
+    marks = synthetic(spark, d, "jobs").where("id % 3 = 0").select(F.expr("concat('https://j.example.com/', CASE WHEN id % 2 = 0 THEN id ELSE -id END)").alias("url"), F.lit("done").alias("status"), F.expr("CASE WHEN id % 5 = 0 THEN 'https://c.example.com/' END").alias("career_url"))
+    out = lifecycle.mark_jobs(jobs, marks, now)
+    return out.groupBy("status").agg(F.count(F.lit(1)).alias("jobs"), F.count("lock_by").alias("locked"), F.count_if(F.col("updated_at") == now).alias("updated"), F.count_if(F.col("created_at") == now).alias("created"), F.count_if(F.col("career_url") == "https://c.example.com/").alias("career"))
+
+
+@query
+def queued_marks(spark, d):
+    jobs = synthetic(spark, d, "jobs").select("url", "queued", "queued_at").dropDuplicates(["url"])
+    marked = lifecycle.mark_queued(jobs.withColumns({"queued": F.lit(False), "queued_at": F.lit(None).cast("timestamp_ntz")}), jobs.where("url like '%7'"), F.expr(NOW))
+    return marked.select("url", "queued", "queued_at")
+
+
+@query
+def seed_cycles(spark, d):
+    jobs = synthetic(spark, d, "jobs")
+    parts = []
+    for name, options in (("plain", {"queue_length": 5}), ("recovered", {"queue_length": 0}), ("reset", {"queue_length": 5, "reset": True})):
+        queue, after = lifecycle.seed_cycle(jobs, F.expr(NOW), **options)
+        parts.append(queue.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("cycle"), F.lit("queue").alias("part"), "n"))
+        parts.append(after.agg(F.count_if(F.col("queued_at") == F.expr(NOW)).alias("n")).select(F.lit(name).alias("cycle"), F.lit("marked").alias("part"), "n"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def replayed_failures(spark, d):
+    source = table(spark, d, "events").select(F.col("event_id").alias("id"))
+    rows = None
+    for name, options in (("all", {}), ("some", {"most": 70}), ("kept", {"most": 70, "keep": True})):
+        moved, left = lifecycle.replay(source, 50, **options)
+        part = moved.select(F.lit(name).alias("run"), F.lit("moved").alias("part"), "id").unionByName(left.select(F.lit(name).alias("run"), F.lit("left").alias("part"), "id"))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows.groupBy("run", "part").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last_id"))
+
+
+@query
+def acknowledged(spark, d):
+    log = table(spark, d, "events").select(F.col("event_id").alias("id"), "event_type")
+    pending, kept = lifecycle.acknowledge(log.where("id % 2 = 0"), log, log.where("id % 3 = 0"))
+    return pending.withColumn("part", F.lit("pending")).unionByName(kept.withColumn("part", F.lit("log"))).groupBy("part", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -331,20 +461,27 @@ def link_buckets(spark, d):
 @query
 def repeated_texts(spark, d):
     lines = table(spark, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    return lines.groupBy("doc_id", "line").agg(F.count(F.lit(1)).alias("n")).where("n >= 3").select("doc_id", F.md5("line").alias("line_md5"), "n")
+    return legacy.repeated_values(lines, "doc_id", "line").select("doc_id", F.md5("line").alias("line_md5"), "n")
 
 
 @query
 def link_set_diff(spark, d):
-    a = links.link_entries(table(spark, d, "pages").where("page_id % 2 = 0")).select("text").distinct()
-    b = links.link_entries(table(spark, d, "pages").where("page_id % 2 = 1")).select("text").distinct()
-    return a.exceptAll(b)
+    a = links.link_entries(table(spark, d, "pages").where("page_id % 2 = 0")).select(F.lit(0).alias("g"), "text")
+    b = links.link_entries(table(spark, d, "pages").where("page_id % 2 = 1")).select(F.lit(0).alias("g"), "text")
+    return links.link_difference(a, b, ["g"], "text").select("text")
+
+
+@query
+def links_outside_sections(spark, d):
+    pages = synthetic(spark, d, "built_pages")
+    nav = pages.select("page_id", "url", F.concat_ws("", html.sections(F.col("html"), ("nav", "footer"))).alias("html"))
+    return links.without_sections(links.link_entries(pages), links.link_entries(nav), ["page_id"]).select("page_id", "url", "text")
 
 
 @query
 def word_frequencies(spark, d):
     words = table(spark, d, "documents").select(F.explode(text.tokens(F.col("text"))).alias("word"))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return legacy.value_counts(words, "word")
 
 
 @query
@@ -407,6 +544,140 @@ def stream_retry_routing(spark, d):
     return streaming.routed(spark, synthetic(spark, d, "failures")).groupBy("stream", "outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def unique_rows(spark, d):
+    rows = synthetic(spark, d, "job_urls").select((F.col("k") % 50).alias("g"), F.col("k").alias("pos"), "url")
+    first = legacy.unique(rows, ["g"], "pos").select("g", "url")
+    return first.unionByName(legacy.unique(rows.select("g", F.lit("x").alias("url"))))
+
+
+@query
+def sparse_pages(spark, d):
+    rows = synthetic(spark, d, "job_urls").groupBy((F.col("k") % 300).alias("g")).agg(F.array_sort(F.collect_list("url")).alias("links"))
+    url = F.expr("CASE WHEN g % 3 = 0 THEN 'https://acme.wd5.myworkdayjobs.com/x' ELSE 'https://a.example.com/' END")
+    return rows.select("g", predicates.is_sparse_page(url, F.col("links"), urls.comparable_host(url)).alias("sparse"))
+
+
+@query
+def numbers_and_flags(spark, d):
+    raw = F.expr("CASE p_partkey % 6 WHEN 0 THEN '12' WHEN 1 THEN ' 3.5 ' WHEN 2 THEN 'yes' WHEN 3 THEN 'TRUE' WHEN 4 THEN '-4' ELSE p_name END")
+    return table(spark, d, "part").select("p_partkey", urls.is_number(raw).alias("number"), text.parse_flag(raw).alias("flag"), text.positive_int(raw, 9).cast("bigint").alias("count"))
+
+
+@query
+def job_labels(spark, d):
+    label = F.col("text")
+    return synthetic(spark, d, "anchor_texts").select("k", legacy.is_label(label).alias("any_link"), legacy.is_job_label(label).alias("job"), legacy.is_counted_label(label).alias("counted"))
+
+
+@query
+def labelled_links(spark, d):
+    return legacy.labelled_links(synthetic(spark, d, "built_pages")).select("page_id", "link", "label")
+
+
+@query
+def first_selectors(spark, d):
+    return synthetic(spark, d, "job_urls").select("k", legacy.first_selector(F.col("url"), ("/jobs/", "/job/", "jobid=", "/openings/", "/team/")).alias("selector"))
+
+
+@query
+def dominant_buckets(spark, d):
+    rows = synthetic(spark, d, "job_urls").select((F.col("k") % 25).alias("page_id"), F.col("url").alias("link"), F.expr("concat('Nurse ', k, ' wanted')").alias("label"), F.expr("concat('m', k % 2)").alias("mainparent"), F.lit("p").alias("parent_node"), F.lit("a").alias("node_name"))
+    return legacy.dominant_bucket(rows, ("/job/", "/jobs/", "/careers/")).select("page_id", "link", "bucket")
+
+
+@query
+def web_addresses(spark, d):
+    url = F.expr("CASE p_partkey % 7 WHEN 0 THEN concat('https://a', p_partkey, '.example.com/x') WHEN 1 THEN 'http://10.1.2.3/' WHEN 2 THEN '//b.example.org' WHEN 3 THEN 'http://localhost' WHEN 4 THEN 'ftp://8.8.8.8:21/f' WHEN 5 THEN p_name ELSE 'http://192.168.0.9:80/y' END")
+    return table(spark, d, "part").select("p_partkey", legacy.is_web_address(url).alias("valid"))
+
+
+@query
+def pager_words(spark, d):
+    page = F.expr("concat('<a>', CASE p_partkey % 4 WHEN 0 THEN 'Load more' WHEN 1 THEN 'Next page' WHEN 2 THEN p_name ELSE 'Show More' END, '</a>', CASE WHEN p_partkey % 3 = 0 THEN '<ul class=\"pagination\">' ELSE '' END)")
+    return table(spark, d, "part").select("p_partkey", F.concat_ws(",", legacy.pager_families(page)).alias("families"))
+
+
+@query
+def board_jobs(spark, d):
+    code = lambda name, value: f"'{{\"nameCode\":{{\"codeValue\":\"{name}\"}},\"stringValue\":\"', {value}, '\"}}'"
+    payload = F.expr(f"concat('{{\"jobRequisitions\":[{{\"customFieldGroup\":{{\"stringFields\":[', {code('ExternalJobID', 'p_partkey')}, ',', {code('Other', 'p_size')}, ']}}}},{{\"customFieldGroup\":{{\"stringFields\":[', {code('ExternalJobID', 'p_size')}, ']}}}}]}}')")
+    rows = table(spark, d, "part").select("p_partkey", F.explode(legacy.board_job_ids(payload)).alias("job_id"))
+    return rows.select("p_partkey", "job_id", legacy.with_job_id(F.expr("concat('https://b.example.com/x', CASE WHEN p_partkey % 2 = 0 THEN '?jobId=0&a=1' ELSE '#t' END)"), F.col("job_id")).alias("url"))
+
+
+@query
+def masked_passwords(spark, d):
+    return table(spark, d, "customer").select("c_custkey", urls.mask_password(F.expr("concat('redis://u', CASE WHEN c_custkey % 2 = 0 THEN concat(':', c_name) ELSE '' END, '@h:6379/0')")).alias("masked"))
+
+
+@query
+def ascii_hosts(spark, d):
+    host = F.expr("CASE c_custkey % 3 WHEN 0 THEN 'bücher.example' WHEN 1 THEN 'a.example' ELSE '日本.example' END")
+    return table(spark, d, "customer").select("c_custkey", urls.ascii_hosts(F.concat(F.lit("https://"), host, F.lit(":8443/ü?x="), F.col("c_custkey").cast("string"))).alias("url"))
+
+
+@query
+def merged_postings(spark, d):
+    block = F.expr("CASE p_partkey % 3 WHEN 0 THEN concat('{\"@type\":\"JobPosting\",\"title\":\"', p_name, '\",\"url\":\"first\"}') WHEN 1 THEN concat('[{\"@type\":\"Thing\"},{\"@type\":\"JobPosting\",\"title\":\"', p_name, '\"}]') ELSE '{broken' END")
+    second = F.lit('{"@type":"JobPosting","url":"second"}')
+    rows = table(spark, d, "part").select("p_partkey", legacy.merged_posting(F.array(block, second)).alias("m"))
+    return rows.select("p_partkey", F.col("m")["title"].alias("title"), F.col("m")["url"].alias("url"))
+
+
+@query
+def legacy_pages(spark, d):
+    page = F.expr("concat('<script type=\"application/ld+json\">{}</script><p itemprop=\"x\">', p_name, '</p> apply now ', '<style>s</style>')")
+    rows = table(spark, d, "part").select("p_partkey", legacy.legacy_page(page, F.when(F.col("p_partkey") % 5 == 0, 500).otherwise(200), ("apply now",)).alias("l"))
+    return rows.select("p_partkey", "l.job_body", "l.error_type", F.size("l.ldjson").cast("bigint").alias("blocks"), F.col("l.microdata")["x"].alias("x"), "l.is_job")
+
+
+@query
+def seed_file_urls(spark, d):
+    path = f"{shared_folder(spark)}/seeds-{uuid.uuid4().hex}"
+    synthetic(spark, d, "spellings").select(F.concat(F.lit(" "), "url")).write.text(path)
+    return seeds.seed_file(spark, path)
+
+
+@query
+def seed_batches(spark, d):
+    rows = synthetic(spark, d, "spellings").select(F.col("k").alias("id"), F.col("url").alias("careerUrl"), F.expr("k % 5 = 0").alias("redisSeeded"), F.expr("CAST(NULL AS TIMESTAMP_NTZ)").alias("redisSeededAt"))
+    done = synthetic(spark, d, "spellings").where("k % 11 = 0").select("url")
+    first, marked = seeds.seed_batch(rows, F.expr(NOW), most=40)
+    again, _ = seeds.seed_batch(rows, F.expr(NOW), done, queue_length=0)
+    parts = first.select(F.lit("first").alias("part"), "key"), again.select(F.lit("again").alias("part"), "key"), marked.where(F.col("redisSeededAt").isNotNull()).select(F.lit("marked").alias("part"), F.col("id").cast("string").alias("key"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def seed_choice(spark, d):
+    rows = synthetic(spark, d, "spellings").select(F.col("k").alias("id"), F.col("url").alias("careerUrl"), F.lit(True).alias("redisSeeded"))
+    found = [seeds.choose_seed_table(x) for x in ([("empty", rows.limit(0)), ("all_marked", rows)], [("all_marked", rows), ("open", rows.withColumn("redisSeeded", F.lit(None).cast("boolean")))])]
+    return spark.createDataFrame(found, "name string, reason string")
+
+
+@query
+def message_log(spark, d):
+    path = f"{shared_folder(spark)}/log-{uuid.uuid4().hex}"
+    rows = table(spark, d, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("value"))
+    none = seeds.log_length(spark, path)
+    seeds.append_messages(rows.where("id % 2 = 0"), path)
+    seeds.append_messages(rows.where("id % 2 = 1").withColumn("value", F.struct("value")), path)
+    return spark.read.parquet(path).groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.lit(none).cast("bigint").alias("before"), F.lit(seeds.log_length(spark, path)).cast("bigint").alias("after"))
+
+
+@query
+def vocabulary_file(spark, d):
+    path = f"{shared_folder(spark)}/words-{uuid.uuid4().hex}"
+    table(spark, d, "nation").select(F.lit(1).alias("g"), "n_name").groupBy("g").agg(F.to_json(F.array_sort(F.collect_list("n_name"))).alias("value")).select("value").write.text(path)
+    return spark.createDataFrame([(x,) for x in seeds.json_array_file(spark, path)], "word string")
+
+
+@query
+def health_json(spark, d):
+    return seeds.health_report(lifecycle.health(synthetic(spark, d, "jobs")))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

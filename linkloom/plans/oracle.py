@@ -132,8 +132,10 @@ ORACLE: dict[str, str] = {
     "merge_runs": f"SELECT g, key, {_CHOICE} AS url, min(pos) AS pos FROM (SELECT k % 3 AS g, CASE WHEN k % 2 = 0 THEN k ELSE k + 1000000000 END AS pos, {_NORMAL} AS normal, {_KEY} AS key, {_SCORE} AS score FROM {_parts(S('spellings'), 'k')}) z GROUP BY g, key",
     "ldjson_blocks": f"""SELECT k, CAST(0 AS BIGINT) AS pos, regexp_extract(page, '<script type="application/ld[+]json">(.*?)</script>', 1) AS block FROM {S('posting_pages')} s""",
     "posting_fields": """
-        SELECT p_partkey AS k, p_name AS job_title, p_brand AS company, CASE WHEN p_partkey % 4 = 0 THEN CAST(p_partkey AS VARCHAR) END AS job_id, CASE WHEN p_partkey % 4 = 2 THEN 'FULL_TIME' END AS job_type,
-               CASE WHEN p_partkey % 4 = 1 THEN p_type ELSE '' END AS location FROM part WHERE p_partkey % 4 < 3""",
+        SELECT p_partkey AS k, p_name AS job_title, CASE WHEN a THEN 'Do it' END AS job_description, CASE WHEN a THEN CAST(p_partkey AS VARCHAR) END AS job_id, CASE WHEN a THEN '2024-01-02' END AS posted_date, CASE WHEN a THEN '2024-02-03' END AS expiration_date,
+               CASE WHEN p_partkey % 4 = 2 THEN 'FULL_TIME' END AS job_type, p_brand AS company, CASE WHEN a THEN 'https://s.example.com' END AS same_as, CASE WHEN a THEN 'l.png' END AS logo, CASE WHEN a THEN '29-1141' END AS occupational_category,
+               CASE WHEN a THEN '10-' || (p_size + 10) || ' HOUR' END AS salary, CASE WHEN a THEN 'USD' END AS currency, CASE WHEN a THEN 'base' END AS salary_type, CASE WHEN a THEN 'X,Y,Z' WHEN p_partkey % 4 = 1 THEN p_type ELSE '' END AS location,
+               CASE WHEN a THEN '04109' END AS postal_code FROM (SELECT *, p_partkey % 4 = 0 AS a FROM part) q WHERE p_partkey % 4 < 3""",
     "queue_items": f"""
         SELECT id, CASE WHEN id % 5 = 0 OR id % 5 = 4 THEN value WHEN id % 5 = 3 THEN NULL ELSE coalesce(json_extract_string(j, '$.url'), json_extract_string(j, '$.link')) END AS url,
                coalesce(json_extract_string(j, '$.careerUrl'), json_extract_string(j, '$.career_url')) AS career_url FROM (SELECT id, value, CASE WHEN json_valid(value) THEN value::JSON END AS j FROM {S('messages')} s) z""",
@@ -211,6 +213,151 @@ ORACLE |= {
 }
 
 
+
+_HOST_K = "'c' || page_id || '.example.org'"
+_PAGE = f"(SELECT *, page_id % 8 AS c, 'https://c' || page_id || CASE WHEN page_id % 8 = 4 THEN '.indeed' ELSE '' END || '.example.org' AS root FROM {S('career_pages')} s0)"
+_LEVER = "'https://jobs.lever.co/acme' || page_id"
+_LEVER_JOB = _LIKELY.replace(_U, f"lower({_LEVER})")
+ORACLE |= {
+    # each class of page by what its HTML holds
+    "career_links_table": f"""
+        SELECT page_id, root || '/careers' AS career_url, substr(root, 9) || '/careers' AS career_url_key, root || '/careers' AS request_url, root || '/careers' AS final_url,
+               CASE c WHEN 0 THEN root || '/job/' || page_id WHEN 1 THEN {_LEVER} ELSE root || '/careers' END AS final_career_url, CASE c WHEN 1 THEN 'lever' ELSE '' END AS ats_template, 'Page ' || page_id AS page_title,
+               CAST(CASE WHEN c IN (0, 1) THEN 1 ELSE 0 END AS BIGINT) AS link_count, CAST(j AS BIGINT) AS job_link_count, j > 0 AS has_job_links, CAST(CASE WHEN c = 0 THEN 1 ELSE 0 END AS BIGINT) AS job_detail_link_count,
+               CASE WHEN c IN (5, 6) THEN 'error' WHEN j > 0 THEN 'job_links_found' ELSE 'no_job_links' END AS job_links_status, CAST(CASE WHEN c = 1 THEN 1 ELSE 0 END AS BIGINT) AS ats_career_link_count,
+               CASE c WHEN 0 THEN 'job_links_found' WHEN 1 THEN 'ats_career_links_found' WHEN 2 THEN 'expired_or_no_jobs' WHEN 3 THEN 'expired_or_no_jobs' WHEN 4 THEN 'excluded_domain' WHEN 7 THEN 'no_job_links' ELSE 'error' END AS career_links_status,
+               c IN (2, 3) AS expired_or_no_jobs, CAST(CASE WHEN c = 2 THEN 1 ELSE 0 END AS BIGINT) AS expire_keyword_match_count, CASE WHEN c = 4 THEN 'indeed' ELSE '' END AS excluded_domain_pattern,
+               CAST(CASE WHEN c = 0 THEN 1 ELSE 0 END AS BIGINT) AS text_filtered_link_count, CAST(CASE WHEN c = 7 THEN 2 ELSE 0 END AS BIGINT) AS career_filtered_link_count, status_code AS http_status_code,
+               CASE WHEN c = 0 THEN 301 ELSE status_code END AS initial_http_status_code, CASE WHEN c = 0 THEN 1 ELSE 0 END AS redirect_count, c = 0 AS redirected, c = 6 AS bot_challenge, CASE WHEN c IN (5, 6) THEN 'error' ELSE 'success' END AS crawl_status,
+               CASE WHEN c = 4 THEN 'rules' WHEN c NOT IN (5, 6) THEN 'html' END AS source, CASE c WHEN 5 THEN error WHEN 6 THEN 'bot challenge' END AS error,
+               CASE c WHEN 0 THEN root || '/job/' || page_id WHEN 1 THEN {_LEVER} ELSE '' END AS links, CASE WHEN c = 0 THEN root || '/job/' || page_id WHEN j > 0 THEN {_LEVER} ELSE '' END AS job_links,
+               CASE c WHEN 1 THEN {_LEVER} ELSE '' END AS ats_career_links, CASE c WHEN 2 THEN 'position has been filled' ELSE '' END AS expire_keyword_matches
+        FROM (SELECT *, CASE WHEN c = 0 OR c = 1 AND {_LEVER_JOB} THEN 1 ELSE 0 END AS j FROM {_PAGE} p) q""",
+    "page_record_counts": "SELECT 'success' AS crawl_status, 'no_job_links' AS career_links_status, count(*) AS pages, CAST(0 AS BIGINT) AS job_links FROM pages",
+    "page_upsert": f"""
+        SELECT substr(root, 9) || '/careers' AS career_url_key, CAST(CASE WHEN c = 5 THEN 7 WHEN c IN (0, 1) THEN 1 ELSE 0 END AS BIGINT) AS link_count, CASE WHEN c IN (5, 6) THEN 'error' ELSE 'success' END AS crawl_status,
+               CASE WHEN page_id % 2 = 1 THEN {_NOW} - INTERVAL 1 DAY ELSE {_NOW} END AS created_at, CASE WHEN c NOT IN (5, 6) THEN {_NOW} WHEN page_id % 2 = 1 THEN {_NOW} - INTERVAL 1 DAY END AS last_success_at,
+               CASE WHEN c IN (5, 6) THEN {_NOW} END AS last_error_at FROM {_PAGE} p""",
+    "merged_page_runs": f"""
+        SELECT page_id, root || '/job/' || page_id || ',' || root || '/job/old' AS links, root || '/job/old,' || root || '/job/' || page_id AS job_links, CAST(2 AS BIGINT) AS job_detail_link_count FROM {_PAGE} p WHERE c = 0""",
+    "expiry_verdicts": f"""
+        SELECT page_id, CAST(status_code AS BIGINT) AS status_code, regexp_matches(f, '\\b(404|403|410|500|502|503|504|error|expired|no jobs?|not found|forbidden|access denied|job closed|position filled|vacancy closed)\\b') AS fast_hint_matched, status_code >= 400 AS status_code_expired,
+               CASE WHEN page_id % 8 = 2 THEN 'position has been filled' ELSE '' END AS keywords, status_code >= 400 OR page_id % 8 = 2 AS is_expired_or_no_jobs
+        FROM (SELECT *, lower('Page ' || page_id || ' Page ' || page_id || ' ' || regexp_replace(html, '<[^>]*>', ' ', 'g')) AS f FROM {S('career_pages')} s) q""",
+    "stored_by_alias": f"""
+        WITH n AS (SELECT k, {_KEY} AS key, host, {_TRIMMED} || query || {_HASH} AS rest, port FROM {_parts(S('spellings'), 'k')}),
+             a AS (SELECT DISTINCT k, key AS career_url_key FROM n UNION SELECT k, host || rest FROM n WHERE port = '80' UNION SELECT k, host || rest FROM n WHERE port = '443')
+        SELECT DISTINCT a.k AS page_id, a.career_url_key FROM a JOIN (SELECT DISTINCT key FROM n WHERE k % 13 = 0) m ON a.career_url_key = m.key""",
+    "url_aliases": f"""
+        SELECT DISTINCT k, s || {_KEY} AS alias FROM {_parts(S('spellings'), 'k')} q, (VALUES ('http://'), ('https://')) AS v(s) WHERE port NOT LIKE '80%'""",
+    "merged_collections": """
+        SELECT p_partkey AS page_id, CASE WHEN p_partkey % 2 = 0 AND p_partkey % 4 <> 0 THEN 'new' WHEN p_partkey % 3 = 0 THEN p_name ELSE '' END AS title, p_type AS sample, CAST(CASE WHEN p_partkey % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS entries
+        FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 3 = 0""",
+    "info_sections": "SELECT p_partkey, unnest(['name', 'size', 'url']) AS name, unnest([p_name, CAST(p_size + 1 AS VARCHAR), 'a:b']) AS value FROM part",
+    "unique_keys": f"SELECT key, count(*) AS n FROM (SELECT {_KEY} AS key FROM {_parts(S('spellings'), 'k')}) q GROUP BY key HAVING count(*) > 1",
+    "html_work_actions": f"""
+        WITH j AS (SELECT url, max(status) AS status, coalesce(nullif(max(career_url), ''), 'https://first.example.com/') AS career FROM {S('jobs')} s GROUP BY url)
+        SELECT id, coalesce(CASE WHEN id % 4 = 0 THEN 'https://own.example.com/' END, career) AS career_url, CASE WHEN coalesce(status IN ('done', 'skipped'), false) THEN 'done' ELSE 'fetch' END AS action
+        FROM (SELECT id, CASE WHEN id % 10 = 0 THEN url || '/other' ELSE url END AS url FROM {S('jobs')} s) m LEFT JOIN j USING (url)""",
+    "job_marks": f"""
+        WITH j AS (SELECT *, id % 3 = 0 AND id % 2 = 0 AS marked FROM {S('jobs')} s),
+             r AS (SELECT CASE WHEN marked THEN 'done' ELSE status END AS status, NOT marked AS locked, CASE WHEN marked THEN {_NOW} ELSE discovered_at END AS updated, discovered_at AS created, marked AND id % 5 = 0 AS career FROM j
+                   UNION ALL SELECT 'done', false, {_NOW}, {_NOW}, id % 5 = 0 FROM j WHERE id % 3 = 0 AND id % 2 = 1)
+        SELECT status, count(*) AS jobs, count(*) FILTER (WHERE locked) AS locked, count(*) FILTER (WHERE updated = {_NOW}) AS updated, count(*) FILTER (WHERE created = {_NOW}) AS created, count(*) FILTER (WHERE career) AS career FROM r GROUP BY status""",
+    "queued_marks": f"SELECT DISTINCT url, ends_with(url, '7') AS queued, CASE WHEN ends_with(url, '7') THEN {_NOW} END AS queued_at FROM {S('jobs')} s",
+    "seed_cycles": f"""
+        WITH b AS (SELECT *, status IS NULL OR status NOT IN ('done', 'skipped') AS waits, queued IS DISTINCT FROM true OR queued_at IS NULL OR queued_at <= {_NOW} - INTERVAL 4 HOUR AS due FROM {S('jobs')} s),
+             k AS (SELECT *, regexp_replace(url, '^[a-z]+://', '') AS key, max(CASE WHEN waits AND due THEN 1 ELSE 0 END) OVER (PARTITION BY url) = 1 AS plain, max(CASE WHEN waits THEN 1 ELSE 0 END) OVER (PARTITION BY url) = 1 AS every FROM b)
+        SELECT 'plain' AS cycle, 'queue' AS part, count(DISTINCT key) FILTER (WHERE waits AND due) AS n FROM k UNION ALL SELECT 'recovered', 'queue', count(DISTINCT key) FILTER (WHERE waits) FROM k UNION ALL SELECT 'reset', 'queue', count(DISTINCT key) FILTER (WHERE waits) FROM k
+        UNION ALL SELECT 'plain', 'marked', count(*) FILTER (WHERE plain OR queued_at = {_NOW}) FROM k UNION ALL SELECT 'recovered', 'marked', count(*) FILTER (WHERE every OR queued_at = {_NOW}) FROM k
+        UNION ALL SELECT 'reset', 'marked', count(*) FILTER (WHERE every OR NOT waits AND queued_at = {_NOW}) FROM k""",
+    "replayed_failures": """
+        WITH e AS (SELECT event_id AS id, row_number() OVER (ORDER BY event_id) AS n FROM events)
+        SELECT 'all' AS run, 'moved' AS part, count(*) AS n, max(id) AS last_id FROM e UNION ALL SELECT 'some', CASE WHEN n <= 70 THEN 'moved' ELSE 'left' END, count(*), max(id) FROM e GROUP BY 2
+        UNION ALL SELECT 'kept', 'moved', count(*), max(id) FROM e WHERE n <= 50 UNION ALL SELECT 'kept', 'left', count(*), max(id) FROM e""",
+    "acknowledged": """
+        SELECT 'pending' AS part, event_type, count(*) AS n FROM events WHERE event_id % 2 = 0 AND event_id % 3 <> 0 GROUP BY event_type UNION ALL SELECT 'log', event_type, count(*) FROM events WHERE event_id % 6 <> 0 GROUP BY event_type""",
+    "links_outside_sections": f"""
+        SELECT page_id, unnest(['https://p' || page_id || '.example.org/job/' || page_id, 'https://q' || (page_id % 10) || '.example.net/jobs', 'https://p' || page_id || '.example.org/frame/' || (page_id % 3), 'https://p' || page_id || '.example.org/d/' || (page_id % 4), 'https://p' || page_id || '.example.org/c/' || (page_id % 5)]) AS url,
+               unnest(['Nurse', 'All', '', '', '']) AS text FROM {S('built_pages')} s""",
+    "unique_rows": f"SELECT k % 50 AS g, first(url ORDER BY k) AS url FROM {S('job_urls')} s GROUP BY 1 UNION ALL SELECT DISTINCT k % 50, 'x' FROM {S('job_urls')} s",
+    "sparse_pages": f"""
+        SELECT k % 300 AS g, count(*) <= 1 OR NOT bool_or(regexp_matches(lower(url), '/job/|/jobs/|jobdetails|requisition|opening|position|apply')) AND (count(*) <= 10 OR (k % 300) % 3 = 0) AS sparse FROM {S('job_urls')} s GROUP BY k % 300""",
+    "numbers_and_flags": """
+        SELECT p_partkey, p_partkey % 6 IN (0, 1, 4) AS number, p_partkey % 6 IN (2, 3) AS flag, CAST(CASE p_partkey % 6 WHEN 0 THEN 12 WHEN 1 THEN 3 ELSE 9 END AS BIGINT) AS count FROM part""",
+    "job_labels": f"""
+        SELECT k, text <> '' AND NOT regexp_matches(lower(text), 'page|next|opportunities>>') AS any_link, length(text) >= 5 AND try_cast(text AS DOUBLE) IS NULL AND NOT regexp_matches(lower(text), 'jobs|page|next|>>') AS job,
+               NOT regexp_matches(lower(text), '[0-9]$|page|mainurl|older posts|last|next') AS counted FROM {S('anchor_texts')} s""",
+    "labelled_links": f"""
+        SELECT page_id, unnest(['https://p' || page_id || '.example.org/about', 'https://p' || page_id || '.example.org/job/' || page_id, 'https://q' || (page_id % 10) || '.example.net/jobs', 'https://p' || page_id || '.example.org/privacy']) AS link, unnest(['About', 'Nurse', 'All', 'Privacy']) AS label FROM {S('built_pages')} s""",
+    "first_selectors": f"SELECT k, list_filter(['/jobs/', '/job/', 'jobid=', '/openings/', '/team/'], lambda x: contains(lower(url), x) AND NOT ends_with(lower(url), x) AND NOT ends_with(lower(url), x || '#'))[1] AS selector FROM {S('job_urls')} s",
+    "dominant_buckets": f"""
+        WITH r AS (SELECT k % 25 AS page_id, url AS link, min(k) AS k FROM {S('job_urls')} s GROUP BY ALL),
+             s AS (SELECT page_id, link, md5('m' || (k % 2) || 'pa' || list_filter(['/job/', '/jobs/', '/careers/'], lambda x: contains(lower(link), x) AND NOT ends_with(lower(link), x) AND NOT ends_with(lower(link), x || '#'))[1]) AS bucket FROM r),
+             n AS (SELECT page_id, bucket, count(*) AS size FROM s WHERE bucket IS NOT NULL GROUP BY ALL), b AS (SELECT page_id, max((size, bucket)) AS top FROM n GROUP BY page_id),
+             t AS (SELECT s.*, top[1] AS size, regexp_replace(regexp_replace(link, '[?].*$', ''), '[^/]*$', '') AS shape FROM s JOIN b ON s.page_id = b.page_id AND s.bucket = b.top[2]),
+             u AS (SELECT *, count(*) OVER (PARTITION BY page_id, shape) / size AS share FROM t), v AS (SELECT *, max(share) OVER (PARTITION BY page_id) AS most FROM u)
+        SELECT page_id, link, bucket FROM v WHERE size < 10 OR most < 0.7 OR share >= 0.7""",
+    "web_addresses": "SELECT p_partkey, p_partkey % 7 IN (0, 2, 4) AS valid FROM part",
+    "pager_words": "SELECT p_partkey, concat_ws(',', CASE WHEN p_partkey % 4 IN (0, 3) THEN 'load_more' END, CASE WHEN p_partkey % 4 = 1 THEN 'next_button' END, CASE WHEN p_partkey % 3 = 0 THEN 'pagination' END) AS families FROM part",
+    "board_jobs": """
+        SELECT DISTINCT p_partkey, j AS job_id, CASE WHEN p_partkey % 2 = 0 THEN 'https://b.example.com/x?jobId=' || j || '&a=1' ELSE 'https://b.example.com/x?jobId=' || j || '#t' END AS url
+        FROM (SELECT p_partkey, unnest([CAST(p_partkey AS VARCHAR), CAST(p_size AS VARCHAR)]) AS j FROM part) q""",
+    "masked_passwords": "SELECT c_custkey, 'redis://u' || CASE WHEN c_custkey % 2 = 0 THEN ':***' ELSE '' END || '@h:6379/0' AS masked FROM customer",
+    "ascii_hosts": "SELECT c_custkey, 'https://' || CASE c_custkey % 3 WHEN 0 THEN 'xn--bcher-kva' WHEN 1 THEN 'a' ELSE 'xn--wgv71a' END || '.example:8443/ü?x=' || c_custkey AS url FROM customer",
+    "merged_postings": "SELECT p_partkey, CASE WHEN p_partkey % 3 < 2 THEN p_name END AS title, CASE WHEN p_partkey % 3 < 2 THEN 'second' END AS url FROM part",
+    "legacy_pages": "SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN '' ELSE p_name || ' apply now' END AS job_body, CASE WHEN p_partkey % 5 = 0 THEN 'http_500' ELSE '' END AS error_type, CAST(CASE WHEN p_partkey % 5 = 0 THEN 0 ELSE 1 END AS BIGINT) AS blocks, p_name AS x, p_partkey % 5 <> 0 AS is_job FROM part",
+    "seed_batches": f"""
+        WITH n AS (SELECT k, {_KEY} AS key FROM {_parts(S('spellings'), 'k')}), f AS (SELECT * FROM n WHERE k % 5 <> 0 ORDER BY k LIMIT 40)
+        SELECT DISTINCT 'first' AS part, key FROM f UNION ALL SELECT DISTINCT 'again', key FROM n WHERE key NOT IN (SELECT key FROM n WHERE k % 11 = 0) UNION ALL SELECT 'marked', CAST(k AS VARCHAR) FROM f""",
+    "seed_choice": "SELECT 'all_marked' AS name, 'has_urls' AS reason UNION ALL SELECT 'open', 'unseeded'",
+    "message_log": "SELECT CASE WHEN event_id % 2 = 0 THEN event_type ELSE '{\"value\":\"' || event_type || '\"}' END AS value, count(*) AS n, CAST(0 AS BIGINT) AS before, (SELECT count(*) FROM events) AS after FROM events GROUP BY 1",
+    "vocabulary_file": "SELECT n_name AS word FROM nation",
+    "health_json": f"SELECT to_json(h)::VARCHAR AS report FROM (SELECT * FROM ({ORACLE['health_snapshot']}) z) h",
+    "final_career_url": f"""
+        WITH p AS (SELECT k AS page_id, url AS page FROM {S('job_urls')} s WHERE k % 10 = 0),
+             l AS (SELECT k // 10 * 10 AS page_id, url FROM {S('job_urls')} s),
+             c AS (SELECT l.page_id, l.url, {_PQ.replace('url', 'l.url')} AS pq, list_filter(string_split(regexp_replace(regexp_replace(l.url, '^https?://[^/?#]*', ''), '[?].*$', ''), '/'), lambda x: x <> '') AS seg,
+                          regexp_replace(regexp_extract(l.url, '^https://([^/?]*)', 1), '^www[.]', '') = regexp_replace(regexp_extract(page, '^https://([^/?]*)', 1), '^www[.]', '') AS same, NOT contains(l.url, '?') AS plain, {_NON_CAREER.replace('url', 'l.url')} AS bad,
+                          {_matches(_U, R.CAREER_PATH_HINT).replace('url', 'l.url')} OR {_matches(_U, R.STRONG_SIGNAL).replace('url', 'l.url')} OR {_matches(_U, R.ATS_QUERY_HINT).replace('url', 'l.url')} AS signal FROM l JOIN p USING (page_id)),
+             d AS (SELECT *, {_matches('pq', R.STRONG_CAREER_PATH)} AS strong, {_matches('pq', R.SUPPORTING_CAREER_PATH)} AS support, coalesce(seg[-1], '') AS last FROM c),
+             e AS (SELECT page_id, regexp_replace(url, '/$', '') AS url, CASE WHEN same THEN 20 ELSE 0 END + 8 + CASE WHEN plain THEN 3 ELSE 0 END + CASE WHEN strong THEN 120 WHEN support OR signal THEN 45 ELSE 0 END + CASE WHEN {_matches('pq', R.LISTING_PATH)} THEN 15 ELSE 0 END
+                          - CASE WHEN {_matches('pq', R.ARTICLE_PATH)} THEN 90 ELSE 0 END - CASE WHEN length(last) > 40 THEN 20 ELSE 0 END - CASE WHEN len(list_filter(string_split_regex(last, '[-_]+'), lambda x: trim(x) <> '')) > 4 THEN 25 ELSE 0 END AS score
+                   FROM d WHERE NOT (bad AND NOT strong AND NOT support)),
+             b AS (SELECT page_id, first(url ORDER BY score DESC, 100 + CASE WHEN regexp_matches(url, '^https://[^/]+/[^?]') THEN 10 ELSE 0 END + CASE WHEN contains(url, '?') THEN 0 ELSE 1 END DESC, length(url), url) AS best FROM e WHERE score >= 60 GROUP BY page_id),
+             n AS (SELECT k * 10 AS page_id, {_CANONICAL} AS board FROM {S('board_urls')} s WHERE k % 3 = 0 AND v <> 7)
+        SELECT page_id, coalesce(board, best, regexp_replace(page, '/$', '')) AS final_career_url FROM p LEFT JOIN b USING (page_id) LEFT JOIN n USING (page_id)""",
+}
+
+
+def _clusters() -> str:
+    """Label by label, each step a query over the one before."""
+    cut = "regexp_replace(regexp_replace(url, '[?].*$', ''), '/$', '')"
+    part = lambda i: f"coalesce(nullif(string_split({cut}, '/')[{i}], ''), nullif(string_split({cut}, '/')[4], ''), '0')"
+    labels = [(f"CAST(len(string_split({cut}, '/')) AS VARCHAR)", False)]
+    labels += [(f"coalesce(string_split_regex(regexp_extract(url, '[?]([^#]*)', 1), '[&=]')[{i}], '')", True) for i in (1, 2, 3)]
+    labels += [(f"coalesce(string_split({cut}, '/')[3], '')", False)] + [(part(i), True) for i in range(4, 12)] + [(f"coalesce(string_split({cut}, '/')[-1], '')", True)]
+    steps, last = [], "deep"
+    for n, (label, pooled) in enumerate(labels):
+        one = f"CASE WHEN count(*) OVER (PARTITION BY path, label) > 1 THEN label ELSE 'oldLabel' END" if pooled else "label"
+        steps.append(f"l{n} AS (SELECT url, md5(path || '/' || label) AS path FROM (SELECT url, path, {one} AS label FROM (SELECT url, path, {label} AS label FROM {last}) a{n}) b{n})")
+        last = f"l{n}"
+    return f"""
+        u AS (SELECT DISTINCT url, coalesce(string_split(url, '/')[4], '') AS first, len(string_split(url, '/')) AS n FROM (SELECT url FROM pages UNION ALL SELECT url FROM {S('job_urls')} s) z WHERE url IS NOT NULL),
+        k AS (SELECT url, first, CASE WHEN regexp_matches(first, '^[0-9]+$') THEN 'number' WHEN NOT contains(url, '?') AND (n <= 4 AND length(first) > 0 OR n <= 5 AND ends_with(url, '/')) THEN 'short' ELSE 'deep' END AS kind FROM u),
+        deep AS (SELECT url, '' AS path FROM k WHERE kind = 'deep'), {', '.join(steps)},
+        g AS (SELECT url, path, count(*) OVER (PARTITION BY path) AS size FROM {last}),
+        s AS (SELECT k.url, first, count(*) OVER (PARTITION BY first) AS size FROM k LEFT JOIN g USING (url) WHERE kind = 'short' OR g.size = 1),
+        c AS (SELECT url, 'deep' AS kind, 'deep:' || path AS cluster FROM g WHERE size > 1
+              UNION ALL SELECT url, CASE WHEN size > 1 THEN 'short' ELSE 'alone' END, CASE WHEN size > 1 THEN 'short:' || first END FROM s
+              UNION ALL SELECT url, CASE WHEN count(*) OVER () > 1 THEN 'number' ELSE 'alone' END, CASE WHEN count(*) OVER () > 1 THEN 'number' END FROM k WHERE kind = 'number')"""
+
+
+ORACLE["url_clusters"] = f"WITH {_clusters()} SELECT url, kind, cluster FROM c"
+ORACLE["url_cluster_kinds"] = f"WITH {_clusters()} SELECT kind, count(*) AS urls, count(DISTINCT cluster) AS clusters FROM c GROUP BY kind"
+ORACLE["seed_file_urls"] = f"SELECT key, {_CHOICE} AS url FROM (SELECT {_NORMAL} AS normal, {_KEY} AS key, {_SCORE} AS score FROM {_parts(S('spellings'), 'k')}) z GROUP BY key"
+
+
 def _plain(x: str) -> str:
     """Tags as spaces, then the named references in order; the pages hold no numeric ones."""
     for name, char in (("&nbsp;", " "), ("&amp;", "&"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&lt;", "<"), ("&gt;", ">")):

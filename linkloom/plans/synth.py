@@ -70,7 +70,8 @@ INPUTS = {
     # (k, page)
     "posting_pages": """
         SELECT p_partkey AS k, concat('<html><script type="application/ld+json">', CASE
-            WHEN p_partkey % 4 = 0 THEN concat('{{"@type":"JobPosting","title":"', p_name, '","hiringOrganization":{{"name":"', p_brand, '"}},"identifier":{{"value":"', CAST(p_partkey AS STRING), '"}}}}')
+            WHEN p_partkey % 4 = 0 THEN concat('{{"@type":"JobPosting","title":"', p_name, '","hiringOrganization":{{"name":"', p_brand, '","sameAs":"https://s.example.com","logo":"l.png"}},"identifier":{{"value":"', CAST(p_partkey AS STRING), '"}},"description":"Do it","datePosted":"2024-01-02","validThrough":"2024-02-03","occupationalCategory":"29-1141",',
+                 '"baseSalary":{{"currency":"USD","value":{{"minValue":10,"maxValue":', CAST(p_size + 10 AS STRING), ',"unitText":"HOUR"}}}},"jobLocation":{{"address":{{"addressLocality":"X","addressRegion":"Y","addressCountry":{{"name":"Z"}},"postalCode":"04109"}}}}}}')
             WHEN p_partkey % 4 = 1 THEN concat('[{{"@type":"Thing"}},{{"@type":"jobposting","title":"', p_name, '","hiringOrganization":"', p_brand, '","jobLocation":"', p_type, '"}}]')
             WHEN p_partkey % 4 = 2 THEN concat('{{"@graph":[{{"@type":"WebPage"}},{{"@type":["JobPosting"],"title":"', p_name, '","hiringOrganization":{{"name":"', p_brand, '"}},"employmentType":"FULL_TIME"}}]}}')
             ELSE '{{"@type":"JobPosting", broken' END, '</script></html>') AS page
@@ -82,6 +83,19 @@ INPUTS = {
                       '<iframe src="/frame/', CAST(s_suppkey % 3 AS STRING), '"></iframe><div data-url="/d/', CAST(s_suppkey % 4 AS STRING), '" onclick="go(''/c/', CAST(s_suppkey % 5 AS STRING), ''')">x</div>',
                       '<footer><a href="/privacy">Privacy</a></footer>') AS html
         FROM {supplier}""",
+    # (page_id, url, html, status_code, error): each status that a page's row can have, by k % 8
+    "career_pages": """
+        SELECT k AS page_id, concat('https://c', CAST(k AS STRING), CASE WHEN k % 8 = 4 THEN '.indeed' ELSE '' END, '.example.org/careers') AS url,
+               concat('<html><title>Page ', CAST(k AS STRING), '</title><body>', CASE
+                 WHEN k % 8 = 0 THEN concat('<a href="/job/', CAST(k AS STRING), '">Nurse</a><a href="/zebra">About Us</a>')
+                 WHEN k % 8 = 1 THEN concat('<a href="https://jobs.lever.co/acme', CAST(k AS STRING), '">Open roles</a>')
+                 WHEN k % 8 = 2 THEN '<p>This position has been filled.</p>'
+                 WHEN k % 8 = 4 THEN concat('<a href="/job/', CAST(k AS STRING), '">Nurse</a>')
+                 WHEN k % 8 = 6 THEN '<a href="/.well-known/sgcaptcha/?r=1">check</a>'
+                 WHEN k % 8 = 7 THEN '<a href="/team">Zebra</a><a href="/blog/post">Giraffe</a><a href="/careers/">Careers</a>'
+                 ELSE '' END, '</body></html>') AS html,
+               CAST(CASE WHEN k % 8 = 3 THEN 404 WHEN k % 8 = 5 THEN 0 ELSE 200 END AS INT) AS status_code, CASE WHEN k % 8 = 5 THEN 'Navigation timeout' END AS error
+        FROM (SELECT p_partkey AS k FROM {part}) t""",
     # (k, text)
     "pagers": f"SELECT o_orderkey AS k, {_case('o_orderkey', ('concat(' + chr(39) + 'Showing 1 - 10 of ' + chr(39) + ', CAST(o_custkey % 900 + 11 AS STRING))', 'concat(' + chr(39) + 'Page: 2 of ' + chr(39) + ', CAST(o_custkey % 90 + 2 AS STRING))', 'concat(' + chr(39) + 'Showing 20 of ' + chr(39) + ', CAST(o_custkey % 900 + 20 AS STRING), ' + chr(39) + ' jobs' + chr(39) + ')', chr(39) + 'no pager' + chr(39), chr(39) * 2))} AS text FROM {{orders}}",
 }

@@ -8,13 +8,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.urls import normalize_url, preference, url_key
+from ..functions.urls import ascii_hosts, form_preference, url_forms, url_key
 
 
 def seed_file(spark: SparkSession, path: str) -> DataFrame:
     """(key, url): the URLs of a text file, one a line, spellings of one page as one."""
-    lines = spark.read.text(path).select(normalize_url(F.trim("value")).alias("url")).where("url <> ''")
-    return lines.withColumn("key", url_key(F.col("url"))).groupBy("key").agg(F.min_by("url", preference(F.col("url"))).alias("url"))
+    lines = spark.read.text(path).where(F.trim("value") != "").select(ascii_hosts(F.trim("value")).alias("url"))
+    return lines.select(url_forms(F.col("url")).alias("f")).groupBy(F.col("f.key").alias("key")).agg(F.min_by("f.normal", form_preference(F.col("f"))).alias("url"))
 
 
 def json_array_file(spark: SparkSession, path: str) -> list[str]:
@@ -28,12 +28,12 @@ def json_array_file(spark: SparkSession, path: str) -> list[str]:
     return [v for v in values if isinstance(v, str)] if isinstance(values, list) else []
 
 
-def seed_table(df: DataFrame, url: str = "careerUrl", mark: str = "redisSeeded", include_seeded: bool = False, most: int | None = None) -> DataFrame:
-    """Rows with a URL that bear no mark yet; at most `most` of them, if given."""
+def seed_table(df: DataFrame, url: str = "careerUrl", mark: str = "redisSeeded", include_seeded: bool = False, most: int | None = None, key: str = "id") -> DataFrame:
+    """Rows with a URL that bear no mark yet; the first `most` by key, if given."""
     rows = df.where(F.col(url).isNotNull() & (F.trim(url) != ""))
     if not include_seeded and mark in df.columns:
         rows = rows.where(~F.coalesce(F.col(mark), F.lit(False)))
-    return rows.limit(most) if most else rows
+    return rows.orderBy(key).limit(most) if most else rows
 
 
 def with_marks(df: DataFrame, seeded: DataFrame, now, key: str = "id", mark: str = "redisSeeded", marked_at: str = "redisSeededAt") -> DataFrame:
@@ -44,6 +44,19 @@ def with_marks(df: DataFrame, seeded: DataFrame, now, key: str = "id", mark: str
     return out.withColumns({mark: F.coalesce("__new", old, F.lit(False)), marked_at: F.when(F.col("__new"), now).otherwise(old_at)}).drop("__new")
 
 
+def seed_batch(table: DataFrame, now, done: DataFrame | None = None, queue_length: int | None = None, include_seeded: bool = False, most: int | None = None, key: str = "id", url: str = "careerUrl", mark: str = "redisSeeded") -> tuple[DataFrame, DataFrame]:
+    """(queue, table) of one cycle of seeding: the preferred spelling of each new URL as (key, url), and
+    the table with its marks. An empty queue (queue_length 0) starts over: marked seeds count, and
+    those of completed pages, done (url), don't. `most` rows at most, by key."""
+    again = queue_length == 0
+    rows = seed_table(table, url, mark, include_seeded or again, most, key)
+    forms = rows.select(url_forms(F.col(url)).alias("f")).where("f.normal <> ''")
+    queue = forms.groupBy(F.col("f.key").alias("key")).agg(F.min_by("f.normal", form_preference(F.col("f"))).alias("url"))
+    if done is not None:
+        queue = queue.join(done.select(url_key(F.col("url")).alias("key")).distinct(), "key", "left_anti")
+    return queue, table if include_seeded or again else with_marks(table, rows, now, key, mark)
+
+
 def choose_seed_table(tables: Sequence[tuple[str, DataFrame]], url: str = "careerUrl", mark: str = "redisSeeded") -> tuple[str, str]:
     """(name, reason) of the first table with an unmarked seed, else with any, else the first.
 

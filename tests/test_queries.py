@@ -39,3 +39,18 @@ def test_registry():
     assert set(QUERIES) <= set(__spark_entry__.queries())
     sql = __spark_entry__.oracle_sql()
     assert set(sql) <= set(__spark_entry__.queries()) and all(isinstance(x, str) for x in sql.values())
+
+
+def test_the_rest_stands_without_the_training_data_operators(tmp_path):
+    """A copy without the optional subpackage and the pipeline, and one without the subpackage only."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    top = Path(__file__).resolve().parent.parent
+    for pipeline in (False, True):
+        copy = tmp_path / str(pipeline)
+        shutil.copytree(top, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", "llm", "spark-warehouse", *[] if pipeline else ["corpus_pipeline.py"]))
+        code = "import __spark_entry__ as e; q, s = e.queries(), e.oracle_sql(); assert set(s) <= set(q) and 'page_link_rollup' in q and not any(k.startswith('op') or k == 'pipeline' for k in q)"
+        subprocess.run([sys.executable, "-c", code], cwd=copy, check=True)
