@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import json
 import math
 import uuid
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +28,27 @@ def unused(df: DataFrame, n: int, *others: str) -> list[str]:
     return [x for x in (f"__c{i}" for i in range(n + len(known))) if x not in known][:n]
 
 
+def give_back() -> None:
+    """Return freed memory of this Python process to the system: workers are used again by later
+    stages, and would hold on to what the largest one took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim:
+        trim(0)
+
+
+def tidied(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """f, for mapInArrow, with give_back() at the end of each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from f(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -82,18 +106,19 @@ def looked_up(left: DataFrame, right: DataFrame, on: str, count: str) -> DataFra
 
 
 def sort_bounds(df: DataFrame, key: str, parts: int, per_part: int = 40) -> list:
-    """At most parts - 1 cut points that deal the non-null keys out evenly.
+    """At most parts - 1 cut points that deal the keys out evenly. A key is a struct that ends in a
+    hash of its row, so that rows of one value, or without one, are dealt out as well.
 
     They come from a sample of about parts * per_part keys, however large df is; rows
     beyond the sample are still placed exactly, the sample only sets how even the parts are."""
-    keys = df.where(F.col(key).isNotNull()).select(key)
+    keys = df.select(key)
     n = keys.count()
     want = parts * per_part
     if n > want:
         keys = keys.sample(False, min(1.0, want / n), seed=11)
-    got = sorted(r[0] for r in keys.collect())
+    got = [r[0].asDict() for r in keys.orderBy(key).collect()]
     cuts = [got[len(got) * i // parts] for i in range(1, parts)] if got else []
-    return sorted(set(cuts))
+    return [x for i, x in enumerate(cuts) if not i or x != cuts[i - 1]]
 
 
 @F.pandas_udf(BinaryType())
@@ -104,7 +129,7 @@ def packed(texts: pd.Series) -> pd.Series:
 
 
 def bucket_of(key: Column, bounds: list, kind: str) -> Column:
-    """How many of the sorted bounds (of the SQL type kind) are at or below key; null: 0.
+    """How many of the sorted bounds (structs of the SQL type kind) are at or below key.
 
     Bounds are looked at in two steps, whole blocks and then within one, so a row costs
     about twice the root of their number."""
@@ -115,21 +140,23 @@ def bucket_of(key: Column, bounds: list, kind: str) -> Column:
     below = lambda x: x <= key
     skipped = F.size(F.filter(lasts, below))
     found = skipped * step + F.size(F.filter(F.get(held, skipped), below))
-    return F.when(key.isNull(), 0).otherwise(F.least(found, F.lit(len(bounds)))).cast("int")
+    return F.least(found, F.lit(len(bounds))).cast("int")
 
 
 def with_next(df: DataFrame, key: str, payload: Column, wrap: bool) -> DataFrame:
     """Rows (part, key, payload, own), to be read sorted within each partition by part and key:
     in a part, each own row comes after the row with the next smaller key.
 
-    The parts are ranges of keys of about equal size. The greatest row of a part is also
+    The parts are ranges of keys of about equal size; rows of one key, or without one, spread over
+    several parts. The greatest row of a part is also
     given, as not own, to the next part that has rows; with wrap the greatest row of all
     goes to the first part. Null keys come first."""
     spark = df.sparkSession
-    bounds = sort_bounds(df, key, 4 * shuffle_partitions(spark))
     # Rows of one key are told apart by a hash, so that their order is fixed.
-    keyed = df.withColumn("part", bucket_of(F.col(key), bounds, df.schema[key].dataType.simpleString()))
-    rank = F.struct(F.col(key), F.xxhash64(*df.columns))
+    keyed = df.withColumn("rank", F.struct(F.col(key), F.xxhash64(*df.columns).alias("h")))
+    bounds = sort_bounds(keyed, "rank", 4 * shuffle_partitions(spark))
+    keyed = keyed.withColumn("part", bucket_of(F.col("rank"), bounds, keyed.schema["rank"].dataType.simpleString()))
+    rank = F.col("rank")
     tops = keyed.groupBy("part").agg(F.max(rank).alias("top")).orderBy("part").collect()  # one row for each part
     following = {a["part"]: b["part"] for a, b in zip(tops, tops[1:], strict=False)}
     if wrap and tops:
@@ -138,11 +165,10 @@ def with_next(df: DataFrame, key: str, payload: Column, wrap: bool) -> DataFrame
     kind = df.schema[key].dataType.simpleString()
     last = spark.createDataFrame(rows, f"part int, k {kind}, h bigint, to int")
     last = last.where("to is not null")
-    tagged = keyed.withColumn("rank", rank)
-    tagged = tagged.join(F.broadcast(last), "part", "left")  # as many rows as parts
+    tagged = keyed.select("part", "rank", payload.alias("payload")).join(F.broadcast(last), "part", "left")  # as many rows as parts
     extra = F.when(F.col("rank").eqNullSafe(F.struct(F.col("k"), F.col("h"))), F.col("to"))
     places = F.filter(F.array(F.struct(F.col("part").alias("part"), F.lit(True).alias("own")), F.struct(extra.alias("part"), F.lit(False).alias("own"))), lambda x: x["part"].isNotNull())
-    out = tagged.select(F.explode(places).alias("place"), F.col("rank").alias("rank"), payload.alias("payload"))
+    out = tagged.select(F.explode(places).alias("place"), "rank", "payload")
     out = out.select("place.part", "place.own", "rank", "payload")
     # A row that its own part follows stands before that part's rows.
     return out.repartition(shuffle_partitions(spark), "part").sortWithinPartitions("part", "own", "rank")

@@ -2,8 +2,9 @@
 
 Sets of word n-grams fall into bands of sizes. For each band the feature domain is dealt
 into more parts than two sets that are similar enough can differ in, so the two agree in
-whole parts, and the hash of what a set holds of a part is a signature. Texts that share
-signatures are compared exactly, each moved once to the others of its candidate group."""
+whole parts, and the hash of what a set holds of a part is a signature. What shares signatures is
+a candidate group. Large ones are taken apart by sketches, which rule out most of what links to
+nothing; then texts are compared exactly, each moved once to the others of its group."""
 
 from __future__ import annotations
 
@@ -19,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, dropped, looked_up, shuffle_partitions
+from .common import checkpointed, dropped, looked_up, shuffle_partitions, tidied
 from .graph import components
 
 _MUL = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -156,6 +157,10 @@ BUCKET = 1 << 21
 BLOCK = 256
 #: Ids of sets that a task remembers to send each text once.
 SEEN = 1 << 20
+#: Bits of a sketch, at least, and sets of a candidate group whose sketches one task compares with as many.
+BITS, SKETCHED = 1024, 1 << 11
+#: Sizes of sets that differ by this factor stand in one class.
+CLASS = 0.9
 
 
 def _star(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -170,8 +175,8 @@ def _star(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return sig[first], node[first], np.unique(pairs, axis=0) if len(pairs) else pairs.reshape(0, 2)
 
 
-def candidate_edges(df: DataFrame, text: str, words: int, num: int, den: int, buckets: int) -> DataFrame:
-    """(a, b): sets, by the first 8 bytes of their ids, that a shared signature joins.
+def candidate_edges(texts: DataFrame, words: int, num: int, den: int, buckets: int) -> DataFrame:
+    """(a, b): sets, by the first 8 bytes of their ids, that a shared signature joins. texts (node, data).
 
     The sets with one signature are joined in a star, first within each task and then over
     the tasks: a signature of many sets reaches the shuffle once for each FOLDED ones of a task. The
@@ -195,14 +200,12 @@ def candidate_edges(df: DataFrame, text: str, words: int, num: int, den: int, bu
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sigs, nodes, held = [], [], 0
+        unpack = zstandard.ZstdDecompressor()
         for b in batches:
-            for t in b.column(0).to_pylist():
-                own = shingles(t, words)
-                if not len(own):
-                    continue
-                s = signatures(own, num, den)
+            for node, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                s = signatures(shingles(unpack.decompress(data.as_py()).decode("utf-8", "surrogatepass"), words), num, den)
                 sigs.append(s)
-                nodes.append(np.full(len(s), int.from_bytes(set_id(own)[:8], "big", signed=True)))
+                nodes.append(np.full(len(s), node))
                 held += len(s)
                 if held >= FOLDED:
                     yield from sent(np.concatenate(sigs), np.concatenate(nodes))
@@ -235,9 +238,9 @@ def candidate_edges(df: DataFrame, text: str, words: int, num: int, den: int, bu
                 nodes.append(np.frombuffer(known, np.int64)[places])
         yield from done()
 
-    sent_ = df.select(text).mapInArrow(signed, "bucket bigint, gaps binary, known binary, place binary, pairs binary")
-    dealt = sent_.repartition(shuffle_partitions(df.sparkSession), "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(joined, "a bigint, b bigint")
+    sent_ = texts.select("node", "data").mapInArrow(tidied(signed), "bucket bigint, gaps binary, known binary, place binary, pairs binary")
+    dealt = sent_.repartition(shuffle_partitions(texts.sparkSession), "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(tidied(joined), "a bigint, b bigint")
 
 
 def _compared(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -265,7 +268,94 @@ def _compared(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
 
     parts = shuffle_partitions(rows.sparkSession)
     dealt = rows.select("task", "set_id", "data").repartition(parts, "task").sortWithinPartitions("task", "set_id")
-    return dealt.mapInArrow(compare, "root binary, node binary")
+    return dealt.mapInArrow(tidied(compare), "root binary, node binary")
+
+
+def sketch(own: np.ndarray) -> bytes:
+    """For each cell of the domain, whether the set holds an odd number of it; there are about as
+    many cells as elements, BITS at least. Two sketches differ in no more bits than their sets in elements."""
+    bits = max(BITS.bit_length() - 1, (len(own) - 1).bit_length())
+    cells = (own >> np.uint64(64 - bits)).astype(np.int64)
+    return np.packbits(np.bincount(cells, minlength=1 << bits) & 1).tobytes()
+
+
+def stacked(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of one length: in longer ones neighbouring cells are made one."""
+    least = min(map(len, sketches))
+    rows = []
+    for x in sketches:
+        bits = np.frombuffer(x, np.uint8)
+        if len(x) > least:
+            bits = np.packbits(np.bitwise_xor.reduce(np.unpackbits(bits).reshape(8 * least, -1), axis=1))
+        rows.append(bits)
+    return np.stack(rows).view(np.uint64)
+
+
+def _joined_sketches(sizes: np.ndarray, bits: np.ndarray, first_side: int, num: int, den: int) -> list[tuple[int, int]]:
+    """Edges (i, j) that join, with the fewest of them, all sets whose sizes and sketches do not rule a
+    link out. Every pair is looked at, or, where the sets have two sides, every pair across."""
+    label = np.arange(len(sizes))
+    out = []
+    for i in range(first_side):
+        start = i + 1 if first_side == len(sizes) else first_side
+        both = sizes[i] + sizes[start:]
+        may = both - 2 * -(-num * both // (num + den))
+        near = np.flatnonzero((may >= 0) & (np.bitwise_count(bits[i] ^ bits[start:]).sum(1, dtype=np.int64) <= may)) + start
+        new, first = np.unique(label[near], return_index=True)
+        for k, at in zip(new.tolist(), first.tolist(), strict=True):
+            if k != label[i]:
+                out.append((i, int(near[at])))
+                label[label == k] = label[i]
+    return out
+
+
+def _refined(large: DataFrame, num: int, den: int) -> DataFrame:
+    """large (set_id, g, size, n, sketch) in smaller groups: those that pairs join whose sketches may belong
+    to linked sets. Texts do not move for that.
+
+    A group is dealt by classes of sizes and, in a class, by a hash into blocks of about SKETCHED sets;
+    each two blocks that are near enough in size are one task."""
+    width = -math.log(CLASS)
+    reach = int(1 + math.log(den / num) / width)
+    light = large.select("g", "size", "set_id", "n", "sketch", F.floor(F.log("n") / width).cast("int").alias("c"))
+    held = light.groupBy("g", "c").agg(F.ceil(F.count(F.lit(1)) / SKETCHED).cast("int").alias("parts"), F.count(F.lit(1)).alias("m"))
+    # One row for each group: some hundred classes at most.
+    groups = checkpointed(held.groupBy("g").agg(F.map_from_entries(F.collect_list(F.struct("c", "parts"))).alias("parts"), F.sum("m").alias("m")))
+    rows = looked_up(light, groups, "g", "m")
+    own = F.pmod(F.xxhash64(F.lit(5), "set_id"), F.element_at("parts", F.col("c"))).cast("int")
+    classes = F.filter(F.sequence(F.col("c") - reach, F.col("c") + reach), lambda k: F.map_contains_key("parts", k))
+    others = F.flatten(F.transform(classes, lambda k: F.transform(F.sequence(F.lit(0), F.element_at("parts", k) - 1), lambda p: F.struct(k.alias("c"), p.alias("p")))))
+    rows = rows.withColumn("own", F.struct(F.col("c").alias("c"), own.alias("p")))
+    rows = rows.select("g", "own", F.explode(others).alias("other"), "set_id", "n", "sketch")
+    rows = rows.withColumn("task", F.to_json(F.struct("g", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))))
+    rows = rows.withColumn("side", (F.col("own") > F.col("other")).cast("int"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, ids, sizes, bits, sides = None, [], [], [], 0
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if len(ids) > 1:
+                edges = _joined_sketches(np.array(sizes), stacked(bits), len(ids) - sides, num, den)
+                yield pa.record_batch([pa.array([ids[i] for i, _ in edges], pa.binary()), pa.array([ids[j] for _, j in edges], pa.binary())], names=["a", "b"])
+
+        for b in batches:
+            for t, side, i, n, x in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if t != task:
+                    yield from done()
+                    task, ids, sizes, bits, sides = t, [], [], [], 0
+                sides += side
+                ids.append(i)
+                sizes.append(n)
+                bits.append(x)
+        yield from done()
+
+    dealt = rows.select("task", "side", "set_id", "n", "sketch").repartition(shuffle_partitions(large.sparkSession), "task").sortWithinPartitions("task", "side", "set_id")
+    roots = components(dealt.mapInArrow(tidied(compare), "a binary, b binary"))
+    dropped(groups)
+    named = large.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("g", F.xxhash64(F.coalesce("root", "set_id"))).drop("root", "size")
+    named = checkpointed(named, frees=(roots,))
+    sizes = checkpointed(named.groupBy("g").agg(F.count(F.lit(1)).alias("size")).withColumn("m", F.col("size")))
+    return checkpointed(looked_up(named, sizes, "g", "m").where("size > 1"), frees=(named, sizes))
 
 
 def _large_groups(held: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -306,52 +396,54 @@ def link_components(df: DataFrame, key: str = "doc_id", text: str = "text", word
     Rows with one key keep a row each. Other columns play no part."""
     docs = df.select(key, text)
 
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3)
+        seen: set[bytes] = set()
         for b in batches:
-            sets = [shingles(t, words) for t in b.column(1).to_pylist()]
-            yield pa.record_batch(
-                [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) if len(s) else None for s in sets], pa.binary())],
-                names=[key, "n_shingles", "set_id"],
-            )
-
+            rows = []
+            for t in b.column(1):
+                t = t.as_py()
+                own = shingles(t, words)
+                i = set_id(own) if len(own) else None
+                data = bits = None
+                if i and i not in seen:
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(i)
+                    data, bits = pack.compress(t.encode("utf-8", "surrogatepass")), sketch(own)
+                rows.append((len(own), i, i and int.from_bytes(i[:8], "big", signed=True), data, bits))
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.record_batch([b.column(0), *(pa.array(x, k) for x, k in zip(columns, kinds, strict=True))], names=[key, "n_shingles", "set_id", "node", "data", "sketch"])
+
+    # A text comes along about once for each task that holds it, and stands for all that have its set.
     kind = df.schema[key].dataType.simpleString()
-    rows = checkpointed(docs.mapInArrow(summed, f"`{key}` {kind}, n_shingles bigint, set_id binary"))
+    rows = checkpointed(docs.mapInArrow(tidied(read), f"`{key}` {kind}, n_shingles bigint, set_id binary, node bigint, data binary, sketch binary"))
+    texts = rows.where("data is not null").select("node", "set_id", "data", F.col("n_shingles").alias("n"), "sketch")
     # What signatures() gives for n shingles, from above.
-    expected = rows.agg(F.sum(F.col("n_shingles") + 200)).first()[0] or 0
+    expected = texts.agg(F.sum(F.col("n") + 200)).first()[0] or 0
     buckets = max(shuffle_partitions(df.sparkSession), int(expected) // BUCKET)
-    groups = components(candidate_edges(df, text, words, num, den, buckets))
+    groups = components(candidate_edges(texts, words, num, den, buckets))
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     sized = groups.join(sizes, "root").select("node", F.col("root").alias("g"), "size")
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3)
-        seen: set[bytes] = set()
-        for b in batches:
-            rows = []
-            for t in b.column(0).to_pylist():
-                own = shingles(t, words)
-                if not len(own) or (i := set_id(own)) in seen:
-                    continue
-                if len(seen) >= SEEN:
-                    seen.clear()
-                seen.add(i)
-                rows.append((int.from_bytes(i[:8], "big", signed=True), i, pack.compress(t.encode("utf-8", "surrogatepass"))))
-            node, ids, data = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.record_batch([pa.array(node, pa.int64()), pa.array(ids, pa.binary()), pa.array(data, pa.binary())], names=["node", "set_id", "data"])
-
-    # One text stands for all that have its set; copies are folded before the shuffle. The groups grow
-    # with the input, so they are joined in one way at every size.
-    texts = docs.select(text).mapInArrow(packed, "node bigint, set_id binary, data binary")
-    held = texts.hint("merge").join(sized, "node").groupBy("set_id", "g", "size").agg(F.min("data").alias("data"))
-    blocks = F.ceil(F.col("size") / BLOCK)
-    held = held.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
+    # The groups grow with the input, so they are joined in one way at every size.
+    held = texts.hint("merge").join(sized, "node").groupBy("set_id", "g", "size").agg(F.min("data").alias("data"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     held = checkpointed(held, frees=(groups,))
+    rows = checkpointed(rows.select(key, "n_shingles", "set_id"), frees=(rows,))
+    small, large = (held.where(F.col("size") <= BLOCK), held.where(F.col("size") > BLOCK))
+    tables = [held]
+    if not large.isEmpty():
+        refined = _refined(large, num, den)
+        tables.append(refined)
+        small = small.unionByName(refined.where(F.col("size") <= BLOCK).select(*small.columns))
+        large = refined.where(F.col("size") > BLOCK)
     # A group of one block is settled within its task; sets without links have no row.
-    roots = checkpointed(_compared(held.where("blocks = 1").withColumn("task", F.col("g").cast("string")), words, num, den))
-    large = held.where("blocks > 1")
+    roots = checkpointed(_compared(small.withColumn("task", F.col("g").cast("string")), words, num, den))
     if not large.isEmpty():
+        blocks = F.ceil(F.col("size") / BLOCK)
+        large = large.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
         roots = checkpointed(roots.unionByName(_large_groups(large, words, num, den)), frees=(roots,))
-    dropped(held)
+    dropped(*tables)
     sets = rows.where("set_id is not null").groupBy("set_id").agg(F.min(key).alias("least"), F.count(F.lit(1)).alias("n"))
     sets = sets.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     sets = checkpointed(sets, frees=(roots,))
