@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FREQUENT, checkpointed, looked_up, unused
+from .common import FREQUENT, checkpointed, looked_up, tidied, unused
 
 #: Words that a common block has at least.
 LEAST_WORDS = 5
@@ -247,12 +247,12 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least
 
     base = df.select(F.struct(F.col(key).alias("d"), F.xxhash64(text).alias("h")).alias("k"), F.col(text).alias("text"))
     # A null text and an empty one differ in h.
-    sides = base.mapInArrow(read, f"k {kind}, t binary, hashes binary, words binary, places binary")
+    sides = base.mapInArrow(tidied(read), f"k {kind}, t binary, hashes binary, words binary, places binary")
     sides = sides.groupBy("t", F.col("k.h").alias("h")).agg(F.min("k").alias("k"), *[F.first(c).alias(c) for c in ("hashes", "words", "places")])
     sides = checkpointed(sides.select("k", "hashes", "words", "places"))
 
     # Each run's documents, and the first of them; a run that no other document has is done with.
-    found = checkpointed(sides.select("k", "hashes", "words").mapInArrow(runs, f"k {kind}, hash binary"))
+    found = checkpointed(sides.select("k", "hashes", "words").mapInArrow(tidied(runs), f"k {kind}, hash binary"))
     shared = found.groupBy("hash").agg(F.min("k").alias("ok"), F.max("k").alias("last"), F.count(F.lit(1)).alias("n"))
     shared = checkpointed(shared.where(F.col("ok") != F.col("last")).select("hash", "ok", "n"))
     pairs = looked_up(found, shared, "hash", "n").where("k <> ok").select("k", "ok").distinct()
@@ -266,7 +266,7 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least
     owners = sides.select(F.col("k").alias("ok"), F.col("hashes").alias("other")).join(hot, "ok", "left")
     owners = owners.select("ok", "other", F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"))
     both = both.join(sides, "k").hint("merge").join(owners, ["ok", "share"])
-    aligned = both.select("k", "hashes", "words", "other", "places").mapInArrow(align, f"k {kind}, gone array<int>")
+    aligned = both.select("k", "hashes", "words", "other", "places").mapInArrow(tidied(align), f"k {kind}, gone array<int>")
     every = aligned.where(F.size("gone") > 0).unionByName(sides.select("k", F.array().cast("array<int>").alias("gone")))
     every = every.groupBy("k").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
     return checkpointed(every, frees=(sides, pairs))
@@ -335,3 +335,39 @@ def op1_line_dedup(spark, sf_dir: str) -> DataFrame:
     """Every document's doc_id, n_lines, n_removed and the text that stays."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return drop_repeated_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
+#: Runs of one to five lines with words, which hold all shortest runs of five words; a run goes where an earlier
+#: document has it. For tables whose keys are unique.
+OP1_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL
+), w AS (
+  SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM l
+), h AS (
+  SELECT *, row_number() OVER d AS i, lead(line, 1) OVER d AS l1, lead(line, 2) OVER d AS l2, lead(line, 3) OVER d AS l3, lead(line, 4) OVER d AS l4,
+         n + lead(n, 1) OVER d AS n1, n + lead(n, 1) OVER d + lead(n, 2) OVER d AS n2, n + lead(n, 1) OVER d + lead(n, 2) OVER d + lead(n, 3) OVER d AS n3,
+         n + lead(n, 1) OVER d + lead(n, 2) OVER d + lead(n, 3) OVER d + lead(n, 4) OVER d AS n4
+  FROM w WHERE n > 0 WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
+), r AS (
+  SELECT doc_id, i, 0 AS more, [line] AS run FROM h WHERE n >= 5 UNION ALL SELECT doc_id, i, 1, [line, l1] FROM h WHERE n1 >= 5 UNION ALL SELECT doc_id, i, 2, [line, l1, l2] FROM h WHERE n2 >= 5
+  UNION ALL SELECT doc_id, i, 3, [line, l1, l2, l3] FROM h WHERE n3 >= 5 UNION ALL SELECT doc_id, i, 4, [line, l1, l2, l3, l4] FROM h WHERE n4 >= 5
+), o AS (
+  SELECT run, min(doc_id) AS least FROM r GROUP BY run
+), g AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + more + 1)) AS i FROM r JOIN o USING (run) WHERE least < doc_id
+), c AS (
+  SELECT doc_id, min(doc_id) OVER (PARTITION BY text) < doc_id AND len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) >= 5 AS copy FROM documents WHERE text IS NOT NULL
+), f AS (
+  SELECT w.doc_id, w.pos, w.line, w.n, CASE WHEN w.n > 0 THEN g.i IS NOT NULL END AS gone, count(g.i) OVER (PARTITION BY w.doc_id) > 0 AS hit
+  FROM w LEFT JOIN h ON w.doc_id = h.doc_id AND w.pos = h.pos LEFT JOIN g ON h.doc_id = g.doc_id AND h.i = g.i
+), b AS (
+  SELECT *, coalesce(gone, hit AND coalesce(last_value(gone IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING), true)
+         AND coalesce(first_value(gone IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), true)) AS bye FROM f
+), k AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE bye) AS n_removed, string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT bye) AS kept FROM b GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(k.n_lines, 0) AS INTEGER) AS n_lines, CAST(CASE WHEN c.copy THEN k.n_lines ELSE coalesce(k.n_removed, 0) END AS INTEGER) AS n_removed,
+       CASE WHEN c.copy THEN '' WHEN d.text IS NULL THEN NULL ELSE coalesce(k.kept, '') END AS text
+FROM documents d LEFT JOIN k USING (doc_id) LEFT JOIN c USING (doc_id)
+"""

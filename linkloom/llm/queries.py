@@ -10,9 +10,9 @@ from .fingerprints import op6_fingerprints
 from .html_text import OP4_SQL, op4_html_extraction
 from .jaccard import OP3_SQL, op3_ngram_jaccard
 from .language import op9_language_id
-from .line_dedup import op1_line_dedup
+from .line_dedup import OP1_SQL, op1_line_dedup
 from .mixing import op7_source_mixing
-from .neighbours import op8_nearest_neighbours
+from .neighbours import OP8_SQL, op8_nearest_neighbours
 from .packing import op5_packing
 from .sharding import op10_sharding
 from .url_filters import OP2_SQL, op2_url_filters
@@ -35,7 +35,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_line_dedup": OP1_SQL,
         "op2_url_filters": OP2_SQL,
         "op3_ngram_jaccard": OP3_SQL,
         "op4_html_extraction": OP4_SQL,
+        "op8_nearest_neighbours": OP8_SQL,
     }
