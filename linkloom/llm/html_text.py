@@ -1,9 +1,9 @@
 """HTML extraction by nearest-URL page differencing.
 
-A page becomes lines of text, one for each block, without what its own markup says is no
-content. Each page is then compared with the two nearest pages of other text in the order
-of URL paths within its host; lines are aligned by longest common subsequence, and what
-they share outside an article is the site's, not the page's, and goes."""
+A page becomes lines of text, one for each block that a reader sees. Each page is then compared
+with the two nearest pages of other text in the order of URL paths within its host; lines are
+aligned by longest common subsequence, and what they share outside an article is the site's,
+not the page's, and goes. What is left goes if the page's own markup says it is no content."""
 
 from __future__ import annotations
 
@@ -25,6 +25,8 @@ from .common import bucket_of, shuffle_partitions, sort_bounds
 
 #: Elements whose text is never content.
 SKIPPED = frozenset("nav footer aside form menu dialog button select option textarea input label template noscript iframe object svg canvas audio video map".split())
+#: Of these, those whose text is no line of a page.
+UNSEEN = frozenset("select option textarea input template noscript iframe object svg canvas audio video map".split())
 #: Elements that hold text which is no markup.
 RAW = frozenset("script style title noscript template textarea iframe xmp noembed noframes".split())
 #: Elements without an end.
@@ -47,7 +49,8 @@ ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'
 
 def blocks(source: str | None) -> list[tuple[int, str]]:
     """(content, line) for each block of a page in order; content is 1 within an article, 2 in
-    a main element outside one and 0 elsewhere. Blocks without text are left out."""
+    a main element outside one, 3 in what its own markup says is no content, and 0 elsewhere.
+    Blocks without text, and what no reader sees (scripts, styles, fields), are left out."""
     source = source or ""
     out: list[tuple[int, str]] = []
     text: list[str] = []
@@ -58,21 +61,26 @@ def blocks(source: str | None) -> list[tuple[int, str]]:
         line = " ".join(html.unescape("".join(text)).split())
         text.clear()
         if line:
-            out.append((1 if within["article"] else 2 if within["main"] else 0, line))
+            out.append((3 if skip else 1 if within["article"] else 2 if within["main"] else 0, line))
 
     while m := TOKEN.match(source, at):
         at = m.end()
         closing, tag, attributes, words = m.groups()
         if words is not None:
-            if not skip and not head:
+            if not head and not (skip and skip[0] in UNSEEN):
                 text.append(words)
             continue
         if tag is None:
             continue
         tag = tag.lower()
         if skip == ["p"] and tag not in INLINE and not (closing and tag == "p"):
+            end()
             skip.pop()  # a paragraph ends where the next block begins
         if skip:
+            if tag not in INLINE or tag == skip[-1]:
+                end()
+            elif tag == "br":
+                text.append(" ")
             if tag == skip[-1]:
                 if closing:
                     skip.pop()
@@ -146,29 +154,35 @@ def shared_lines(a: list[str], b: list[str]) -> set[int]:
 def main_text(own: list[tuple[int, str]], near: list[list[tuple[int, str]]]) -> str:
     """The lines of a page that are its content, given up to two near pages with other texts.
 
-    An article's lines stay even where the other pages have them: copies and quoted passages
-    are content. Of all other lines those go that both pages have outside articles, or
-    one of them, unless the line is in main or that page has COPY of the page's text and may be
-    a copy. Where this would leave less than the rest of COPIES, all stay.
-    Where there is no page to compare with, the markup alone decides: lines outside article
-    and main go if those hold half of the text."""
-    everything = sum(len(x) for _, x in own)
+    All lines outside articles, menus and notices included, are aligned with those of the near pages. A line
+    goes where both have it, or one of them, unless the line is in main or that page has COPY of the
+    page's text and may be a copy. Where this would leave less than the rest of COPIES of what is not
+    marked as no content, all that stays. An article's lines stay even where the other pages have
+    them: copies and quoted passages are content. What differencing leaves goes if its markup
+    says that it is no content. Where there is no page to compare with, the markup alone
+    decides: lines outside article and main go if those hold half of the text."""
+    plain = [(i, c, x) for i, (c, x) in enumerate(own) if c != 3]
+    everything = sum(len(x) for _, _, x in plain)
     if not near:
-        marked = sum(len(x) for c, x in own if c)
+        marked = sum(len(x) for _, c, x in plain if c)
         alone = 2 * marked >= everything > 0
-        return "\n".join(x for c, x in own if c or not alone)
+        return "\n".join(x for _, c, x in plain if c or not alone)
+    gone = repeated(own, near)
+    if sum(len(own[i][1]) for i in gone if own[i][0] != 3) > COPIES * everything:
+        gone = set()
+    return "\n".join(x for i, _, x in plain if i not in gone)
+
+
+def repeated(own: list[tuple[int, str]], near: list[list[tuple[int, str]]]) -> set[int]:
+    """The places of the lines of a page outside articles that the near pages show to be the site's."""
     loose = [i for i, (c, _) in enumerate(own) if c != 1]
-    if not loose:
-        return "\n".join(x for _, x in own)
+    everything = sum(len(x) for c, x in own if c != 3)
     votes: Counter[int] = Counter()
-    for page in near:
+    for page in near if loose else ():
         held = {loose[i] for i in shared_lines([own[i][1] for i in loose], [x for c, x in page if c != 1])}
-        copy = sum(len(own[i][1]) for i in held) >= COPY * everything
-        votes.update({i: 1 if copy or own[i][0] else 2 for i in held})
-    gone = {i for i, n in votes.items() if n >= 2}
-    if sum(len(own[i][1]) for i in gone) > COPIES * everything:
-        gone = set()
-    return "\n".join(x for i, (_, x) in enumerate(own) if i not in gone)
+        copy = sum(len(own[i][1]) for i in held if own[i][0] != 3) >= COPY * everything > 0
+        votes.update({i: 1 if copy or own[i][0] == 2 else 2 for i in held})
+    return {i for i, n in votes.items() if n >= 2}
 
 
 def _key(url: Column) -> Column:
@@ -247,9 +261,11 @@ def _dealt(pages: DataFrame) -> DataFrame:
     with the pages of other parts around them that theirs are compared with."""
     spark = pages.sparkSession
     parts = shuffle_partitions(spark)
-    bounds = sort_bounds(pages, "key", 4 * parts)
-    # Pages of one key are told apart by a hash, so that their order is fixed.
-    keyed = pages.withColumns({"part": bucket_of(F.col("key"), bounds, "string"), "h": F.xxhash64(*pages.columns)})
+    # Pages of one key are told apart by a hash, so that their order is fixed; so they spread, too.
+    keyed = pages.withColumn("h", F.xxhash64(*pages.columns))
+    keyed = keyed.withColumn("rank", F.struct("key", "h"))
+    bounds = sort_bounds(keyed, "rank", 4 * parts)
+    keyed = keyed.withColumn("part", bucket_of(F.col("rank"), bounds, keyed.schema["rank"].dataType.simpleString()))
     light = keyed.select("part", "key", "h", F.xxhash64(_parsed("source")).alias("digest")).repartition(parts, "part").sortWithinPartitions("part", "key", "h")
     edges = light.mapInArrow(_edges, "part int, tail boolean, whole boolean, key string, h bigint, digest bigint").collect()  # six rows for each part
     extra = spark.createDataFrame(_borrowed(edges), "part int, key string, h bigint, to array<int>")
@@ -323,9 +339,10 @@ def extract_text(df: DataFrame, html_column: str = "html", url: str = "url", kee
     """The kept columns of each page with text, its main text, and n_chars, its code points.
 
     White space within a block is one space, character references are decoded, and blocks are
-    joined by a line end. A null or empty page has an empty text; a page without a URL is
+    joined by a line end. A null or empty page has an empty text; repeated rows are kept and have one text; pages of any length
+    are read whole, those of a task one after the other; an empty table gives no rows; columns that are not kept play no part; a page without a URL is
     compared with others without one; a host's only text is compared with none. Pages are
-    dealt by ranges of (host, path), so a large host spreads over many tasks. Pages of equal
+    dealt by ranges of (host, path) and a hash, so a large host, and the pages of one URL, spread over many tasks. Pages of equal
     text are never compared with each other; a host's first and last pages are compared
     with the two next to them. Pages with one path are told apart by a hash of their columns."""
 
