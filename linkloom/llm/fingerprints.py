@@ -25,10 +25,11 @@ def canonical(text: str) -> bytes:
     return " ".join(folded.split()).encode("utf-8", "surrogatepass")
 
 
-def digest(data: bytes, shared: frozenset[str] = frozenset()) -> str:
-    """The fingerprint of a canonical text; shared: the digests that different texts have."""
+def digest(data: bytes, shared: frozenset[str] | None = frozenset()) -> str:
+    """The fingerprint of a canonical text; shared: the digests that different texts have, None
+    where all are to be told apart."""
     d = xxhash.xxh3_128_hexdigest(data)
-    return f"{d}-{hashlib.sha256(data).hexdigest()}" if d in shared else d
+    return f"{d}-{hashlib.sha256(data).hexdigest()}" if shared is None or d in shared else d
 
 
 def shared_digests(df: DataFrame, text: str = "text") -> DataFrame:
@@ -51,22 +52,22 @@ def shared_digests(df: DataFrame, text: str = "text") -> DataFrame:
     return seen.where("least <> most").select(F.lower(F.hex("digest")).alias("digest"))
 
 
-#: Two texts of different bytes share a 128-bit digest about never; more are refused.
+#: Shared digests that are sent to all tasks. Texts of different bytes share a 128-bit digest about
+#: never; if more do, every fingerprint carries both hashes, which tells all texts apart as well.
 MOST_SHARED = 10_000
 
 
-def known_shared(df: DataFrame, text: str = "text") -> frozenset[str]:
+def known_shared(df: DataFrame, text: str = "text") -> frozenset[str] | None:
     found = [r[0] for r in shared_digests(df, text).take(MOST_SHARED + 1)]
-    if len(found) > MOST_SHARED:
-        raise ValueError("too many different texts share a digest")
-    return frozenset(found)
+    return frozenset(found) if len(found) <= MOST_SHARED else None
 
 
 def fingerprint_documents(df: DataFrame, text: str = "text") -> DataFrame:
     """df with `fingerprint` (a column of that name is replaced).
 
     Texts that differ only in Unicode form, case or white space have equal fingerprints.
-    A null text has the fingerprint of the empty text. Every row is kept."""
+    A null text has the fingerprint of the empty text. Every row is kept; repeated rows have equal
+    fingerprints; an empty table gives no rows."""
     shared = known_shared(df, text)
 
     @F.pandas_udf("string")
