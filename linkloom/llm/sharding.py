@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import shuffle_partitions
+from .common import shuffle_partitions, unused
 
 
 def shuffled_positions(df: DataFrame, size: str, seed: int = 17, bucket_bytes: int = 64 << 20) -> DataFrame:
@@ -57,11 +57,14 @@ def assign_shards(df: DataFrame, size: str, shards: int = 40, seed: int = 17, bu
     return at.withColumn("slot", (F.col("position") - first).cast("long")).withColumn("law", F.lit("rows")).drop("position")
 
 
-def write_shards(df: DataFrame, path: str, text: str = "text", shards: int = 40, seed: int = 17) -> None:
-    """Write df as Parquet, a folder for each shard, rows in slot order."""
-    sized = df.withColumn("__size", F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 16)
-    out = assign_shards(sized, "__size", shards, seed).drop("__size")
-    out.repartition(shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+def write_shards(df: DataFrame, path: str, text: str = "text", shards: int = 40, seed: int = 17, file_bytes: int = 256 << 20) -> None:
+    """Write df as Parquet, a folder for each shard. A shard is written by several tasks, each a run of
+    its slots of about file_bytes; rows are in slot order within a file, and the slot is kept."""
+    size = unused(df, 1)[0]
+    sized = df.withColumn(size, F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 16)
+    files = max(shards, int(sized.agg(F.sum(size)).first()[0] or 0) // file_bytes)
+    out = assign_shards(sized, size, shards, seed).drop(size)
+    out.repartitionByRange(files, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
 def op10_sharding(spark, sf_dir: str) -> DataFrame:
