@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from .common import unused
+from .common import give_back, unused
 
 #: Bounds of the sample that is learned from: labelled rows of a language, characters of all
 #: (about), and characters of one text, of which longer ones are not drawn.
@@ -233,6 +233,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", with_spans: bool =
         if with_spans:
             out["spans"] = pa.array(list(spans), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])))
         out["known"] = pa.array(known, pa.bool_())
+        give_back()
         return pa.StructArray.from_arrays(list(out.values()), names=list(out))
 
     def judged(m: Model, texts: list[str]) -> Iterator[tuple[str, float, list, bool]]:

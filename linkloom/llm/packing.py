@@ -18,12 +18,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import checkpointed
+from .common import checkpointed, tidied
 
 #: Characters on which both tokenizer libraries' classes of letters, digits and white space agree.
+SPACE = re.compile(r"\S(?= \S)")
 PLAIN = re.compile(r"[\t-\r -\u024f\u2010-\u2027\u20ac]*").fullmatch
 
 
+#: Characters of a text that the vocabulary file's library encodes at once, where single spaces let it be cut.
+PART = 20_000
+
+
+def _parts(text: str) -> Iterator[str]:
+    """text in parts of about PART characters. It is cut before single spaces, where a word of the
+    byte-level pattern always begins, so the ids of the parts are those of the whole."""
+    start = 0
+    while len(text) - start > PART:
+        cut = SPACE.search(text, start + PART)
+        if not cut:
+            break
+        yield text[start : cut.start() + 1]
+        start = cut.start() + 1
+    yield text[start:]
+
+
 class Ids:
     """The ids of whole texts, as little-endian unsigned 32-bit integers.
 
@@ -33,9 +51,8 @@ class Ids:
 
     def __init__(self, tokenizer_json: str) -> None:
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.json, self._tokenizer = tokenizer_json, None
         known = json.loads(tokenizer_json)
         self.special = [t["content"] for t in known.get("added_tokens", [])]
         self.fast = None
@@ -47,14 +64,23 @@ class Ids:
             ranks = {bytes(byte[c] for c in t): i for t, i in vocab.items() if t not in self.special}
             self.fast = tiktoken.Encoding("plain", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
+    @property
+    def tokenizer(self):
+        if self._tokenizer is None:
+            from tokenizers import Tokenizer
+
+            self._tokenizer = Tokenizer.from_str(self.json)
+        return self._tokenizer
+
     def of(self, texts: list[str]) -> list[bytes]:
         out = []
         for t in texts:
             if self.fast and PLAIN(t) and not any(s in t for s in self.special):
-                ids = self.fast.encode_ordinary(t)
+                ids = np.array(self.fast.encode_ordinary(t), "<u4")
             else:
-                ids = self.tokenizer.encode(t, add_special_tokens=False).ids
-            out.append(np.array(ids, "<u4").tobytes())
+                parts = _parts(t) if self.fast else [t]
+                ids = np.concatenate([np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, "<u4") for p in parts])
+            out.append(ids.tobytes())
         return out
 
 
@@ -96,7 +122,7 @@ def token_pieces(df: DataFrame, tokenizer_json: str, text: str = "text", key: st
 
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.monotonically_increasing_id().alias("row"), key, text)
-    return rows.mapInArrow(pieces, f"row bigint, {key} {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids)
+    return rows.mapInArrow(tidied(pieces), f"row bigint, {key} {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids)
 
 
 def sum_of_squares(lengths: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
