@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,6 +13,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """df with every column computed once for each row: filters above stay above, where the optimizer
+    would copy the columns that they test into the filter, and branches that read the rows share what is below."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def escape(text: str) -> str:
     """text as a regular expression that Java and RE2 read alike."""
     return "".join("\\" + c if c in r"\.^$|?*+()[]{}-/" else c for c in text)

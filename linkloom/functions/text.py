@@ -40,8 +40,8 @@ def decode_entities(text: Column) -> Column:
 
 def match_form(text: Column) -> Column:
     """Lower case, anything but a-z, 0-9 and white space as a space, spaces collapsed."""
-    t = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "&nbsp;", " ")
-    return collapse_space(F.regexp_replace(let(t, _numeric_references), r"[^a-z0-9\s]+", " "))
+    t = F.replace(F.lower(F.coalesce(text, F.lit(""))), F.lit("&nbsp;"), F.lit(" "))
+    return F.trim(F.regexp_replace(let(t, _numeric_references), "[^a-z0-9]+", " "))
 
 
 def tokens(text: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.ats import ats_canonical, ats_template, career_score
-from ..functions.base import any_of, let
+from ..functions.base import let, settled
 from ..functions.html import page_title, text_sample
 from ..functions.predicates import excluded_host_pattern, is_ats_link, is_bot_challenge, is_challenge_page, is_job_board_landing, is_job_detail, is_likely_job_link, is_non_job_text, is_social
 from ..functions.rules import CONFIGURED, RuleSet
@@ -50,26 +50,28 @@ def expiry_phrases(text: Column, rules: RuleSet = CONFIGURED, most: int = 8) ->
 
     A phrase is looked up by its first two words, which have to be words of the text, and then
     has to stand in it. Of phrases with one normal form the first counts."""
+    return let(match_form(text), lambda form: phrases_of_form(form, rules, most))
+
+
+def phrases_of_form(form: Column, rules: RuleSet = CONFIGURED, most: int = 8) -> Column:
+    """expiry_phrases() of a text whose match_form is known: each phrase is searched for once."""
     known: dict[str, tuple[str, str]] = {}
     for phrase in rules.expiry:
         words = re.findall("[a-z0-9]+", phrase.lower().replace("&nbsp;", " "))
         if len(plain := " ".join(words)) >= 3:
             known.setdefault(plain, (phrase.strip(), " ".join(words[:2])))
-    none = F.expr("cast(array() as array<string>)")
     if not known:
-        return none
-    start = any_of(sorted({key.split(" ")[0] for _, key in known.values()}))
+        return F.expr("cast(array() as array<string>)")
+
+    def hit(padded: Column, i: int, plain: str, phrase: str, key: str) -> Column:
+        struct = lambda at: F.struct(at.alias("at"), F.lit(key.count(" ")).alias("words"), F.lit(i).alias("place"), F.lit(phrase).alias("phrase"))
+        return let(F.instr(padded, f" {key} "), lambda at: F.when((at > 0) if plain == key else (at > 0) & padded.contains(plain), struct(at)))
 
     def found(padded: Column) -> Column:
-        hits = F.array(*[
-            F.when(padded.contains(f" {key} ") & padded.contains(plain), F.struct(F.instr(padded, f" {key} ").alias("at"), F.lit(key.count(" ")).alias("words"), F.lit(i).alias("place"), F.lit(phrase).alias("phrase")))
-            for i, (plain, (phrase, key)) in enumerate(known.items())
-        ])
+        hits = F.array(*[hit(padded, i, plain, phrase, key) for i, (plain, (phrase, key)) in enumerate(known.items())])
         return F.slice(F.transform(F.array_sort(F.array_compact(hits)), lambda x: x["phrase"]), 1, most)
 
-    # Texts without any first word are done with; a reference may stand for letters.
-    perhaps = F.lower(text).rlike(start) | text.contains("&")
-    return F.when(F.coalesce(perhaps, F.lit(False)), let(F.concat(F.lit(" "), match_form(text), F.lit(" ")), found)).otherwise(none)
+    return let(F.concat(F.lit(" "), form, F.lit(" ")), found)
 
 
 def expiry_verdict(text: Column, title: Column, status: Column, rules: RuleSet = CONFIGURED, most: int = 8) -> Column:
@@ -79,19 +81,19 @@ def expiry_verdict(text: Column, title: Column, status: Column, rules: RuleSet =
     whole = F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(text, F.lit("")))
     code = F.coalesce(status, F.lit(0)).cast("int")
 
-    def judged(m: Column) -> Column:
+    def judged(form: Column, m: Column) -> Column:
         return F.struct(
-            code.alias("status_code"), match_form(whole).rlike(R.EXPIRY_HINT).alias("fast_hint_matched"), (code >= 400).alias("status_code_expired"),
+            code.alias("status_code"), form.rlike(R.EXPIRY_HINT).alias("fast_hint_matched"), (code >= 400).alias("status_code_expired"),
             m.alias("matched_keywords"), F.size(m).alias("matched_keyword_count"), ((code >= 400) | (F.size(m) > 0)).alias("is_expired_or_no_jobs"),
         )
 
-    return let(expiry_phrases(whole, rules, most), judged)
+    return let(match_form(whole), lambda form: let(phrases_of_form(form, rules, most), lambda m: judged(form, m)))
 
 
 def expiry_matches(texts: DataFrame, by: str, rules: RuleSet = CONFIGURED, title: str = "title", text: str = "text", most: int = 8) -> DataFrame:
     """(by, matches) of the texts that hold a phrase: one scan, no join."""
     whole = F.concat_ws(" ", F.col(title), F.col(text))
-    return texts.select(by, expiry_phrases(whole, rules, most).alias("matches")).where(F.size("matches") > 0)
+    return settled(texts.select(by, expiry_phrases(whole, rules, most).alias("matches"))).where(F.size("matches") > 0)
 
 
 def resolved_career_url(base: Column, final: Column, links: Column, boards: Column) -> Column:

@@ -16,7 +16,7 @@ from ..sources import seeds
 from ..sources.folders import shared_folder
 from ..streaming import jobs as streaming
 from .oracle import ORACLE
-from .synth import synthetic
+from .synth import spread, synthetic
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -168,7 +168,7 @@ def excluded_domains(spark, d):
 
 @query
 def expired_pages(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", F.lit("").alias("title"), "text")
+    docs = spread(table(spark, d, "documents"), 1 << 22).select("doc_id", F.lit("").alias("title"), "text")
     found = records.expiry_matches(docs, "doc_id", FREQUENT, most=20)
     return found.select("doc_id", F.explode("matches").alias("phrase"))
 
