@@ -93,8 +93,8 @@ def excluded_host_pattern(url: Column, rules: RuleSet = CONFIGURED) -> Column:
     """The first pattern, in the order of the list, that the host holds; null for none."""
     plain = F.regexp_replace(F.regexp_replace(F.lower(F.trim(F.coalesce(url, F.lit("")))), r"^[a-z][a-z0-9+.-]*://", ""), r"[/?#].*$", "")
     host = F.regexp_replace(F.coalesce(F.nullif(comparable_host(url), F.lit("")), plain), r"^www\.", "")
-    patterns = F.lit(list(rules.excluded_hosts))
-    return F.when(contains_any(host, rules.excluded_hosts), F.filter(patterns, lambda p: host.contains(p))[0])
+    first = lambda h: F.coalesce(*[F.when(h.contains(p), p) for p in rules.excluded_hosts], F.lit(None).cast("string"))
+    return let(host, first)
 
 
 def has_strong_signal(text: Column) -> Column:
@@ -141,4 +141,5 @@ def is_non_job_text(text: Column, rules: RuleSet = CONFIGURED) -> Column:
 
 def is_social(host: Column, page_host: Column, rules: RuleSet = CONFIGURED) -> Column:
     """Is the host a social network's, other than the one the page is on itself?"""
-    return F.exists(F.lit(list(rules.social)), lambda d: host.contains(d) & ~(page_host.contains(d)))
+    other = lambda h, own: F.exists(F.lit(list(rules.social)), lambda d: h.contains(d) & ~(own.contains(d)))
+    return let(host, lambda h: let(page_host, lambda own: other(h, own)))

@@ -162,7 +162,7 @@ def self_link_filter(spark, d):
 
 @query
 def excluded_domains(spark, d):
-    rows = table(spark, d, "customer").select("c_custkey", F.expr("concat('https://www.', CASE WHEN c_custkey % 5 = 0 THEN 'sites.google' WHEN c_custkey % 5 = 1 THEN 'mountainfountain' WHEN c_custkey % 5 = 2 THEN 'indeed.vitas' ELSE 'acme' END, '.com/google')").alias("url"))
+    rows = spread(table(spark, d, "customer")).select("c_custkey", F.expr("concat('https://www.', CASE WHEN c_custkey % 5 = 0 THEN 'sites.google' WHEN c_custkey % 5 = 1 THEN 'mountainfountain' WHEN c_custkey % 5 = 2 THEN 'indeed.vitas' ELSE 'acme' END, '.com/google')").alias("url"))
     return rows.select("c_custkey", predicates.excluded_host_pattern(F.col("url")).alias("pattern"))
 
 
