@@ -14,7 +14,7 @@ from ..functions.html import page_title, text_sample
 from ..functions.predicates import excluded_host_pattern, is_ats_link, is_bot_challenge, is_challenge_page, is_job_board_landing, is_job_detail, is_likely_job_link, is_non_job_text, is_social
 from ..functions.rules import CONFIGURED, RuleSet
 from ..functions.text import match_form
-from ..functions.urls import comparable_host, form_preference, normalize_url, preference, url_aliases, url_forms, url_key
+from ..functions.urls import alias_forms, comparable_host, form_preference, normalize_url, preference, url_forms, url_key
 from . import links as L
 
 
@@ -280,11 +280,12 @@ KEPT_ON_ERROR = (
 
 def stored_of(pages: DataFrame, stored: DataFrame) -> DataFrame:
     """(page_id, and the columns of stored) of the stored pages that a page (page_id, url) is known as: by
-    the key or the URL of one of its aliases. Two joins on equal values, each row once."""
-    aliases = pages.select("page_id", F.explode(url_aliases(F.col("url"))).alias("alias"))
-    by_key = aliases.select("page_id", url_key(F.col("alias")).alias("career_url_key")).distinct().join(stored, "career_url_key")
-    by_url = aliases.withColumnRenamed("alias", "career_url").join(stored, "career_url")
-    return by_key.unionByName(by_url).dropDuplicates(["page_id", "career_url_key", "career_url"])
+    the key or the URL of one of its aliases. One join on equal values, each row once; a URL is parsed once."""
+    key, url = lambda x: F.concat(F.lit("k"), x), lambda x: F.concat(F.lit("u"), x)
+    names = lambda f: F.array_distinct(F.concat(F.transform(f, lambda x: key(x["key"])), F.transform(f, lambda x: url(x["normal"]))))
+    aliases = pages.select("page_id", F.explode(let(alias_forms(F.col("url")), names)).alias("_name"))
+    known = stored.select("*", F.explode(F.array(key(F.col("career_url_key")), url(F.col("career_url")))).alias("_name"))
+    return aliases.join(known, "_name").drop("_name").dropDuplicates(["page_id", "career_url_key", "career_url"])
 
 
 def stored_pages(old: DataFrame, new: DataFrame, keep_on_error: bool = True) -> DataFrame:

@@ -113,7 +113,7 @@ def tables_of(name: str) -> list[str]:
 
 
 def synthetic(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.sql(INPUTS[name], **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables_of(name)})
+    return spark.sql(INPUTS[name], **{t: spread(spark.read.parquet(f"{sf_dir}/{t}.parquet")) for t in tables_of(name)})
 
 
 def synthetic_sql(name: str) -> str:
