@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import rules as R
-from ..functions.base import contains_any
+from ..functions.base import contains_any, let
 from ..functions.predicates import is_likely_job_link
 from ..functions.rules import CONFIGURED, RuleSet
 from ..functions.text import http_status
@@ -188,8 +188,8 @@ def info_section(text: Column) -> Column:
     lines = F.filter(F.split(F.coalesce(text, F.lit("")), r"\r?\n"), lambda x: ~x.startswith("#") & (F.instr(x, ":") > 1))
     pairs = F.transform(lines, lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)).alias("key"), F.trim(F.substring(x, F.instr(x, ":") + 1, F.length(x))).alias("value")))
     pairs = F.filter(pairs, lambda p: p["key"] != "")
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda q: q["key"] == p["key"]))
-    return F.map_from_entries(last)
+    last = lambda ps: F.filter(ps, lambda p, i: ~F.exists(F.slice(ps, i + 2, F.greatest(F.size(ps), F.lit(1))), lambda q: q["key"] == p["key"]))
+    return F.map_from_entries(let(pairs, last))
 
 
 def duplicated(df: DataFrame, key: str) -> DataFrame:

@@ -373,8 +373,8 @@ def stream_health(spark, d):
 
 @query
 def info_sections(spark, d):
-    rows = table(spark, d, "part").select("p_partkey", lifecycle.info_section(F.expr("concat('# Part\r\nname:', p_name, '\n:x\nnone\nsize: ', p_size, ' \nsize:', p_size + 1, '\nurl:a:b')")).alias("m"))
-    return rows.select("p_partkey", F.explode("m").alias("name", "value"))
+    section = lifecycle.info_section(F.expr("concat('# Part\r\nname:', p_name, '\n:x\nnone\nsize: ', p_size, ' \nsize:', p_size + 1, '\nurl:a:b')"))
+    return spread(table(spark, d, "part")).select("p_partkey", F.explode(section).alias("name", "value"))
 
 
 @query
