@@ -6,13 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import rules as R
-from .base import in_domain, in_domains, let
+from .base import given, in_domain, in_domains, let
 from .predicates import has_career_signal, is_ats_link, is_non_career
-from .urls import comparable_host, normalize_url, parse_url, plain_segment, segments
+from .urls import comparable_host, host_of, normalize_url, parse_url, plain_segment, segments
 
 
-def ats_canonical(url: Column) -> Column:
-    """The landing page of the board that a link belongs to; empty where it isn't http(s)."""
+def ats_canonical(url: Column, parts: Column | None = None) -> Column:
+    """The landing page of the board that a link belongs to; empty where it isn't http(s). parts: the URL's
+    parse_url, where it is known."""
 
     def built(p: Column) -> Column:
         host = F.regexp_replace(p["host"], r"^www\.", "")
@@ -48,7 +49,7 @@ def ats_canonical(url: Column) -> Column:
         place = F.concat(p["host"], F.when(p["port"] == "", "").otherwise(F.concat(F.lit(":"), p["port"])))
         return F.concat(F.lit("https://"), place, F.lit("/"), F.array_join(let(segments(p["path"]), by), "/"), query)
 
-    return let(parse_url(url), lambda p: F.when(p["scheme"].isin("http", "https"), built(p)).otherwise(""))
+    return given(parts, parse_url(url), lambda p: F.when(p["scheme"].isin("http", "https"), built(p)).otherwise(""))
 
 
 def template_name(host: Column) -> Column:
@@ -57,17 +58,17 @@ def template_name(host: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(name, "[^a-z0-9]+", "_"), "^_+|_+$", "")
 
 
-def ats_template(url: Column) -> Column:
-    """The vendor's name; empty for what is no hosted board."""
+def ats_template(url: Column, parts: Column | None = None) -> Column:
+    """The vendor's name; empty for what is no hosted board. parts: the URL's parse_url, where it is known."""
 
     def named(host: Column) -> Column:
-        out = F.when(~is_ats_link(url), "")
+        out = F.when(~is_ats_link(url, parts), "")
         for template, domains in R.ATS_TEMPLATES:
             out = out.when(in_domains(host, domains), template)
         domain = F.filter(F.lit(list(R.ATS_DOMAINS)), lambda d: (host == d) | F.endswith(host, F.concat(F.lit("."), d)))
         return out.otherwise(template_name(F.coalesce(F.get(domain, F.lit(0)), host)))
 
-    return let(comparable_host(url), named)
+    return let(comparable_host(url), named) if parts is None else named(host_of(parts))
 
 
 def career_score(url: Column, base: Column) -> Column:
@@ -81,17 +82,17 @@ def career_score(url: Column, base: Column) -> Column:
             strong, support = both.rlike(R.STRONG_CAREER_PATH), both.rlike(R.SUPPORTING_CAREER_PATH)
             plus = lambda test, points: F.when(test, points).otherwise(0)
             score = (
-                plus((F.coalesce(base, F.lit("")) != "") & (comparable_host(n) == comparable_host(base)), 20)
+                plus((F.coalesce(base, F.lit("")) != "") & (host_of(p) == comparable_host(base)), 20)
                 + plus(p["scheme"] == "https", 8)
                 + plus(p["query"] == "", 3)
-                + plus(is_ats_link(n), 200)
-                + F.when(strong, 120).when(support | has_career_signal(n), 45).otherwise(0)
+                + plus(is_ats_link(n, p), 200)
+                + F.when(strong, 120).when(support | has_career_signal(n, is_ats_link(n, p)), 45).otherwise(0)
                 + plus(both.rlike(R.LISTING_PATH), 15)
                 - plus(both.rlike(R.ARTICLE_PATH), 90)
                 - plus(F.length(last) > 40, 20)
                 - plus(words > 4, 25)
             )
-            return F.when(p.isNotNull() & ~(is_non_career(n) & ~strong & ~support), score)
+            return F.when(p.isNotNull() & (strong | support | ~is_non_career(n, parts=p)), score)
 
         return let(parse_url(n), by)
 

@@ -11,7 +11,7 @@ from .text import collapse_space, decode_entities
 
 #: Sections around the content, in the order in which they go.
 SECTIONS = ("header", "footer", "nav", "aside")
-_VALUE = r"\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+_VALUE = r"\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
 
 
 def strip_sections(html: Column, tags: Iterable[str] = SECTIONS) -> Column:
@@ -30,7 +30,7 @@ def plain_text(html: Column) -> Column:
 
 def attribute(attributes: Column, name: str) -> Column:
     pattern = rf"(?is)(?<![A-Za-z0-9_]){name}{_VALUE}"
-    return F.concat(*[F.coalesce(F.regexp_extract(attributes, pattern, i), F.lit("")) for i in (1, 2, 3)])
+    return F.regexp_replace(F.coalesce(F.regexp_extract(attributes, pattern, 1), F.lit("")), r"^[\"']|[\"']\z", "")
 
 
 def page_title(html: Column) -> Column:

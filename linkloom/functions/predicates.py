@@ -6,10 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import rules as R
-from .base import any_of, contains_any, in_domain, in_domains, let
+from .base import any_of, contains_any, given, in_domain, in_domains, let
 from .rules import CONFIGURED, RuleSet
 from .text import match_form
-from .urls import comparable_host, parse_url, plain_segment, segments
+from .urls import comparable_host, host_of, parse_url, plain_segment, segments
 
 
 def is_likely_job_link(url: Column, rules: RuleSet = CONFIGURED) -> Column:
@@ -27,8 +27,8 @@ def is_job_detail(url: Column) -> Column:
     return F.lower(F.coalesce(url, F.lit(""))).rlike(R.JOB_DETAIL)
 
 
-def is_ats_link(url: Column) -> Column:
-    """Does the URL lead to a hosted job board?"""
+def is_ats_link(url: Column, parts: Column | None = None) -> Column:
+    """Does the URL lead to a hosted job board? parts: its parse_url, where it is known."""
 
     def judged(p: Column) -> Column:
         host = F.regexp_replace(p["host"], r"^www\.", "")
@@ -53,18 +53,18 @@ def is_ats_link(url: Column) -> Column:
         page = p["scheme"].isin("http", "https") & (host != "") & ~path.rlike(R.FILE_PATH)
         return page & (sure | (in_domains(host, R.ATS_DOMAINS) & hinted))
 
-    return let(parse_url(url), lambda p: F.coalesce(p.isNotNull() & judged(p), F.lit(False)))
+    return given(parts, parse_url(url), lambda p: F.coalesce(p.isNotNull() & judged(p), F.lit(False)))
 
 
-def is_job_board_landing(url: Column, ats: Column | None = None) -> Column:
-    """ats: is_ats_link of the URL, where it is known."""
+def is_job_board_landing(url: Column, ats: Column | None = None, parts: Column | None = None) -> Column:
+    """ats: is_ats_link of the URL, parts: its parse_url, where they are known."""
     low = F.lower(F.coalesce(url, F.lit("")))
 
     def hosted(p: Column) -> Column:
         oracle = p["host"].contains("oraclecloud.com") & F.lower(p["path"]).rlike(r"/hcmui/candidateexperience/[^/]+/sites/[^/]+(/jobs)?/?$")
         return (p["host"].contains("myworkdayjobs.com") & ~is_job_detail(url)) | oracle
 
-    return F.when((is_ats_link(url) if ats is None else ats) | low.rlike(R.BOARD_LANDING), True).otherwise(let(parse_url(url), lambda p: F.coalesce(p.isNotNull() & hosted(p), F.lit(False))))
+    return F.when((is_ats_link(url) if ats is None else ats) | low.rlike(R.BOARD_LANDING), True).otherwise(given(parts, parse_url(url), lambda p: F.coalesce(p.isNotNull() & hosted(p), F.lit(False))))
 
 
 def is_external(url: Column, page_url: Column) -> Column:
@@ -89,11 +89,15 @@ def is_sparse_page(url: Column, links: Column, host: Column) -> Column:
     return (n <= 1) | (~F.coalesce(job_like, F.lit(False)) & ((n <= 10) | F.coalesce(vendor, F.lit(False))))
 
 
-def excluded_host_pattern(url: Column, rules: RuleSet = CONFIGURED) -> Column:
-    """The first pattern, in the order of the list, that the host holds; null for none."""
+def excluded_host_pattern(url: Column, rules: RuleSet = CONFIGURED, parts: Column | None = None) -> Column:
+    """The first pattern, in the order of the list, that the host holds; null for none. parts: the URL's
+    parse_url, where it is known."""
     plain = F.regexp_replace(F.regexp_replace(F.lower(F.trim(F.coalesce(url, F.lit("")))), r"^[a-z][a-z0-9+.-]*://", ""), r"[/?#].*$", "")
-    host = F.regexp_replace(F.coalesce(F.nullif(comparable_host(url), F.lit("")), plain), r"^www\.", "")
+    parsed = comparable_host(url) if parts is None else host_of(parts)
+    host = F.regexp_replace(F.coalesce(F.nullif(parsed, F.lit("")), plain), r"^www\.", "")
     first = lambda h: F.coalesce(*[F.when(h.contains(p), p) for p in rules.excluded_hosts], F.lit(None).cast("string"))
+    if parts is not None:
+        return F.when(contains_any(host, rules.excluded_hosts), let(host, first))
     return let(host, first)
 
 
@@ -114,7 +118,8 @@ def has_hard_terminal(path: Column) -> Column:
     return let(clean, lambda s: (F.size(s) > 0) & (F.coalesce(hard(F.try_element_at(s, F.lit(-1))), F.lit(False)) | ((F.size(s) <= 2) & F.forall(s, hard))))
 
 
-def is_non_career(url: Column, excluded: tuple[str, ...] = R.NON_CAREER) -> Column:
+def is_non_career(url: Column, excluded: tuple[str, ...] = R.NON_CAREER, parts: Column | None = None) -> Column:
+    """parts: the URL's parse_url, where it is known."""
     low = F.lower(F.trim(F.coalesce(url, F.lit(""))))
 
     def judged(p: Column) -> Column:
@@ -123,11 +128,11 @@ def is_non_career(url: Column, excluded: tuple[str, ...] = R.NON_CAREER) -> Colu
 
         def by(text: Column) -> Column:
             hard, signal = has_hard_terminal(path), has_strong_signal(text)
-            return path.rlike(R.FILE_PATH) | (hard & ~signal) | (contains_any(text, excluded) & (~signal | hard))
+            return path.rlike(R.FILE_PATH) | (~signal & hard) | (contains_any(text, excluded) & (~signal | hard))
 
-        return let(both, by)
+        return let(both, by) if parts is None else by(both)
 
-    return F.when((low == "") | low.rlike("^(javascript|mailto|tel):"), True).otherwise(let(parse_url(url), judged))
+    return F.when((low == "") | low.rlike("^(javascript|mailto|tel):"), True).otherwise(given(parts, parse_url(url), judged))
 
 
 def is_non_job_text(text: Column, rules: RuleSet = CONFIGURED) -> Column:
@@ -142,4 +147,4 @@ def is_non_job_text(text: Column, rules: RuleSet = CONFIGURED) -> Column:
 def is_social(host: Column, page_host: Column, rules: RuleSet = CONFIGURED) -> Column:
     """Is the host a social network's, other than the one the page is on itself?"""
     other = lambda h, own: F.exists(F.lit(list(rules.social)), lambda d: h.contains(d) & ~(own.contains(d)))
-    return let(host, lambda h: let(page_host, lambda own: other(h, own)))
+    return let(host, lambda h: F.when(~contains_any(h, rules.social), False).otherwise(let(page_host, lambda own: other(h, own))))

@@ -33,15 +33,16 @@ def _numeric_references(text: Column) -> Column:
 def decode_entities(text: Column) -> Column:
     """The few named references and all numeric ones, & first, so &amp;lt; becomes <."""
     t = F.coalesce(text, F.lit(""))
+    decoded = t
     for name, char in (("&nbsp;", " "), ("&amp;", "&"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">")):
-        t = F.regexp_replace(t, "(?i)" + name, char)
-    return let(t, _numeric_references)
+        decoded = F.regexp_replace(decoded, "(?i)" + name, char)
+    return F.when(t.contains("&"), let(decoded, _numeric_references)).otherwise(t)
 
 
 def match_form(text: Column) -> Column:
     """Lower case, anything but a-z, 0-9 and white space as a space, spaces collapsed."""
     t = F.replace(F.lower(F.coalesce(text, F.lit(""))), F.lit("&nbsp;"), F.lit(" "))
-    return F.trim(F.regexp_replace(let(t, _numeric_references), "[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(F.when(t.contains("&#"), let(t, _numeric_references)).otherwise(t), "[^a-z0-9]+", " "))
 
 
 def tokens(text: Column) -> Column:

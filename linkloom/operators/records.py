@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.ats import ats_canonical, ats_template, career_score
-from ..functions.base import let, settled
+from ..functions.base import let, settled, shared
 from ..functions.html import page_title, text_sample
 from ..functions.predicates import excluded_host_pattern, is_ats_link, is_bot_challenge, is_challenge_page, is_job_board_landing, is_job_detail, is_likely_job_link, is_non_job_text, is_social
 from ..functions.rules import CONFIGURED, RuleSet
 from ..functions.text import match_form
-from ..functions.urls import alias_forms, comparable_host, form_preference, normalize_url, preference, url_forms, url_key
+from ..functions.urls import alias_forms, form_preference, host_of, normalize_url, preference, url_forms, url_key, with_forms, with_parts
 from . import links as L
 
 
@@ -71,14 +73,22 @@ def phrases_of_form(form: Column, rules: RuleSet = CONFIGURED, most: int = 8) ->
         hits = F.array(*[hit(padded, i, plain, phrase, key) for i, (plain, (phrase, key)) in enumerate(known.items())])
         return F.slice(F.transform(F.array_sort(F.array_compact(hits)), lambda x: x["phrase"]), 1, most)
 
-    return let(F.concat(F.lit(" "), form, F.lit(" ")), found)
+    # Most texts hold no phrase: one look for the first words is dealt with before the places are asked for.
+    padded, none = F.concat(F.lit(" "), form, F.lit(" ")), F.expr("cast(array() as array<string>)")
+    keys = sorted({key for _, key in known.values()})
+    return F.when(reduce(or_, [padded.contains(f" {key} ") for key in keys]), let(padded, found)).otherwise(none)
+
+
+def whole_text(title: Column, text: Column) -> Column:
+    """What expiry phrases are looked up in."""
+    return F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(text, F.lit("")))
 
 
 def expiry_verdict(text: Column, title: Column, status: Column, rules: RuleSet = CONFIGURED, most: int = 8) -> Column:
     """STRUCT<status_code, fast_hint_matched, status_code_expired, matched_keywords,
     matched_keyword_count, is_expired_or_no_jobs> of a page: an error status or a phrase makes
     it expired, the hint is for information."""
-    whole = F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(text, F.lit("")))
+    whole = whole_text(title, text)
     code = F.coalesce(status, F.lit(0)).cast("int")
 
     def judged(form: Column, m: Column) -> Column:
@@ -96,10 +106,10 @@ def expiry_matches(texts: DataFrame, by: str, rules: RuleSet = CONFIGURED, title
     return settled(texts.select(by, expiry_phrases(whole, rules, most).alias("matches"))).where(F.size("matches") > 0)
 
 
-def resolved_career_url(base: Column, final: Column, links: Column, boards: Column) -> Column:
+def resolved_career_url(base: Column, final: Column, links: Column, boards: Column, ats: Column | None = None) -> Column:
     """The preferred board (of the final URL, if it is one, and of boards), else the best careers link,
-    else base. All of one row: arrays of a page's links, no join."""
-    canonical = F.filter(F.transform(F.concat(F.when(is_ats_link(final), F.array(final)).otherwise(F.expr(_NO_LINKS)), boards), ats_canonical), lambda x: x != "")
+    else base. All of one row: arrays of a page's links, no join. ats: is_ats_link of final, where it is known."""
+    canonical = F.filter(F.transform(F.concat(F.when(is_ats_link(final) if ats is None else ats, F.array(final)).otherwise(F.expr(_NO_LINKS)), boards), lambda u: ats_canonical(u)), lambda x: x != "")
     board = F.array_min(F.transform(F.transform(canonical, url_forms), form_preference))["u"]
     scored = F.transform(links, lambda u: F.struct((-career_score(u, base)).alias("s"), preference(u).alias("p")))
     best = F.array_min(F.filter(scored, lambda x: x["s"] <= -60))["p"]["u"]
@@ -138,7 +148,13 @@ def page_facts(pages: DataFrame, rules: RuleSet = CONFIGURED, most: int = 8) ->
     """Each page's own columns, by one projection that leaves the HTML behind: URLs, exclusions,
     redirects, title, expiry. Columns of FETCHED that pages lack are null."""
     given = pages.select("page_id", "url", "html", *[F.col(c) if c in pages.columns else F.lit(None).cast(t).alias(c) for c, t in FETCHED.items()])
-    given = given.select("*", url_forms(F.col("url")).alias("own"), url_forms(F.coalesce(F.nullif("final_url", F.lit("")), F.col("url"))).alias("final"))
+    # Where no page was led elsewhere both URLs are one.
+    if "final_url" in pages.columns:
+        given = with_forms(given, own=F.col("url"), final=F.coalesce(F.when(F.col("final_url") != "", F.col("final_url")), F.col("url")))
+        given = with_parts(given, own_parts=F.col("own.normal"), final_parts=F.col("final.normal"))
+    else:
+        given = with_parts(with_forms(given, own=F.col("url")), own_parts=F.col("own.normal"))
+        given = given.select("*", F.col("own").alias("final"), F.col("own_parts").alias("final_parts"))
     chain = normalized_steps(F.col("redirect_chain"))
     given = given.withColumn("redirect_chain", chain)
     steps = F.slice("redirect_chain", 1, 20)
@@ -147,30 +163,34 @@ def page_facts(pages: DataFrame, rules: RuleSet = CONFIGURED, most: int = 8) ->
     status = F.coalesce("status_code", F.lit(0))
     # Of the page's two URLs the preferred one.
     career = F.array_min(F.array(*[F.struct(form_preference(F.col(c)).alias("p"), F.col(c).alias("f")) for c in ("own", "final")]))["f"]
-    title = F.substring(page_title(F.col("html")), 1, 300)
+    given = given.select("*", F.substring(page_title(F.col("html")), 1, 300).alias("title"))
+    title = F.col("title")
+    given = given.select("*", match_form(whole_text(title, text_sample(F.col("html")))).alias("form"))
     return given.select(
         "page_id", F.col("url").alias("request_url"), F.col("own.normal").alias("url"), F.col("own.key").alias("own_key"), F.col("final.normal").alias("final_url"), F.col("final.key").alias("final_key"),
         career["normal"].alias("career_url"), career["key"].alias("career_url_key"), "error", "user_agent", "started_at", "fetched_at", status.alias("http_status_code"),
         F.when(F.size(codes) > 0, F.get(codes, F.lit(0))).otherwise(status).alias("initial_http_status_code"), steps.alias("redirect_chain"), codes.alias("redirect_status_codes"), redirects.alias("redirect_count"),
         ((redirects > 0) | (F.col("own.normal") != F.col("final.normal"))).alias("redirected"), F.coalesce(title, F.lit("")).alias("page_title"),
-        excluded_host_pattern(F.col("own.normal"), rules).alias("excluded_source"), excluded_host_pattern(F.col("final.normal"), rules).alias("excluded_final"),
-        expiry_verdict(text_sample(F.col("html")), title, F.col("status_code"), rules, most).alias("expiry"),
+        excluded_host_pattern(F.col("own.normal"), rules, F.col("own_parts")).alias("excluded_source"), excluded_host_pattern(F.col("final.normal"), rules, F.col("final_parts")).alias("excluded_final"),
+        is_ats_link(F.col("final.normal"), F.col("final_parts")).alias("final_ats"), host_of(F.col("own_parts")).alias("page_host"), phrases_of_form(F.col("form"), rules, most).alias("phrases"),
     )
 
 
 def _flagged(links: DataFrame, rules: RuleSet) -> DataFrame:
-    """links (page_id, key, url, pos, texts, gained, page_url) with what decides about them."""
-    url, page = F.col("url"), F.col("page_url")
-    links = links.select("*", comparable_host(url).alias("host"), comparable_host(page).alias("page_host"), is_likely_job_link(url, rules).alias("likely"), is_ats_link(url).alias("ats"), is_job_detail(url).alias("detail"))
-    links = links.withColumn("board", F.col("likely") | is_job_board_landing(url, F.col("ats")))
+    """links (page_id, key, url, pos, texts, gained, page_host) with what decides about them. A URL is parsed once."""
+    url, p = F.col("url"), F.col("parts")
+    links = with_parts(links, parts=url)
+    links = links.select("*", host_of(p).alias("host"), is_likely_job_link(url, rules).alias("likely"), is_ats_link(url, p).alias("ats"))
+    links = links.select("*", (F.col("likely") | is_job_board_landing(url, F.col("ats"), p)).alias("board"))
     near = (F.col("page_host") == "") | ((F.col("host") != "") & ((F.col("host") == F.col("page_host")) | F.col("board")))
     here = F.col("gained") | (near & ~is_social(F.col("host"), F.col("page_host"), rules))
     none = (F.size("texts") > 0) & F.forall("texts", lambda t: is_non_job_text(t, rules))
-    links = links.withColumns({"here": here, "texts_none": none})
-    links = links.withColumn("kept", F.col("here") & (F.col("gained") | ~F.col("texts_none") | F.col("likely") | F.col("ats")))
-    links = links.withColumn("is_job", F.col("kept") & (F.col("likely") | F.col("gained")))
-    why = F.when(F.col("ats"), F.coalesce(L.ats_reason(url, rules, F.col("ats")), F.lit("")))
-    return links.withColumns({"ats_why": why, "career_why": L.career_reason(url, F.col("is_job"), rules, F.col("ats"))})
+    links = links.select("*", here.alias("here"), none.alias("texts_none"))
+    links = links.select("*", (F.col("here") & (F.col("gained") | ~F.col("texts_none") | F.col("likely") | F.col("ats"))).alias("kept"))
+    links = links.select("*", (F.col("kept") & (F.col("likely") | F.col("gained"))).alias("is_job"))
+    why = F.when(F.col("ats"), F.coalesce(L.ats_reason(url, rules, F.col("ats"), p), F.lit("")))
+    links = links.select("*", why.alias("ats_why"), L.career_reason(url, F.col("is_job"), rules, F.col("ats"), p).alias("career_why"))
+    return links.select("*", F.when(F.col("ats_why") == "", ats_canonical(url, p)).alias("board_url"))
 
 
 def career_links(pages: DataFrame, rules: RuleSet = CONFIGURED, expand: bool = False, most_boards: int = 1, existing: DataFrame | None = None, most_phrases: int = 8) -> DataFrame:
@@ -183,20 +203,21 @@ def career_links(pages: DataFrame, rules: RuleSet = CONFIGURED, expand: bool = F
     existing (career_url_key, links, job_links, ats_career_links): earlier rows, whose links are
     merged in. HTML is read once and stays in the scan; links are grouped by page twice."""
     facts = page_facts(pages, rules, most_phrases)
-    own = facts.select("page_id", F.col("url").alias("page_url"))
+    own = facts.select("page_id", F.col("url").alias("page_url"), "page_host")
     raw = L.gathered_entries(L.link_entries(pages), ["page_id"]).withColumn("gained", F.lit(False))
+    hosts = own.select("page_id", "page_host")
     if expand:
-        jobs = _flagged(raw.join(own, "page_id"), rules).select("page_id", "pos", "url", "is_job")
-        gained = L.expand_boards(own.withColumnRenamed("page_url", "url"), jobs, most_boards, rules)
-        gained = gained.select("page_id", url_key(F.col("url")).alias("key"), "url", F.lit(1 << 30).alias("pos"), F.expr(_NO_LINKS).alias("texts"), F.lit(True).alias("gained"))
-        raw = raw.unionByName(gained).groupBy("page_id", "key").agg(
-            F.min_by("url", preference(F.col("url"))).alias("url"), F.min("pos").alias("pos"), F.flatten(F.collect_list("texts")).alias("texts"), F.bool_or("gained").alias("gained")
+        raw = shared(raw, "page_id")
+        jobs = _flagged(raw.join(hosts, "page_id"), rules).select("page_id", "pos", "url", "is_job")
+        gained = with_forms(L.expand_boards(own.select("page_id", F.col("page_url").alias("url")), jobs, most_boards, rules), f=F.col("url"))
+        gained = gained.select("page_id", F.col("f.key").alias("key"), "url", F.lit(1 << 30).alias("pos"), F.expr(_NO_LINKS).alias("texts"), F.lit(True).alias("gained"))
+        raw = with_parts(raw.unionByName(gained), parts=F.col("url")).groupBy("page_id", "key").agg(
+            F.min_by("url", preference(F.col("url"), F.col("parts"))).alias("url"), F.min("pos").alias("pos"), F.flatten(F.collect_list("texts")).alias("texts"), F.bool_or("gained").alias("gained")
         )
-    rows = _flagged(raw.join(own, "page_id"), rules)
-    board = F.when(F.col("ats_why") == "", ats_canonical(F.col("url")))
+    rows = _flagged(raw.join(hosts, "page_id"), rules)
     entry = lambda test: F.collect_list(F.when(test, F.struct("pos", "key", "url")))
     rollup = rows.groupBy("page_id").agg(
-        entry(F.col("kept") & F.col("career_why").isNull()).alias("stay"), entry(F.col("is_job")).alias("jobs"), F.collect_set(board).alias("boards"),
+        entry(F.col("kept") & F.col("career_why").isNull()).alias("stay"), entry(F.col("is_job")).alias("jobs"), F.collect_set("board_url").alias("boards"),
         F.count_if(F.col("here") & F.col("texts_none") & ~F.col("gained")).alias("text_filtered"), F.count_if(F.col("kept") & F.col("career_why").isNotNull()).alias("career_filtered"),
         F.count_if(F.coalesce(F.col("ats_why") != "", F.lit(False))).alias("ats_filtered"), F.count_if(~F.col("gained")).alias("raw_count"), F.count_if(~F.col("gained") & is_bot_challenge(F.col("url"))).alias("challenges"),
     )
@@ -249,16 +270,17 @@ def _page_rows(out: DataFrame, merged: bool) -> DataFrame:
     })
     # Expiry counts only where no job details and no exclusion settle the page.
     looked = ~F.col("empty") & (F.col("job_detail_link_count") == 0)
-    expired = F.when(looked, F.col("expiry.is_expired_or_no_jobs")).otherwise(False)
-    words = F.when(looked, F.slice("expiry.matched_keywords", 1, 20)).otherwise(none)
+    expired = F.when(looked, (F.col("http_status_code") >= 400) | (F.size("phrases") > 0)).otherwise(False)
+    words = F.when(looked, F.slice("phrases", 1, 20)).otherwise(none)
     fallback = F.coalesce(F.nullif("final_url", F.lit("")), F.col("career_url"))
     out = out.withColumns({"expired_or_no_jobs": expired, "expire_keyword_matches": words, "base": fallback})
-    out = out.withColumn("final_career_url", resolved_career_url(F.col("base"), F.col("final_url"), F.col("links"), F.col("ats_career_links")))
+    out = out.withColumn("final_career_url", resolved_career_url(F.col("base"), F.col("final_url"), F.col("links"), F.col("ats_career_links"), F.col("final_ats")))
+    out = with_parts(out, career_parts=F.col("final_career_url"))
     status = career_status(F.col("pattern").isNotNull(), F.col("job_detail_link_count") > 0, F.col("expired_or_no_jobs"), F.col("ats_career_link_count") > 0)
     has = {f"has_{c}": F.col(n) > 0 for c, n in (("job_links", "job_link_count"), ("job_detail_links", "job_detail_link_count"), ("ats_career_links", "ats_career_link_count"))}
     out = out.withColumns(has | {
         "career_links_status": F.when(F.col("failed"), "error").otherwise(status), "job_links_status": F.when(F.col("failed"), "error").when(F.col("job_link_count") > 0, "job_links_found").otherwise("no_job_links"),
-        "crawl_status": F.when(F.col("failed"), "error").otherwise("success"), "source": F.when(F.col("excluded_source").isNotNull(), "rules").when(~F.col("failed"), "html"), "ats_template": ats_template(F.col("final_career_url")),
+        "crawl_status": F.when(F.col("failed"), "error").otherwise("success"), "source": F.when(F.col("excluded_source").isNotNull(), "rules").when(~F.col("failed"), "html"), "ats_template": ats_template(F.col("final_career_url"), F.col("career_parts")),
         "error": F.when(F.col("failed"), F.coalesce("error", F.lit("bot challenge"))), "expire_keyword_match_count": F.size("expire_keyword_matches").cast("long"), "excluded_domain_pattern": F.coalesce("pattern", F.lit("")),
     })
     return out.select("page_id", *PAGE_COLUMNS)
