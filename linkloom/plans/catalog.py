@@ -220,7 +220,7 @@ def career_links_table(spark, d):
 
 @query
 def page_record_counts(spark, d):
-    rows = records.career_links(table(spark, d, "pages"), expand=True)
+    rows = records.career_links(spread(table(spark, d, "pages"), 1 << 20), expand=True)
     return rows.groupBy("crawl_status", "career_links_status").agg(F.count(F.lit(1)).alias("pages"), F.sum("job_link_count").alias("job_links"))
 
 
